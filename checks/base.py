@@ -105,6 +105,10 @@ WITH_UIDS = "u AS (SELECT *, " + ", ".join(f"{sql} AS {n}" for n, sql in UIDS.it
 DOUBLE_SUFFIX = "('co.uk','gov.uk','ac.uk','co.jp','com.au','net.au')"
 
 
+def digest_bucket(seed: int, buckets: int) -> str:
+    return f"(CAST('0x' || substr(md5('{seed}:' || TransactionID), 1, 15) AS BIGINT) % {buckets})"
+
+
 def host_parts(domain: str) -> dict[str, str]:
     """Name and suffix of a normalised host name."""
     p = f"string_split(lower(trim({domain})), '.')"

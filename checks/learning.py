@@ -14,7 +14,7 @@ from ledgerlens.plans import prepare as P
 from ledgerlens.session import materialise, scratch_path
 from ledgerlens.sources import sinks
 
-from .base import AMT, B, R, check, raw, txn
+from .base import B, R, check, digest_bucket, raw, txn
 
 ID = "TransactionID"
 ROUNDS, DEPTH = 3, 4  # enough to exercise every step; the defaults in the library are larger
@@ -25,20 +25,23 @@ def sides(s, d, df=None):
     return split.stratified_split(df, ID, "isFraud", DEFAULT.test_size, DEFAULT.seed)
 
 
-@check("m1_split_by_modulo", f"SELECT {ID}, CASE WHEN {ID} % 5 = 0 THEN 'test' ELSE 'train' END AS split FROM txn")
-def modulo_split(s, d):
-    train, test = split.split_by(txn(s, d).select(ID), F.col(ID) % 5 == 0)
-    return train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+STRATIFIED = f"""
+b AS (SELECT {ID}, isFraud, {digest_bucket(6, 100000)} AS b FROM txn),
+n AS (SELECT isFraud, b, sum(count(*)) OVER (PARTITION BY isFraud ORDER BY b) AS upto, sum(count(*)) OVER (PARTITION BY isFraud) AS everything FROM b GROUP BY isFraud, b),
+cut AS (SELECT isFraud, coalesce(max(CASE WHEN upto <= round(everything * CAST(0.2 AS DOUBLE)) THEN b END), -1) AS cut FROM n GROUP BY isFraud)"""
 
 
-@check("m1_stratified_split")
+@check("m1_stratified_split", f"WITH {STRATIFIED} SELECT {ID}, {B('isFraud', 'isFraud')}, CASE WHEN b <= cut THEN 'test' ELSE 'train' END AS split FROM b JOIN cut USING (isFraud)")
 def stratified(s, d):
     train, test = sides(s, d, txn(s, d).select(ID, "isFraud"))
-    both = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
-    return split.split_summary(both, "split", "isFraud")
+    return train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
 
 
-@check("m2_three_way_split")
+@check(
+    "m2_three_way_split",
+    f"SELECT CASE WHEN b < 82000 THEN 'train' WHEN b < 91000 THEN 'validation' ELSE 'test' END AS split, count(*) AS rows, {R('avg(isFraud)', 'positive_rate')} "
+    f"FROM (SELECT isFraud, {digest_bucket(6, 100000)} AS b FROM txn) GROUP BY 1",
+)
 def three_way(s, d):
     parts = split.shares_split(txn(s, d).select(ID, "isFraud"), ID, (0.82, 0.09, 0.09))
     out = None

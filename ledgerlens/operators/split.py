@@ -11,7 +11,9 @@ _BUCKETS = 100_000
 
 
 def hash_bucket(key: str, seed: int, buckets: int = _BUCKETS) -> Column:
-    return F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(buckets))
+    """Bucket of a key from the leading 60 bits of a digest, so that any engine can repeat it."""
+    digest = f"substr(md5(concat('{int(seed)}:', `{key}`)), 1, 15)"
+    return F.expr(f"pmod(CAST(conv({digest}, 16, 10) AS BIGINT), {int(buckets)})")
 
 
 def split_by(df: DataFrame, in_test: Column) -> tuple[DataFrame, DataFrame]:

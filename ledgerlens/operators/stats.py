@@ -19,6 +19,7 @@ from ..session import materialise
 from .skew import DEFAULT_POLICY, SkewPolicy, is_small, lookup
 
 _EVERYTHING = "*"
+_INLINE = 64  # columns with at most this many values become a constant in the plan
 
 
 @dataclass(frozen=True)
@@ -26,12 +27,14 @@ class Profiles:
     """Statistics per `(name, value)` of many key columns.
 
     `table` has `name, value, n` and, when an amount was given, `amt_mean, amt_std, aux_mean`.
-    `sizes` counts the values per column, `total` the rows fitted on.
+    `sizes` counts the values per column, `total` the rows fitted on. `inline` holds the rows
+    of columns with few values, which need no join at all.
     """
 
     table: DataFrame
     sizes: dict
     total: int
+    inline: dict
 
     def save(self, path: str) -> None:
         self.table.write.mode("overwrite").parquet(path)
@@ -50,7 +53,23 @@ def _measured(table: DataFrame) -> Profiles:
         ).collect()  # one row per key column
     }
     total = sizes[_EVERYTHING]["rows"] if _EVERYTHING in sizes else 0
-    return Profiles(table, {k: r["values"] for k, r in sizes.items() if k != _EVERYTHING}, total)
+    sizes = {k: r["values"] for k, r in sizes.items() if k != _EVERYTHING}
+    inline: dict = {k: {} for k, n in sizes.items() if n <= _INLINE}
+    if inline:
+        for r in table.where(F.col("name").isin(list(inline))).collect():  # at most 64 rows per column
+            inline[r["name"]][r["value"]] = r.asDict()
+    return Profiles(table, sizes, total, inline)
+
+
+def _constant(rows: dict, stat: str, key: str) -> str:
+    """SQL text looking `key` up among the few known values."""
+    whole = stat == "n"
+    pairs = ", ".join(
+        f"{lit(v)}, CAST(NULL AS {'BIGINT' if whole else 'DOUBLE'})" if r[stat] is None
+        else f"{lit(v)}, {r[stat]}L" if whole else f"{lit(v)}, {lit(float(r[stat]))}"
+        for v, r in rows.items()
+    )
+    return f"try_element_at(map({pairs}), {key})"
 
 
 def profile_table(df: DataFrame, cols: list[str], amount: str | None = None, aux: str | None = None) -> DataFrame:
@@ -81,16 +100,23 @@ def attach_profiles(
     """Left-join fitted statistics: `wanted[column]` maps new column to statistic. One join per
     key column, whatever the number of statistics. Null and unseen keys get null."""
     outputs = {o for per in wanted.values() for o in per}
-    keyed = add(
-        df, {f"__v_{c}": number_text(f"`{c}`", df.schema[c].dataType) for c in wanted},
-        drop=outputs & set(df.schema.names),
-    )
+    fresh: dict[str, str] = {}
+    joined = []
     for c, per in wanted.items():
+        key = number_text(f"`{c}`", df.schema[c].dataType)
+        few = profiles.inline.get(c)
+        if few:
+            fresh.update({o: _constant(few, stat, key) for o, stat in per.items()})
+        else:
+            joined.append(c)
+            fresh[f"__v_{c}"] = key
+    keyed = add(df, fresh, drop=outputs & set(df.schema.names))
+    for c in joined:
         table = profiles.table.where(F.col("name") == c).selectExpr(
-            f"value AS `__v_{c}`", *[f"{stat} AS `{o}`" for o, stat in per.items()]
+            f"value AS `__v_{c}`", *[f"{stat} AS `{o}`" for o, stat in wanted[c].items()]
         )
         keyed = lookup(keyed, table, f"__v_{c}", policy, profiles.sizes.get(c, 0))
-    return keyed.drop(*[f"__v_{c}" for c in wanted])
+    return keyed.drop(*[f"__v_{c}" for c in joined])
 
 
 def profile_features(

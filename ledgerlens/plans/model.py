@@ -169,13 +169,15 @@ def fit_classifier(train: DataFrame, estimator, cfg: FeatureConfig = DEFAULT, po
     return estimator.fit(rows)
 
 
-def evaluate_sets(model, sets: dict[str, DataFrame], cfg: FeatureConfig = DEFAULT) -> DataFrame:
+def evaluate_sets(
+    model, sets: dict[str, DataFrame], cfg: FeatureConfig = DEFAULT, policy: SkewPolicy = DEFAULT_POLICY
+) -> DataFrame:
     """The same metric row for every named set."""
     scored = None
     for name, prepared in sets.items():
         part = scored_rows(model, prepared, cfg.id_col).withColumn("split", F.lit(name))
         scored = part if scored is None else scored.unionByName(part)
-    return evaluate(scored, cfg.target_col, "prediction_isFraud", "fraud_probability", ["split"])
+    return evaluate(scored, cfg.target_col, "prediction_isFraud", "fraud_probability", ["split"], policy)
 
 
 def compare_models(train: DataFrame, test: DataFrame, estimators: dict[str, object], cfg: FeatureConfig = DEFAULT) -> DataFrame:

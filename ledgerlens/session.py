@@ -56,8 +56,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint, so lost executors cannot change the rows."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint(eager=True)
+    """Write the rows below the shared folder and read them back.
+
+    This cuts the lineage, so a lost executor cannot change the rows, and the scan that follows
+    knows its size and prunes columns.
+    """
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

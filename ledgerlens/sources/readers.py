@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.split import hash_bucket
 from ..operators.validate import nan_to_null
 
 _FORMATS = ("csv", "parquet", "json")
@@ -47,7 +48,7 @@ def sample_rows(df: DataFrame, fraction: float, seed: int = 6, key: str | None =
         raise ValueError("fraction must be in (0, 1]")
     if key is None:
         return df.sample(False, fraction, seed)
-    return df.where(F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1_000_000)) < F.lit(round(fraction * 1_000_000)))
+    return df.where(hash_bucket(key, seed, 1_000_000) < F.lit(round(fraction * 1_000_000)))
 
 
 def read_rows(df: DataFrame, nrows: int | float | None, seed: int = 6, key: str | None = None) -> DataFrame:
