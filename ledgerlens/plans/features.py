@@ -32,23 +32,13 @@ def with_card_id(df: DataFrame, cfg: FeatureConfig = DEFAULT) -> DataFrame:
 
 # ---- ordered building blocks ---------------------------------------------------------------
 
-def amount_history(df: DataFrame, cfg: FeatureConfig = DEFAULT, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
-    """Previous amount and rolling median of the five amounts before, per card. A card's first
-    row has no past, so both fall back to its own amount."""
-    policy = policy.settled(df)
+def _amount_past(cfg: FeatureConfig) -> dict[str, str]:
     amt, n = cfg.amount_col, cfg.rolling_rows
-    past = {
+    return {
         "prev_amount": f"coalesce(lag({amt}) OVER ({{w}}), {amt})",
         "rolling_median_amt":
             f"coalesce(percentile({amt}, 0.5D) OVER ({{w}} ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING), {amt})",
     }
-    out = ordered_features(df, "card_id", _order(cfg), past, history=n, policy=policy)
-    jump = S.ratio(amt, "prev_amount", 1.0)
-    return add(out, {
-        "amount_jump_ratio": jump,
-        "is_amount_spike": S.flag(f"{jump} > {cfg.spike_ratio}D"),
-        "amt_vs_rolling": S.ratio(amt, "rolling_median_amt", 1.0),
-    })
 
 
 def _gap(cfg: FeatureConfig) -> str:
@@ -56,6 +46,28 @@ def _gap(cfg: FeatureConfig) -> str:
     return f"coalesce({dt} - lag({dt}) OVER ({{w}}), {cfg.first_gap})"
 
 
+def _amount_compared(df: DataFrame, cfg: FeatureConfig) -> DataFrame:
+    jump = S.ratio(cfg.amount_col, "prev_amount", 1.0)
+    return add(df, {
+        "amount_jump_ratio": jump,
+        "is_amount_spike": S.flag(f"{jump} > {cfg.spike_ratio}D"),
+        "amt_vs_rolling": S.ratio(cfg.amount_col, "rolling_median_amt", 1.0),
+    })
+
+
+_FILL = {"ProductCD_filled": "ProductCD"}
+
+
+def amount_history(df: DataFrame, cfg: FeatureConfig = DEFAULT, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
+    """Previous amount and rolling median of the five amounts before, per card. A card's first
+    row has no past, so both fall back to its own amount."""
+    policy = policy.settled(df)
+    out = ordered_features(
+        df, "card_id", _order(cfg), _amount_past(cfg), history=cfg.rolling_rows, policy=policy
+    )
+    return _amount_compared(out, cfg)
+
+
 def time_history(df: DataFrame, cfg: FeatureConfig = DEFAULT, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
     """Seconds since the card's previous transaction and its transactions in the last hour."""
     policy = policy.settled(df)
@@ -66,7 +78,17 @@ def time_history(df: DataFrame, cfg: FeatureConfig = DEFAULT, policy: SkewPolicy
 def product_filled(df: DataFrame, cfg: FeatureConfig = DEFAULT, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
     """`ProductCD_filled`: the card's last known product so far."""
     policy = policy.settled(df)
-    return ordered_features(df, "card_id", _order(cfg), filled={"ProductCD_filled": "ProductCD"}, policy=policy)
+    return ordered_features(df, "card_id", _order(cfg), filled=_FILL, policy=policy)
+
+
+def card_sequence(df: DataFrame, cfg: FeatureConfig = DEFAULT, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
+    """Everything that needs a card's rows in order, from one shuffle and one sort."""
+    policy = policy.settled(df)
+    past = {**_amount_past(cfg), "Transaction_time_gap": _gap(cfg)}
+    filled = _FILL if "ProductCD" in df.schema.names else None
+    out = ordered_features(df, "card_id", _order(cfg), past, filled, history=cfg.rolling_rows, policy=policy)
+    out = recent_count(out, "card_id", cfg.time_col, cfg.velocity_seconds, "Transaction_cnt_1hr", policy)
+    return _amount_compared(out, cfg)
 
 
 def uid_velocity(
@@ -147,13 +169,16 @@ def card_keys(df: DataFrame, cfg: FeatureConfig = DEFAULT, policy: SkewPolicy =
     """Card columns as text plus card-address and card-product keys."""
     policy = policy.settled(df)
     df = with_card_id(df, cfg)
-    here = set(df.schema.names)
-    has_product = "ProductCD" in here
-    if has_product:
+    if "ProductCD" in df.schema.names:
         df = on_projection(
             df, ["card_id", *_order(cfg), "ProductCD"],
             lambda part: product_filled(part, cfg, policy), cfg.id_col, policy,
         )
+    return _card_columns(df, cfg)
+
+
+def _card_columns(df: DataFrame, cfg: FeatureConfig) -> DataFrame:
+    here = set(df.schema.names)
     df = card_texts(df, cfg)
     fresh: dict[str, str] = {}
     for out, card, addr in (
@@ -161,11 +186,12 @@ def card_keys(df: DataFrame, cfg: FeatureConfig = DEFAULT, policy: SkewPolicy =
     ):
         if {card, addr} <= here:
             fresh[out] = f"concat({card}, '-', {K.text_of(df, addr, '0.0')})"
-    if has_product:
-        for card in ("card1", "card2"):
-            if card in here:
-                fresh[f"{card}_ProductCD"] = f"concat({card}, '_', coalesce(ProductCD_filled, 'nan'))"
-    return add(df, fresh, drop=("ProductCD_filled",) if has_product else ())
+    if "ProductCD_filled" not in here:
+        return add(df, fresh)
+    for card in ("card1", "card2"):
+        if card in here:
+            fresh[f"{card}_ProductCD"] = f"concat({card}, '_', coalesce(ProductCD_filled, 'nan'))"
+    return add(df, fresh, drop=("ProductCD_filled",))
 
 
 def card_features(df: DataFrame, cfg: FeatureConfig = DEFAULT, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
@@ -368,17 +394,6 @@ class FittedFeatures:
     rates: A.TargetRates | None
 
 
-def _rows_only(df: DataFrame, cfg: FeatureConfig, policy: SkewPolicy) -> DataFrame:
-    """Everything that needs no fitted statistics, in dependency order."""
-    df = transaction_amount_features(df, cfg, policy)
-    df = time_features(df, cfg, policy)
-    df = card_keys(df, cfg, policy)
-    df = email_scalars(df, cfg)
-    df = df.transform(device_features, cfg).transform(address_features, cfg)
-    df = df.transform(v_features, cfg).transform(id_features, cfg)
-    return uid_features(df, cfg)
-
-
 def _profile_keys(cfg: FeatureConfig) -> list[str]:
     return list(dict.fromkeys([
         "card_id", *cfg.frequency_cols, *cfg.amount_stat_cols, *cfg.uid_cols, *cfg.normalised_frequency_cols,
@@ -404,33 +419,63 @@ def fit_features(df: DataFrame, cfg: FeatureConfig = DEFAULT, fold: Column | Non
     return FittedFeatures(profiles, rates)
 
 
+def _row_features(df: DataFrame, cfg: FeatureConfig) -> DataFrame:
+    """Features of a row alone: no shuffle, whatever the width."""
+    df = time_scalars(amount_scalars(df, cfg), cfg)
+    df = device_features(df, cfg)
+    return id_features(v_features(address_features(df, cfg), cfg), cfg)
+
+
+def _key_features(
+    df: DataFrame, cfg: FeatureConfig, policy: SkewPolicy, fitted: FittedFeatures, fold: Column | None
+) -> DataFrame:
+    """Features that need other rows of the same card, domain or user."""
+    amt = cfg.amount_col
+    df = card_sequence(with_card_id(df, cfg), cfg, policy)
+    df = A.group_lookup(df, ["card_id", amt], {"amt_repeat_count": F.count(F.lit(1))}, policy)
+    if "user_id" in df.schema.names:
+        df = A.zscore_by(df, "user_id", amt, "amount_zscore", policy)
+    df = uid_features(email_scalars(_card_columns(df, cfg), cfg), cfg)
+    if fitted.rates is None:
+        df = add(df, {"P_domain_fraud_rate": "0D"})
+    else:
+        df = A.target_rate_feature(df, fitted.rates, "P_domain_fraud_rate", fold, policy)
+    payer, receiver = cfg.email_cols
+    return A.profile_features(
+        df, fitted.profiles, amt,
+        counts={
+            "card_id": "card_id_count", "addr1": "card_add_count", payer: "P_domain_count", receiver: "R_domain_count",
+        },
+        frequency=cfg.frequency_cols, normalised=cfg.normalised_frequency_cols, amounts=cfg.amount_stat_cols,
+        uids=cfg.uid_cols, policy=policy,
+    )
+
+
 def feature_chain(
     df: DataFrame, cfg: FeatureConfig = DEFAULT, policy: SkewPolicy = DEFAULT_POLICY,
     fitted: FittedFeatures | None = None, training: bool = True, fold: Column | None = None,
 ) -> DataFrame:
-    """All feature sets in their fixed order.
+    """All feature sets at once.
 
     With `fitted` the statistics come from the training rows; without, from `df` itself.
-    Training rows get out-of-fold target rates, scoring rows the fitted rates.
+    Training rows get out-of-fold target rates, scoring rows the fitted rates. A wide frame is
+    read twice, once for its own columns and once for the few columns that are shuffled, and
+    joined by id once; chaining the single sets would repeat that for each of them.
     """
     policy = policy.settled(df)
     fitted = fitted or fit_features(df, cfg, fold)
     training = training and fitted.rates is not None
     fold = (A.hash_fold(cfg.id_col, cfg.folds) if fold is None else fold) if training else None
-    out = _rows_only(df, cfg, policy)
-    payer, receiver = cfg.email_cols
-    counts = {"card_id": "card_id_count", "addr1": "card_add_count", payer: "P_domain_count", receiver: "R_domain_count"}
-
-
-    def build(part: DataFrame) -> DataFrame:
-        if fitted.rates is None:
-            part = add(part, {"P_domain_fraud_rate": "0D"})
-        else:
-            part = A.target_rate_feature(part, fitted.rates, "P_domain_fraud_rate", fold, policy)
-        return A.profile_features(
-            part, fitted.profiles, cfg.amount_col, counts=counts, frequency=cfg.frequency_cols,
-            normalised=cfg.normalised_frequency_cols, amounts=cfg.amount_stat_cols, uids=cfg.uid_cols,
-            policy=policy,
-        )
-
-    return on_projection(out, [*_profile_keys(cfg), cfg.amount_col], build, cfg.id_col, policy)
+    if len(df.schema.names) <= policy.narrow_over:
+        return _row_features(_key_features(df, cfg, policy, fitted, fold), cfg)
+    here = set(df.schema.names)
+    shuffled = [
+        *_order(cfg), cfg.amount_col, *cfg.card_cols, *cfg.frequency_cols, "D1", "user_id", cfg.target_col,
+    ]
+    keyed = _key_features(
+        df.select(*[c for c in dict.fromkeys(shuffled) if c in here]), cfg, policy, fitted, fold
+    )
+    replaced = {*cfg.card_cols, *cfg.email_cols}
+    fresh = [c for c in keyed.schema.names if c not in here or c in replaced]
+    wide = _row_features(df, cfg).drop(*[c for c in fresh if c in here])
+    return wide.join(keyed.select(cfg.id_col, *fresh), cfg.id_col, "left")
