@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.config import DEFAULT
 from ledgerlens.operators import eda, joins, metrics, setops, stats
+from ledgerlens.operators.skew import DEFAULT_POLICY, spread_small
 from ledgerlens.plans import features as G
 
 from .base import AMT, CARDED, DT, WITH_UIDS, B, R, check, flag, ident, predictions, raw, requests, txn
@@ -26,7 +27,7 @@ FREQ = ", ".join(R(freq(c), f"{c}_freq") for c in FREQ_COLS)
 
 @check("a1_frequency", f"WITH {RAW} SELECT {ID}, {FREQ} FROM r", BOTH, [f"{c}_freq" for c in FREQ_COLS])
 def frequency(s, d):
-    df = raw(s, d)
+    df = spread_small(raw(s, d), ID, DEFAULT_POLICY)
     profiles = stats.fit_profiles(df, FREQ_COLS)
     return stats.profile_features(df, profiles, AMT, frequency=FREQ_COLS).select(ID, *[f"{c}_freq" for c in FREQ_COLS])
 

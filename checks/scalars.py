@@ -87,7 +87,6 @@ _scalar(
 
 _p, _r = host_parts("p"), host_parts("r")
 _hosts = f"(SELECT {ID}, {EMAIL['P_emaildomain']} AS p, {EMAIL['R_emaildomain']} AS r FROM txn)"
-_two = DEFAULT.two_part_suffixes
 
 
 def _hosted(s, d):
@@ -96,17 +95,21 @@ def _hosted(s, d):
     )
 
 
+def _parsed(s, d):
+    return G.host_columns(_hosted(s, d), {"P": "p", "R": "r"})
+
+
 check("f13_domain_parts", f"SELECT {ID}, {_p['name']} AS p_name, {_p['tld']} AS p_suffix, {_r['name']} AS r_name, {_r['tld']} AS r_suffix FROM {_hosts}")(
-    lambda s, d: _hosted(s, d).selectExpr(
-        ID, f"{X.email_name('p', _two)} AS p_name", f"{X.email_tld('p', _two)} AS p_suffix",
-        f"{X.email_name('r', _two)} AS r_name", f"{X.email_tld('r', _two)} AS r_suffix",
+    lambda s, d: _parsed(s, d).selectExpr(
+        ID, "P_host_name AS p_name", f"{X.email_tld('P_host_suffix')} AS p_suffix",
+        "R_host_name AS r_name", f"{X.email_tld('R_host_suffix')} AS r_suffix",
     )
 )
 check("f14_email_vendor_and_tld", f"SELECT {ID}, {_p['vendor']} AS p_vendor, {_r['vendor']} AS r_vendor, {_p['tld']} AS p_tld, {_r['tld']} AS r_tld FROM {_hosts}")(
-    lambda s, d: _hosted(s, d).selectExpr(
-        ID, f"{X.email_vendor('p', DEFAULT.email_vendors, _two)} AS p_vendor",
-        f"{X.email_vendor('r', DEFAULT.email_vendors, _two)} AS r_vendor",
-        f"{X.email_tld('p', _two)} AS p_tld", f"{X.email_tld('r', _two)} AS r_tld",
+    lambda s, d: _parsed(s, d).selectExpr(
+        ID, f"{X.email_vendor('P_host_name', DEFAULT.email_vendors)} AS p_vendor",
+        f"{X.email_vendor('R_host_name', DEFAULT.email_vendors)} AS r_vendor",
+        f"{X.email_tld('P_host_suffix')} AS p_tld", f"{X.email_tld('R_host_suffix')} AS r_tld",
     )
 )
 PRESENCE = (
@@ -211,7 +214,7 @@ _scalar(
     ],
 )
 check("j5_vendor_map", f"SELECT {ID}, {_p['vendor']} AS vendor FROM {_hosts}")(
-    lambda s, d: _hosted(s, d).selectExpr(ID, f"{map_lookup(X.email_name('p', _two), DEFAULT.email_vendors, 'other')} AS vendor")
+    lambda s, d: _parsed(s, d).selectExpr(ID, f"{map_lookup('P_host_name', DEFAULT.email_vendors, 'other')} AS vendor")
 )
 _scalar(
     "p14_threshold_flags",

@@ -27,53 +27,51 @@ def normalise_email(col: str) -> str:
     return f"lower(coalesce({col}, 'missing'))"
 
 
-def _labels(domain: str) -> str:
+def host_labels(domain: str) -> str:
+    """Labels of a host name as an array."""
     return f"split({strip(f'lower({domain})')}, '[.]')"
 
 
-def _tail(domain: str) -> str:
-    """Last two labels of a host name."""
-    return f"array_join(slice({_labels(domain)}, -2, 2), '.')"
+def host_tail(labels: str) -> str:
+    """Last two labels, joined."""
+    return f"array_join(slice({labels}, -2, 2), '.')"
 
 
-def _plain(domain: str) -> str:
-    """Host has no dot, or stands for a missing value."""
-    return f"{domain} IS NULL OR {domain} IN ('', 'missing', 'nan') OR size({_labels(domain)}) = 1"
+# The functions below take the normalised host and, to work them out only once, columns already
+# holding `host_labels` and `host_tail` of it.
 
-
-def email_suffix(domain: str, two_part) -> str:
+def email_suffix(domain: str, labels: str, tail: str, two_part) -> str:
     """Public suffix of a host; known two-part suffixes stay whole, '' when there is none."""
     return (
-        f"CASE WHEN {_plain(domain)} THEN '' WHEN {_tail(domain)} IN ({lits(two_part)}) "
-        f"THEN {_tail(domain)} ELSE element_at({_labels(domain)}, -1) END"
+        f"CASE WHEN {domain} IN ('', 'missing', 'nan') OR size({labels}) = 1 THEN '' "
+        f"WHEN {tail} IN ({lits(two_part)}) THEN {tail} ELSE element_at({labels}, -1) END"
     )
 
 
-def email_name(domain: str, two_part) -> str:
+def email_name(domain: str, labels: str, tail: str, two_part) -> str:
     """The label left of the public suffix."""
     return (
-        f"CASE WHEN {domain} IS NULL OR {domain} IN ('', 'missing', 'nan') THEN 'missing' "
-        f"WHEN size({_labels(domain)}) = 1 THEN {_labels(domain)}[0] "
-        f"WHEN {_tail(domain)} IN ({lits(two_part)}) AND size({_labels(domain)}) >= 3 "
-        f"THEN element_at({_labels(domain)}, -3) ELSE element_at({_labels(domain)}, -2) END"
+        f"CASE WHEN {domain} IN ('', 'missing', 'nan') THEN 'missing' WHEN size({labels}) = 1 THEN {labels}[0] "
+        f"WHEN {tail} IN ({lits(two_part)}) AND size({labels}) >= 3 THEN element_at({labels}, -3) "
+        f"ELSE element_at({labels}, -2) END"
     )
 
 
-def email_subdomain(domain: str, two_part) -> str:
+def email_subdomain(domain: str, labels: str, tail: str, two_part) -> str:
     """Labels left of the name, '' when there are none."""
-    drop = f"CASE WHEN {_tail(domain)} IN ({lits(two_part)}) THEN 3 ELSE 2 END"
+    drop = f"CASE WHEN {tail} IN ({lits(two_part)}) THEN 3 ELSE 2 END"
     return (
-        f"CASE WHEN {_plain(domain)} OR size({_labels(domain)}) <= {drop} THEN '' "
-        f"ELSE array_join(slice({_labels(domain)}, 1, greatest(size({_labels(domain)}) - {drop}, 0)), '.') END"
+        f"CASE WHEN {domain} IN ('', 'missing', 'nan') OR size({labels}) <= {drop} THEN '' "
+        f"ELSE array_join(slice({labels}, 1, greatest(size({labels}) - {drop}, 0)), '.') END"
     )
 
 
-def email_vendor(domain: str, vendors: dict, two_part) -> str:
-    return f"coalesce(try_element_at({map_of(vendors)}, {email_name(domain, two_part)}), 'other')"
+def email_vendor(name: str, vendors: dict) -> str:
+    return f"coalesce(try_element_at({map_of(vendors)}, {name}), 'other')"
 
 
-def email_tld(domain: str, two_part) -> str:
-    return f"coalesce(nullif({email_suffix(domain, two_part)}, ''), 'missing')"
+def email_tld(suffix: str) -> str:
+    return f"coalesce(nullif({suffix}, ''), 'missing')"
 
 
 def email_presence(payer: str, receiver: str) -> str:

@@ -118,12 +118,18 @@ def _over(keys, order) -> str:
     return f"PARTITION BY {', '.join(keys)} ORDER BY {', '.join(order)}"
 
 
+def _staged(df, lagged, w) -> DataFrame:
+    for stage in lagged:
+        df = add(df, {n: sql.format(w=w) for n, sql in stage.items()})
+    return df
+
+
 _SO_FAR = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
 
 
 def _windowed(df, keys, order, lagged, filled, index) -> DataFrame:
     w = _over(keys, order)
-    out = add(df, {n: sql.format(w=w) for n, sql in lagged.items()})
+    out = _staged(df, lagged, w)
     late = {n: f"last({sql}, true) OVER ({w} {_SO_FAR})" for n, sql in filled.items()}
     if index:
         late[index] = f"CAST(row_number() OVER ({w}) - 1 AS BIGINT)"
@@ -139,7 +145,7 @@ def _blocked(df, key, order, lagged, filled, index, history, rows, policy) -> Da
     )
     spread = add(spread, {"__block": f"(__pos - 1) DIV {size} + __halo"})
     w = _over([key, "__block"], ["__pos"])
-    out = add(spread, {n: sql.format(w=w) for n, sql in lagged.items()}).where("__halo = 0")
+    out = _staged(spread, lagged, w).where("__halo = 0")
     if filled:
         out = add(out, {f"__in_{n}": f"last({sql}, true) OVER ({w} {_SO_FAR})" for n, sql in filled.items()})
         # Last known value of each block, then of all blocks before it: one row per block.
@@ -156,7 +162,7 @@ def _blocked(df, key, order, lagged, filled, index, history, rows, policy) -> Da
         out = add(out, {n: f"coalesce(__in_{n}, __carry_{n})" for n in filled})
     if index:
         out = add(out, {index: "__pos - 1"})
-    fresh = [*lagged, *filled, *([index] if index else [])]
+    fresh = [*(n for stage in lagged for n in stage), *filled, *([index] if index else [])]
     return out.select(*[c for c in df.schema.names if c not in fresh], *fresh)
 
 
@@ -164,7 +170,7 @@ def ordered_features(
     df: DataFrame,
     key: str,
     order: list[str],
-    lagged: dict[str, str] | None = None,
+    lagged: dict[str, str] | list[dict[str, str]] | None = None,
     filled: dict[str, str] | None = None,
     index: str | None = None,
     history: int = 1,
@@ -173,10 +179,11 @@ def ordered_features(
     """Features that need the rows of a key in order.
 
     `lagged` expressions are SQL text with `{w}` where the window goes and may look back
-    `history` rows at most; `filled` columns take the last known value so far (they may read
+    `history` rows at most; given as a list, later stages may read earlier ones. `filled` columns take the last known value so far (they may read
     `lagged` outputs); `index` numbers rows from 0.
     """
-    lagged, filled = lagged or {}, filled or {}
+    lagged = [lagged] if isinstance(lagged, dict) else lagged or []
+    filled = filled or {}
     hot = None if is_small(df, policy) else hot_keys(df, key, policy)
     if hot is None:
         return _windowed(df, [key], order, lagged, filled, index)

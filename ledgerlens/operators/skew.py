@@ -55,6 +55,15 @@ def broadcast_if_small(table: DataFrame, policy: SkewPolicy, rows: int | None =
     return F.broadcast(table) if size <= policy.broadcast_bytes else table
 
 
+def spread_small(df: DataFrame, key: str, policy: SkewPolicy) -> DataFrame:
+    """A small input often sits in one file and would be worked on by one core; share it out.
+    Large inputs have more splits than cores and are left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if not is_small(df, policy) or key not in df.schema.names or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, key)
+
+
 def lookup(df: DataFrame, table: DataFrame, on, policy: SkewPolicy, rows: int | None = None) -> DataFrame:
     """Left join that keeps every row of `df`; null and unseen keys get nulls."""
     return df.join(broadcast_if_small(table, policy, rows), on, "left")

@@ -61,13 +61,17 @@ def _measured(table: DataFrame) -> Profiles:
     return Profiles(table, sizes, total, inline)
 
 
-def _constant(rows: dict, stat: str, key: str) -> str:
-    """SQL text looking `key` up among the few known values."""
-    whole = stat == "n"
+def _constant(rows: dict, stats: list[str], key: str) -> str:
+    """SQL text of a struct with the statistics of `key`, looked up among the few known values."""
+
+    def number(r: dict, stat: str) -> str:
+        kind = "BIGINT" if stat == "n" else "DOUBLE"
+        if r[stat] is None:
+            return f"CAST(NULL AS {kind})"
+        return f"{r[stat]}L" if stat == "n" else lit(float(r[stat]))
+
     pairs = ", ".join(
-        f"{lit(v)}, CAST(NULL AS {'BIGINT' if whole else 'DOUBLE'})" if r[stat] is None
-        else f"{lit(v)}, {r[stat]}L" if whole else f"{lit(v)}, {lit(float(r[stat]))}"
-        for v, r in rows.items()
+        f"{lit(v)}, named_struct({', '.join(f'{lit(s)}, {number(r, s)}' for s in stats)})" for v, r in rows.items()
     )
     return f"try_element_at(map({pairs}), {key})"
 
@@ -100,17 +104,20 @@ def attach_profiles(
     """Left-join fitted statistics: `wanted[column]` maps new column to statistic. One join per
     key column, whatever the number of statistics. Null and unseen keys get null."""
     outputs = {o for per in wanted.values() for o in per}
-    fresh: dict[str, str] = {}
-    joined = []
-    for c, per in wanted.items():
-        key = number_text(f"`{c}`", df.schema[c].dataType)
-        few = profiles.inline.get(c)
-        if few:
-            fresh.update({o: _constant(few, stat, key) for o, stat in per.items()})
-        else:
-            joined.append(c)
-            fresh[f"__v_{c}"] = key
-    keyed = add(df, fresh, drop=outputs & set(df.schema.names))
+    few = [c for c in wanted if profiles.inline.get(c)]
+    joined = [c for c in wanted if c not in few]
+    keyed = add(
+        df, {f"__v_{c}": number_text(f"`{c}`", df.schema[c].dataType) for c in wanted},
+        drop=outputs & set(df.schema.names),
+    )
+    # Step by step, so that a key is spelled and looked up once however many statistics it has.
+    keyed = add(keyed, {
+        f"__m_{c}": _constant(profiles.inline[c], sorted(set(wanted[c].values())), f"__v_{c}") for c in few
+    })
+    keyed = add(
+        keyed, {o: f"__m_{c}.{stat}" for c in few for o, stat in wanted[c].items()},
+        drop=[f"__{k}_{c}" for c in few for k in ("m", "v")],
+    )
     for c in joined:
         table = profiles.table.where(F.col("name") == c).selectExpr(
             f"value AS `__v_{c}`", *[f"{stat} AS `{o}`" for o, stat in wanted[c].items()]

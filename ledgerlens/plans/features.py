@@ -19,7 +19,7 @@ from ..functions.sqltext import add
 from ..operators import stats as A
 from ..operators.joins import on_projection
 from ..operators.ordered import ordered_features, recent_count
-from ..operators.skew import DEFAULT_POLICY, SkewPolicy
+from ..operators.skew import DEFAULT_POLICY, SkewPolicy, spread_small
 
 
 def _order(cfg: FeatureConfig) -> list[str]:
@@ -211,15 +211,28 @@ def email_scalars(df: DataFrame, cfg: FeatureConfig = DEFAULT) -> DataFrame:
     payer, receiver = cfg.email_cols
     here = set(df.schema.names)
     df = add(df, {c: X.normalise_email(c) if c in here else "'missing'" for c in cfg.email_cols})
-    double = cfg.two_part_suffixes
-    return add(df, {
-        "P_email_vendor": X.email_vendor(payer, cfg.email_vendors, double),
-        "R_email_vendor": X.email_vendor(receiver, cfg.email_vendors, double),
-        "P_email_tld": X.email_tld(payer, double),
-        "R_email_tld": X.email_tld(receiver, double),
+    df = host_columns(df, {"P": payer, "R": receiver}, cfg)
+    df = add(df, {
+        "P_email_vendor": X.email_vendor("P_host_name", cfg.email_vendors),
+        "R_email_vendor": X.email_vendor("R_host_name", cfg.email_vendors),
+        "P_email_tld": X.email_tld("P_host_suffix"),
+        "R_email_tld": X.email_tld("R_host_suffix"),
         "email_domain_match": S.flag(f"{payer} = {receiver}"),
         "email_presence": X.email_presence(payer, receiver),
-    })
+    }, drop=("P_host_name", "R_host_name", "P_host_suffix", "R_host_suffix"))
+    return df
+
+
+def host_columns(df: DataFrame, hosts: dict[str, str], cfg: FeatureConfig = DEFAULT) -> DataFrame:
+    """`{k}_host_name` and `{k}_host_suffix` of normalised host columns."""
+    df = add(df, {f"__labels_{k}": X.host_labels(c) for k, c in hosts.items()})
+    df = add(df, {f"__tail_{k}": X.host_tail(f"__labels_{k}") for k in hosts})
+    parts = {}
+    for k, c in hosts.items():
+        known = (c, f"__labels_{k}", f"__tail_{k}", cfg.two_part_suffixes)
+        parts[f"{k}_host_name"] = X.email_name(*known)
+        parts[f"{k}_host_suffix"] = X.email_suffix(*known)
+    return add(df, parts, drop=[f"__{part}_{k}" for k in hosts for part in ("labels", "tail")])
 
 
 def email_features(
@@ -366,6 +379,7 @@ def enhanced_frequency_features(
 def _profiled(df, cfg, policy, profiles, **sets) -> DataFrame:
     """Attach sets of fitted statistics, fitting them on `df` itself when none are given."""
     policy = policy.settled(df)
+    df = spread_small(df, cfg.id_col, policy)
     keys = list(dict.fromkeys(c for cols in sets.values() for c in cols))
     profiles = profiles or A.fit_profiles(df, keys, cfg.amount_col, "D1" if "D1" in df.schema.names else None)
     return on_projection(
@@ -410,7 +424,7 @@ def keyed_columns(df: DataFrame, cfg: FeatureConfig = DEFAULT) -> DataFrame:
 
 def fit_features(df: DataFrame, cfg: FeatureConfig = DEFAULT, fold: Column | None = None) -> FittedFeatures:
     """Fit every statistic on training rows: one pass for the keys, one for the target rates."""
-    narrow = keyed_columns(df, cfg)
+    narrow = spread_small(keyed_columns(df, cfg), cfg.id_col, DEFAULT_POLICY)
     profiles = A.fit_profiles(narrow, _profile_keys(cfg), cfg.amount_col, "D1")
     rates = None
     if cfg.target_col in df.schema.names:

@@ -40,15 +40,20 @@ def rolling_rates(
     policy: SkewPolicy = DEFAULT_POLICY,
 ) -> DataFrame:
     """For every prediction: rows and alert share of the `n` latest up to it, per model."""
-    frame = f"ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW"
-    return ordered_features(
+    upto = "OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    # A running sum minus the one `n` rows earlier: no frame is summed again for every row.
+    out = ordered_features(
         log, key, list(order),
-        {
-            "rows_in_window": f"count(1) OVER ({{w}} {frame})",
-            "rate_in_window": f"avg(CAST(prob > 0.5D AS INT)) OVER ({{w}} {frame})",
-        },
+        [
+            {"__sum": f"sum(CAST(prob > 0.5D AS INT)) {upto}", "__row": "row_number() OVER ({w})"},
+            {
+                "rows_in_window": f"least(__row, {n})",
+                "rate_in_window": f"(__sum - coalesce(lag(__sum, {n}) OVER ({{w}}), 0)) / least(__row, {n})",
+            },
+        ],
         history=n - 1, policy=policy.settled(log),
     )
+    return out.drop("__sum", "__row")
 
 
 def label_drift(window: DataFrame, prob: str = "prob", baseline: float = BASELINE_RATE) -> DataFrame:
