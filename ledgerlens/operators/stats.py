@@ -16,7 +16,7 @@ from ..functions.keys import number_text
 from ..functions.scalars import ratio
 from ..functions.sqltext import add, lit
 from ..session import materialise
-from .skew import DEFAULT_POLICY, SkewPolicy, is_small, lookup
+from .skew import DEFAULT_POLICY, SkewPolicy, is_small, lookup, skewed_lookup
 
 _EVERYTHING = "*"
 _INLINE = 64  # columns with at most this many values become a constant in the plan
@@ -99,7 +99,8 @@ def fit_profiles(df: DataFrame, cols, amount: str | None = None, aux: str | None
 
 
 def attach_profiles(
-    df: DataFrame, profiles: Profiles, wanted: dict[str, dict[str, str]], policy: SkewPolicy = DEFAULT_POLICY
+    df: DataFrame, profiles: Profiles, wanted: dict[str, dict[str, str]], policy: SkewPolicy = DEFAULT_POLICY,
+    spread: str = "TransactionID",
 ) -> DataFrame:
     """Left-join fitted statistics: `wanted[column]` maps new column to statistic. One join per
     key column, whatever the number of statistics. Null and unseen keys get null."""
@@ -119,10 +120,14 @@ def attach_profiles(
         drop=[f"__{k}_{c}" for c in few for k in ("m", "v")],
     )
     for c in joined:
-        table = profiles.table.where(F.col("name") == c).selectExpr(
-            f"value AS `__v_{c}`", *[f"{stat} AS `{o}`" for o, stat in wanted[c].items()]
-        )
-        keyed = lookup(keyed, table, f"__v_{c}", policy, profiles.sizes.get(c, 0))
+        key, size = f"__v_{c}", profiles.sizes.get(c, 0)
+        stats = [f"{stat} AS `{o}`" for o, stat in wanted[c].items()]
+        table = profiles.table.where(F.col("name") == c)
+        if size * policy.row_bytes <= policy.broadcast_bytes or spread not in keyed.schema.names:
+            keyed = lookup(keyed, table.selectExpr(f"value AS `{key}`", *stats), key, policy, size)
+        else:
+            table = table.selectExpr(f"value AS `{key}`", "n AS __n", *stats)
+            keyed = skewed_lookup(keyed, table, [key], "__n", profiles.total, spread, policy).drop("__n")
     return keyed.drop(*[f"__v_{c}" for c in joined])
 
 
@@ -177,15 +182,21 @@ def profile_features(
 
 
 def group_lookup(
-    df: DataFrame, keys: list[str], aggs: dict[str, Column], policy: SkewPolicy = DEFAULT_POLICY
+    df: DataFrame, keys: list[str], aggs: dict[str, Column], policy: SkewPolicy = DEFAULT_POLICY,
+    spread: str = "TransactionID",
 ) -> DataFrame:
     """Aggregate by `keys` and give every row its group's values. Rows with a null key get
     null: a missing key is no group."""
-    table = df.dropna(subset=keys).groupBy(*keys).agg(*[c.alias(n) for n, c in aggs.items()])
+    df = df.drop(*aggs)
+    grouped = df.dropna(subset=keys).groupBy(*keys)
+    columns = [c.alias(n) for n, c in aggs.items()]
     if is_small(df, policy):
-        return df.drop(*aggs).join(F.broadcast(table), keys, "left")
-    table = materialise(table)
-    return lookup(df.drop(*aggs), table, keys, policy, table.count())
+        return df.join(F.broadcast(grouped.agg(*columns)), keys, "left")
+    table = materialise(grouped.agg(*columns, F.count(F.lit(1)).alias("__n")))
+    size = table.agg(F.count(F.lit(1)).alias("keys"), F.sum("__n").alias("rows")).first()
+    if size["keys"] * policy.row_bytes <= policy.broadcast_bytes or spread not in df.schema.names:
+        return lookup(df, table.drop("__n"), keys, policy, size["keys"])
+    return skewed_lookup(df, table, keys, "__n", size["rows"], spread, policy).drop("__n")
 
 
 def zscore_by(df: DataFrame, key: str, amount: str, name: str, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:

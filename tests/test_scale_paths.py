@@ -84,6 +84,20 @@ def test_chain_narrow_wide_and_large(skewed, ident):
     same(plain, G.feature_chain(df, policy=FORCED, fitted=fitted))
 
 
+def test_lookups_beyond_the_broadcast_limit(skewed):
+    """Hot keys by broadcast, the others by shuffle, missing keys kept."""
+    df = G.with_card_id(skewed).select("TransactionID", "card_id", "addr1", "TransactionAmt")
+    large = SkewPolicy(small_bytes=0, hot_rows=60, broadcast_bytes=1500)
+    for keys in (["card_id"], ["addr1"], ["card_id", "TransactionAmt"]):
+        aggs = {"n": F.count(F.lit(1)), "top": F.max("TransactionAmt")}
+        same(G.A.group_lookup(df, keys, aggs), G.A.group_lookup(df, keys, aggs, large))
+    fitted = replace(G.A.fit_profiles(df, ["card_id", "addr1"], "TransactionAmt"), inline={})
+    wanted = {"card_id": {"a": "n", "b": "amt_std"}, "addr1": {"c": "n"}}
+    same(G.A.attach_profiles(df, fitted, wanted), G.A.attach_profiles(df, fitted, wanted, large))
+    plan = G.A.attach_profiles(df, fitted, wanted, large)._jdf.queryExecution().optimizedPlan().toString()
+    assert "__salt" in plan
+
+
 def test_order_and_partitioning_do_not_matter(skewed):
     df = G.with_card_id(skewed)
     one = G.card_sequence(df.orderBy(F.desc("TransactionAmt")).repartition(1))
