@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens.sources.event_views import load_view, with_views
@@ -62,12 +63,17 @@ def ident(spark, folder) -> DataFrame:
     return load_view(spark, folder, "ident")
 
 
+def _instant(df: DataFrame) -> DataFrame:
+    """`ts` as an instant, so windows start at the same second in every session time zone."""
+    return df.withColumn("ts", F.timestamp_seconds(F.col("sec") + 1704067200))
+
+
 def requests(spark, folder) -> DataFrame:
-    return load_view(spark, folder, "request_log")
+    return _instant(load_view(spark, folder, "request_log"))
 
 
 def predictions(spark, folder) -> DataFrame:
-    return load_view(spark, folder, "prediction_log")
+    return _instant(load_view(spark, folder, "prediction_log"))
 
 
 def raw(spark, folder) -> DataFrame:

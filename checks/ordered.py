@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from ledgerlens.operators import eda, stats
 from ledgerlens.plans import features as G
-from ledgerlens.sources.event_views import load_view
 from ledgerlens.streaming import drift
 
 from .base import AMT, CARDED, DT, W_CARD, WITH_UIDS, B, R, check, flag, predictions, raw, txn
@@ -199,12 +198,10 @@ def flagship(s, d):
 
 # ---- a larger transaction shape: orders per customer --------------------------------------------
 
-ORDER_SEC = "epoch(o_orderdate)"
-
-
 def orders_as_txn(s, d):
     return s.read.parquet(f"{d}/orders.parquet").selectExpr(
-        "o_orderkey AS TransactionID", "unix_timestamp(o_orderdate) AS TransactionDT",
+        "o_orderkey AS TransactionID",
+        "timestampdiff(SECOND, TIMESTAMP_NTZ '1990-01-01 00:00:00', o_orderdate) AS TransactionDT",
         "o_totalprice AS TransactionAmt", "CAST(o_custkey AS STRING) AS card_id",
     )
 

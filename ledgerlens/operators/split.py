@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialise
 from .skew import DEFAULT_POLICY, SkewPolicy, lookup
 
 _BUCKETS = 100_000
@@ -33,13 +34,13 @@ def stratified_split(
     counts = df.groupBy(F.col(label).alias(label), hash_bucket(key, seed).alias("__b")).agg(
         F.count(F.lit(1)).alias("__n")
     )
-    cut = counts.selectExpr(
+    cut = materialise(counts.selectExpr(
         f"`{label}`", "__b",
         f"sum(__n) OVER (PARTITION BY `{label}` ORDER BY __b) AS __upto",
         f"sum(__n) OVER (PARTITION BY `{label}`) AS __all",
     ).groupBy(label).agg(
         F.expr(f"coalesce(max(CASE WHEN __upto <= round(__all * {test_size}D) THEN __b END), -1)").alias("__cut")
-    )
+    ))
     classes = cut.count()
     marked = lookup(df.withColumn("__b", hash_bucket(key, seed)), cut, label, policy, classes)
     train, test = split_by(marked, F.col("__b") <= F.col("__cut"))

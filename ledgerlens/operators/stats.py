@@ -225,16 +225,16 @@ def hash_fold(id_col: str, folds: int) -> Column:
 def fit_target_rates(df: DataFrame, col: str, target: str, fold: Column) -> TargetRates:
     """Per key: the target mean over all other folds, `(S - s) / (C - c)`, and over all rows."""
     cells = materialise(
-        df.where(F.col(col).isNotNull()).groupBy(F.col(col), fold.alias("__fold"))
-        .agg(F.sum(target).alias("__s"), F.count(target).alias("__c"))
+        df.groupBy(F.col(col), fold.alias("__fold")).agg(F.sum(target).alias("__s"), F.count(target).alias("__c"))
     )
+    overall = cells.agg(F.try_divide(F.sum("__s"), F.sum("__c"))).first()[0]
+    known = cells.where(F.col(col).isNotNull())
     per_key = Window.partitionBy(col)  # at most one row per fold
     all_s, all_c = F.sum("__s").over(per_key), F.sum("__c").over(per_key)
-    fold_table = cells.select(
+    fold_table = known.select(
         col, "__fold", F.try_divide(all_s - F.col("__s"), all_c - F.col("__c")).alias("__rate")
     )
-    full = cells.groupBy(col).agg(F.try_divide(F.sum("__s"), F.sum("__c")).alias("__rate"))
-    overall = df.agg(F.avg(target)).first()[0]
+    full = known.groupBy(col).agg(F.try_divide(F.sum("__s"), F.sum("__c")).alias("__rate"))
     return TargetRates(col, fold_table, full, overall, cells.count())
 
 

@@ -18,6 +18,7 @@ MINIMUM_ROWS = 100
 BASELINE_RATE = 0.035
 KS_LIMIT = 0.3
 LABEL_LIMIT = 0.05
+_PARTS = 256
 
 
 def reference_sample(spark: SparkSession, n: int = 1000, tail: float = 28.0) -> DataFrame:
@@ -26,13 +27,20 @@ def reference_sample(spark: SparkSession, n: int = 1000, tail: float = 28.0) ->
 
 
 def recent_rows(log: DataFrame, n: int = WINDOW_ROWS, by: str | None = None, order=("sec", "seq")) -> DataFrame:
-    """The last `n` rows, overall or per key. Every task keeps its own last `n` first, so a key
-    with most of the log sends `n` rows per task, not all of them."""
+    """The last `n` rows, overall or per key.
+
+    A key may hold most of the log: its rows are first dealt to parts by a hash of the order
+    columns, each part keeps its own last `n`, and only those meet in one task.
+    """
     latest = [F.desc(c) for c in order]
     if by is None:
         return log.orderBy(*latest).limit(n)
-    w = Window.partitionBy(by).orderBy(*latest)
-    return log.withColumn("__place", F.row_number().over(w)).where(F.col("__place") <= n).drop("__place")
+    part = F.pmod(F.xxhash64(*order), F.lit(_PARTS))
+    dealt = log.withColumn("__part", part)
+    for keys in ([by, "__part"], [by]):
+        w = Window.partitionBy(*keys).orderBy(*latest)
+        dealt = dealt.withColumn("__place", F.row_number().over(w)).where(F.col("__place") <= n).drop("__place")
+    return dealt.drop("__part")
 
 
 def rolling_rates(
