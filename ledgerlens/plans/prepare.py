@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from ..config import DEFAULT, FeatureConfig
 from ..functions.sqltext import add, lit, map_of
 from ..operators.ordered import dense_position
-from ..operators.skew import DEFAULT_POLICY, SkewPolicy, lookup
+from ..operators.skew import DEFAULT_POLICY, SkewPolicy, lookup, skewed_lookup
 from ..operators.stats import profile_table
 from ..session import materialise
 from ..sources.files import read_text, write_text
@@ -43,34 +43,37 @@ def fill_constant(df: DataFrame, cols: list[str], value: float) -> DataFrame:
 
 @dataclass(frozen=True)
 class Dictionaries:
-    """`table(name, value, code)`: codes 0.. in the order of the values, per column."""
+    """`table(name, value, code, n)`: codes 0.. in the order of the values, per column, and the
+    rows holding each value."""
 
     table: DataFrame
     sizes: dict
     inline: dict
+    totals: dict
 
 
 def _dictionaries(table: DataFrame, cols: list[str]) -> Dictionaries:
-    sizes = {r["name"]: r["n"] for r in table.groupBy("name").agg(F.count(F.lit(1)).alias("n")).collect()}
+    found = table.groupBy("name").agg(F.count(F.lit(1)).alias("values"), F.sum("n").alias("rows")).collect()
+    sizes = {r["name"]: r["values"] for r in found}
     few = [c for c in cols if sizes.get(c, 0) <= _INLINE]
     inline: dict = {c: {} for c in few}
     for r in table.where(F.col("name").isin(few)).collect():  # at most 64 rows per column
         inline[r["name"]][r["value"]] = r["code"]
-    return Dictionaries(table, {c: sizes.get(c, 0) for c in cols}, inline)
+    return Dictionaries(table, {c: sizes.get(c, 0) for c in cols}, inline, {r["name"]: r["rows"] for r in found})
 
 
 def fit_dictionaries(df: DataFrame, cols: list[str], policy: SkewPolicy = DEFAULT_POLICY) -> Dictionaries:
     """Distinct values of all columns in one shuffle, numbered in order. Nothing is gathered on
     the driver, so columns with as many values as rows are fine."""
     policy = policy.settled(df)
-    values = profile_table(df, cols).where(F.col("name").isin(list(cols))).select("name", "value")
+    values = profile_table(df, cols).where(F.col("name").isin(list(cols))).select("name", "value", "n")
     coded = dense_position(values, ["value"], ["name"], "code", policy=policy)
     return _dictionaries(materialise(coded.withColumn("code", (F.col("code") - 1).cast("double"))), list(cols))
 
 
 def encode(
     df: DataFrame, fitted: Dictionaries, cols: list[str], missing: float, unknown: float,
-    policy: SkewPolicy = DEFAULT_POLICY,
+    policy: SkewPolicy = DEFAULT_POLICY, spread: str = "TransactionID",
 ) -> DataFrame:
     """Replace text by its code; missing and unseen values get their own codes."""
     here = set(df.schema.names)
@@ -86,8 +89,11 @@ def encode(
             constant[c] = text
     df = add(df, constant)
     for c in joined:
-        table = fitted.table.where(F.col("name") == c).selectExpr(f"value AS `{c}`", f"code AS `__c_{c}`")
-        df = lookup(df, table, c, policy, fitted.sizes[c])
+        table = fitted.table.where(F.col("name") == c).selectExpr(f"value AS `{c}`", f"code AS `__c_{c}`", "n AS __n")
+        if fitted.sizes[c] * policy.row_bytes <= policy.broadcast_bytes or spread not in here:
+            df = lookup(df, table.drop("__n"), c, policy, fitted.sizes[c])
+        else:
+            df = skewed_lookup(df, table, [c], "__n", fitted.totals[c], spread, policy).drop("__n")
     final = {
         c: f"CASE WHEN `{c}` IS NULL THEN {lit(missing)} ELSE coalesce(`__c_{c}`, {lit(unknown)}) END" for c in joined
     }
@@ -147,7 +153,7 @@ class Preparation:
         df = add(df, {c: "CAST(NULL AS DOUBLE)" for c in absent})
         keep = [c for c in (cfg.id_col, cfg.target_col) if c in here]
         df = fill_constant(df, [c for c in self.numbers if c not in keep], cfg.fill_value)
-        df = encode(df, self.dictionaries, self.texts, cfg.fill_value, cfg.unknown_code, policy)
+        df = encode(df, self.dictionaries, self.texts, cfg.fill_value, cfg.unknown_code, policy, cfg.id_col)
         parts = [*self.numbers, *self.texts]
         if self.components is not None:
             df = add(df, {c: f"CAST(`{c}` AS DOUBLE)" for c in self.v_cols})

@@ -1,10 +1,14 @@
+from dataclasses import replace
+
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import split
+from ledgerlens.operators.skew import SkewPolicy
 from ledgerlens.plans import model as M
 from ledgerlens.plans import prepare as P
+from ledgerlens.plans.features import with_card_id
 from ledgerlens.session import scratch_path
 from conftest import rows
 
@@ -30,10 +34,19 @@ def test_codes(spark):
     new = spark.createDataFrame([("a",), ("b",), ("c",), ("z",), (None,)], "k string")
     fitted = P.fit_dictionaries(train, ["k"])
     assert sorted(r[0] for r in P.encode(new, fitted, ["k"], -999.0, -1.0).collect()) == [-999.0, -1.0, 0.0, 1.0, 2.0]
-    joined = P.Dictionaries(fitted.table, fitted.sizes, {})
+    joined = P.Dictionaries(fitted.table, fitted.sizes, {}, fitted.totals)
     assert sorted(r[0] for r in P.encode(new, joined, ["k"], -999.0, -1.0).collect()) == [-999.0, -1.0, 0.0, 1.0, 2.0]
 
 
+def test_codes_beyond_the_broadcast_limit(txn):
+    cols = ["card_id", "P_emaildomain"]
+    df = with_card_id(txn).select("TransactionID", *cols)
+    fitted = replace(P.fit_dictionaries(df, cols), inline={})
+    small = P.encode(df, fitted, cols, -999.0, -1.0)
+    large = P.encode(df, fitted, cols, -999.0, -1.0, SkewPolicy(small_bytes=0, broadcast_bytes=0, hot_rows=50))
+    assert small.exceptAll(large).count() == 0 and small.count() == large.count() == txn.count()
+
+
 def test_columns_without_values_are_left_out(spark):
     df = spark.createDataFrame([(1.0, None), (None, None)], "a double, b double")
     assert P.known_columns(df, ["a", "b"]) == ["a"]
