@@ -204,11 +204,12 @@ def recent_count(
     seconds: int,
     name: str,
     policy: SkewPolicy = DEFAULT_POLICY,
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """Rows of the key in `(t - seconds, t]`.
 
     The count depends on key and second only, so rows are first reduced to one per key and
-    second. Large inputs cut that table into days that each carry the tail of the day before,
+    second, from `source` if `df` was derived from it at some cost. Large inputs cut that table into days that each carry the tail of the day before,
     which bounds a task by the seconds of one day however hot the key is.
     """
     frame = f"RANGE BETWEEN {seconds - 1} PRECEDING AND CURRENT ROW"
@@ -216,7 +217,7 @@ def recent_count(
         return add(df, {name: f"count(1) OVER (PARTITION BY {key} ORDER BY {time} {frame})"})
     day = max(86400, seconds)
     counts = (
-        df.groupBy(key, time).agg(F.count(F.lit(1)).alias("__n"))
+        (df if source is None else source).groupBy(key, time).agg(F.count(F.lit(1)).alias("__n"))
         .selectExpr("*", f"explode(CASE WHEN pmod({time}, {day}) > {day - seconds} THEN array(0, 1) ELSE array(0) END) AS __halo")
         .selectExpr("*", f"floor({time} / {day}) + __halo AS __day")
         .selectExpr(key, time, "__halo", f"sum(__n) OVER (PARTITION BY {key}, __day ORDER BY {time} {frame}) AS {name}")

@@ -72,7 +72,7 @@ def time_history(df: DataFrame, cfg: FeatureConfig = DEFAULT, policy: SkewPolicy
     """Seconds since the card's previous transaction and its transactions in the last hour."""
     policy = policy.settled(df)
     out = ordered_features(df, "card_id", _order(cfg), {"Transaction_time_gap": _gap(cfg)}, policy=policy)
-    return recent_count(out, "card_id", cfg.time_col, cfg.velocity_seconds, "Transaction_cnt_1hr", policy)
+    return recent_count(out, "card_id", cfg.time_col, cfg.velocity_seconds, "Transaction_cnt_1hr", policy, df)
 
 
 def product_filled(df: DataFrame, cfg: FeatureConfig = DEFAULT, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
@@ -87,7 +87,7 @@ def card_sequence(df: DataFrame, cfg: FeatureConfig = DEFAULT, policy: SkewPolic
     past = {**_amount_past(cfg), "Transaction_time_gap": _gap(cfg)}
     filled = _FILL if "ProductCD" in df.schema.names else None
     out = ordered_features(df, "card_id", _order(cfg), past, filled, history=cfg.rolling_rows, policy=policy)
-    out = recent_count(out, "card_id", cfg.time_col, cfg.velocity_seconds, "Transaction_cnt_1hr", policy)
+    out = recent_count(out, "card_id", cfg.time_col, cfg.velocity_seconds, "Transaction_cnt_1hr", policy, df)
     return _amount_compared(out, cfg)
 
 
