@@ -4,16 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerlens.operators import stats
 from ledgerlens.operators.setops import stack_rows
 from ledgerlens.plans import features as G
 
 from .base import AMT, CARDED, CARD_TEXTS, DT, EMAIL, UIDS, WITH_UIDS, B, R, check, flag, host_parts, ident, raw, txn
 from .grouped import (
-    AMT_COLS, BOTH, COUNTS, FREQ_COLS, ID_OUT, ID_SQL, NORM, NORM_COLS, NORM_OUT, OOF, RAW, REPEAT, UID_COLS, UID_OUT,
-    UID_RAW, V_OUT, V_SQL, _card, amount_stats_sql, freq, uid_rows, uid_stats_sql,
+    AMT_COLS, BOTH, FREQ_COLS, ID_SQL, NORM, NORM_COLS, NORM_OUT, OOF, RAW, REPEAT, UID_COLS, UID_OUT,
+    UID_RAW, V_OUT, V_SQL, amount_stats_sql, freq, uid_rows, uid_stats_sql,
 )
-from .ordered import FILLED, GAP, MEDIAN, PREV, VELOCITY, carded, since, uid_window, with_uids
+from .ordered import GAP, MEDIAN, PREV, VELOCITY, since, uid_window, with_uids
 from .scalars import BIN_SQL, CARD_KEYS_SQL, DEVICE, HOUR, ID_FLAGS_SQL, MISSING, PRESENCE, SCREEN, SCREEN_INNER, STATUS, TOD
 
 ID = "TransactionID"

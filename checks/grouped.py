@@ -9,7 +9,7 @@ from ledgerlens.operators import eda, joins, metrics, setops, stats
 from ledgerlens.operators.skew import DEFAULT_POLICY, spread_small
 from ledgerlens.plans import features as G
 
-from .base import AMT, CARDED, DT, WITH_UIDS, B, R, check, flag, ident, predictions, raw, requests, txn
+from .base import AMT, CARDED, WITH_UIDS, B, R, check, ident, predictions, raw, requests, txn
 from .ordered import RISK, carded, with_uids
 
 ID = "TransactionID"

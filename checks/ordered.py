@@ -8,7 +8,7 @@ from ledgerlens.operators import eda, stats
 from ledgerlens.plans import features as G
 from ledgerlens.streaming import drift
 
-from .base import AMT, CARDED, DT, W_CARD, WITH_UIDS, B, R, check, flag, predictions, raw, txn
+from .base import AMT, CARDED, DT, W_CARD, WITH_UIDS, B, R, check, flag, predictions, txn
 
 ID = "TransactionID"
 PREV = f"coalesce(lag({AMT}) OVER ({W_CARD}), {AMT})"

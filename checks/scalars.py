@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from ledgerlens.config import DEFAULT, NULL_TOKENS
-from ledgerlens.functions import keys as K
 from ledgerlens.functions import scalars as S
 from ledgerlens.functions import text as X
 from ledgerlens.operators.joins import map_lookup
 from ledgerlens.plans import features as G
 
 from .base import (
-    AMT, CARD_TEXTS, CARDED, DT, EMAIL, UIDS, B, R, check, dtext, flag, host_parts, ident, raw, txn,
+    AMT, CARD_TEXTS, CARDED, DT, EMAIL, UIDS, B, R, check, dtext, flag, host_parts, ident, txn,
 )
 
 ID = "TransactionID"
