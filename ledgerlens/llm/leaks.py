@@ -71,9 +71,7 @@ class _Items:
     def __init__(self, rows: list[tuple[int, np.ndarray]]):
         self.words = [w for _, w in rows]
         self.ids = [i for i, _ in rows]
-        flat = np.concatenate(self.words)
-        bounds = np.cumsum([0] + [len(w) for w in self.words])
-        owner = np.repeat(np.arange(len(rows)), np.diff(bounds))
+        self.sets = [set(w.tolist()) for w in self.words]
         keys, items, places = [], [], []
         for r in range(REPEATS):
             for i, w in enumerate(self.words):
@@ -86,7 +84,6 @@ class _Items:
         self.keys, self.items, self.places = keys[order], items[order], places[order]
         self.maybe = np.zeros(1 << 21, bool)
         self.maybe[(self.keys >> np.uint64(43)).astype(np.int64)] = True
-        del flat, owner
 
 
 def _search(items: _Items, symbols: np.ndarray, rows: np.ndarray, share: float) -> list[tuple[int, int, int]]:
@@ -110,6 +107,9 @@ def _search(items: _Items, symbols: np.ndarray, rows: np.ndarray, share: float)
         if best.get((row, i), len(word)) == 0:
             continue
         a, b = max(rows[row], at * 8 - allowed), min(rows[row + 1], at * 8 + 8 + len(word) + allowed)
+        # every distinct word that is not there costs an edit
+        if len(items.sets[i].difference(symbols[a:b].tolist())) > allowed:
+            continue
         distance = edit_distance(word, symbols[a:b])
         if distance <= allowed:
             best[row, i] = min(distance, best.get((row, i), distance))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, leaks, lines, nearcopies, tokens
+from . import fingerprints, language, leaks, licenses, lines, nearcopies, pages, repeats, tokens, toxicity
 from .common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -23,6 +23,14 @@ def fold(parts: int) -> Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(parts))
 
 
+def op1_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, folder, "documents"), depth=200)
+
+
+def op2_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return pages.extract_pages(table(spark, folder, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op3_language_identification(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     model = language.train_language_model(docs, fold(3) != 1)
@@ -30,6 +38,10 @@ def op3_language_identification(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(held, model).select("doc_id", "held_out", "lang_pred", "score", "rejected")
 
 
+def op4_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(table(spark, folder, "documents"))
+
+
 def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return leaks.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -40,16 +52,28 @@ def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, folder, "documents"), licenses.notices(spark))
+
+
 def op8_bpe_encoding(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return tokens.encode_documents(docs, vocabulary(), ("n_tokens", "ids_sha256", "decoded_sha256")).drop("text")
 
 
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = toxicity.train_toxicity(docs.filter(fold(4) != 2), table(spark, folder, "labels"))
+    held = docs.select("doc_id", "text", (fold(4) == 2).alias("held_out"))
+    return toxicity.score_toxicity(held, model)
+
+
 def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return nearcopies.near_copies(table(spark, folder, "documents"), size=3, percent=85)
 
 
 QUERIES = {f.__name__: f for f in (
-    op3_language_identification, op5_benchmark_decontamination, op6_line_dedup, op8_bpe_encoding, op10_minhash_near_dedup,
+    op1_suffix_array_dedup, op2_html_extraction, op3_language_identification, op4_document_fingerprints, op5_benchmark_decontamination,
+    op6_line_dedup, op7_license_scan, op8_bpe_encoding, op9_toxicity, op10_minhash_near_dedup,
 )}
 ORACLE = {"op6_line_dedup": lines.ORACLE}
