@@ -118,6 +118,17 @@ def row_errors(s, d):
     return validate.error_rows(bad, ID)
 
 
+@check(
+    "p8_whole_doubles",
+    f"SELECT {ID}, CASE WHEN {ID} % 3 = 1 THEN 1 ELSE 0 END AS faults, CASE {ID} % 3 WHEN 0 THEN 12 WHEN 2 THEN 10000000 END AS card1 FROM txn",
+)
+def whole_doubles(s, d):
+    """Whole numbers that arrive as doubles: 12.0 and 1e7 are taken, 12.5 is not."""
+    rows = txn(s, d).selectExpr(ID, f"CASE {ID} % 3 WHEN 0 THEN 12.0D WHEN 1 THEN 12.5D ELSE 1e7D END AS card1")
+    typed = validate.typed_rows(rows, T.StructType([T.StructField(ID, T.LongType()), T.StructField("card1", T.LongType())]))
+    return typed.selectExpr(ID, "size(row_errors) AS faults", "card1")
+
+
 @check("p8_valid_rows", f"SELECT {ID}, {R(AMT, AMT)}, card1, {R('addr1', 'addr1')} FROM txn WHERE {ID} % 50 <> 0 AND {ID} % 70 <> 0")
 def valid_rows(s, d):
     good, _ = validate.validate_rows(dirty_rows(s, d), TYPED)
@@ -144,9 +155,9 @@ def header_style(s, d):
     return validate.normalise_headers(hyphens)
 
 
-@check("p12_guarded_batch", f"SELECT {ID}, {R(AMT, AMT)} FROM txn WHERE ProductCD = 'W'")
+@check("p12_guarded_batch", f"SELECT {ID}, {R(AMT, AMT)} FROM txn")
 def guarded_batch(s, d):
-    return validate.require_rows(txn(s, d).where("ProductCD = 'W'").select(ID, AMT))
+    return validate.require_rows(txn(s, d).select(ID, AMT))
 
 
 NUMBERS = [ID, DT, AMT, "card1", "isFraud"]
@@ -165,6 +176,17 @@ def narrowed(s, d):
     return validate.narrow_types(txn(s, d).select(ID, DT, "card1", "isFraud"))
 
 
+def _smallest(c: str) -> str:
+    fits = " ".join(f"WHEN min({c}) > {-(1 << (b - 1))} AND max({c}) < {(1 << (b - 1)) - 1} THEN '{t}'" for b, t in ((8, "tinyint"), (16, "smallint"), (32, "int")))
+    return f"SELECT '{c}' AS \"column\", CASE {fits} ELSE 'bigint' END AS kind FROM txn"
+
+
+@check("p13_types_by_column", " UNION ALL ".join(map(_smallest, (ID, DT, "card1", "isFraud"))) + f" UNION ALL SELECT '{AMT}', 'float' FROM (SELECT max({AMT}) AS m FROM txn) WHERE m < 1e38")
+def types_by_column(s, d):
+    narrow = validate.narrow_types(txn(s, d).select(ID, DT, "card1", "isFraud", AMT))
+    return s.createDataFrame(narrow.dtypes, "column string, kind string")
+
+
 @check("p15_preview", kept_sql(where=f"ORDER BY {ID} LIMIT 5"))
 def preview(s, d):
     return readers.first_rows(kept(s, d), 5, ID)
@@ -222,7 +244,8 @@ def record_batches(s, d):
 def table_sink(s, d):
     path = scratch_path(s, "table")
     days = sinks.with_day(kept(s, d))
-    sinks.write_table(days.repartition("day"), path, partition_by=["day"])
+    # a day is shared out over tasks by a salt, so a busy day is not one task's work
+    sinks.write_table(days.repartition("day", F.expr(f"pmod({ID}, 8)")), path, partition_by=["day"])
     return s.read.parquet(path).groupBy("day").agg(F.count(F.lit(1)).alias("rows"), F.sum(AMT).alias("amount"))
 
 
@@ -260,6 +283,24 @@ def versioned_names(s, d):
     return listed.groupBy("name").agg((F.expr(f"max({version_number('folder')})") + 1).alias("next_version"))
 
 
+@check(
+    "s16_pruned_versions",
+    "SELECT 'FraudModel' AS name, 'dry run' AS step, CAST(4 AS BIGINT) AS listed, CAST(5 AS BIGINT) AS present UNION ALL SELECT 'FraudModel', 'pruned', 4, 1 "
+    "FROM (SELECT count(*) AS n FROM events) WHERE n > 0", (),
+)
+def pruned_versions(s, d):
+    """Five stored versions of the mean of the table: a dry run removes nothing, a real one keeps the newest."""
+    root = scratch_path(s, "versions")
+    df = s.read.parquet(f"{d}/events.parquet")
+    rows = []
+    for v in range(1, 6):
+        df.agg(F.avg("value").alias("mean")).write.parquet(registry.version_path(root, "FraudModel", v))
+    for step, dry in (("dry run", True), ("pruned", False)):
+        listed = len(registry.prune(s, root, "FraudModel", dry_run=dry))
+        rows.append(("FraudModel", step, listed, len(registry.versions(s, root, "FraudModel"))))
+    return s.createDataFrame(rows, "name string, step string, listed long, present long")
+
+
 @check("s17_registry_rows", f"SELECT 'FraudModel' AS name, {B(2, 'version')}, {R('avg(isFraud)', 'fraud_rate')} FROM txn")
 def registry_rows(s, d):
     rate = txn(s, d).agg(F.avg("isFraud")).first()[0]

@@ -7,13 +7,15 @@ from pyspark.sql import functions as F
 
 from ledgerlens.config import DEFAULT
 from ledgerlens.operators import split
-from ledgerlens.operators.metrics import evaluate
+from ledgerlens.operators.metrics import batch_summary, evaluate, mean_confidence
 from ledgerlens.plans import features as G
 from ledgerlens.plans import model as M
 from ledgerlens.plans import prepare as P
 from ledgerlens.session import scratch_path
+from ledgerlens.streaming import scoring
 
-from .base import B, R, check, digest_bucket, raw, txn
+from .base import CARDED, B, R, check, digest_bucket, raw, txn
+from .ordered import GAP, MEDIAN, PREV, VELOCITY
 
 ID = "TransactionID"
 ROUNDS, DEPTH = 3, 4  # enough to exercise every step; the defaults in the library are larger
@@ -166,7 +168,7 @@ def boosted(s, d):
 @check("m11_early_stopping")
 def early_stopping(s, d):
     _, _, train, test = prepared_sets(s, d)
-    model = M.fit_classifier(train, M.boosted_trees(rounds=ROUNDS, depth=DEPTH), validation_share=0.1)
+    model = M.fit_with_patience(train, M.boosted_trees(rounds=ROUNDS, depth=DEPTH), patience=1, first=2)
     return M.scored_rows(model, test).withColumn("trees", F.lit(model.getNumTrees))
 
 
@@ -224,7 +226,21 @@ def fraud_model(s, d):
 
 @check("m16_predictions")
 def predicted(s, d):
-    return fraud_model(s, d).predict(sides(s, d)[1])
+    train, test = sides(s, d)
+    return fraud_model(s, d).predict(test, history=train)
+
+
+@check(
+    "m16_history_features",
+    f"WITH {CARDED}, {STRATIFIED}, h AS (SELECT {ID}, {PREV} AS prev, {MEDIAN} AS med, {GAP} AS gap, {VELOCITY} AS velocity FROM c) "
+    f"SELECT h.{ID}, {R('prev', 'prev_amount')}, {R('med', 'rolling_median_amt')}, {B('gap', 'Transaction_time_gap')}, {B('velocity', 'Transaction_cnt_1hr')} "
+    f"FROM h JOIN b USING ({ID}) JOIN cut USING (isFraud) WHERE b.b <= cut.cut",
+)
+def history_features(s, d):
+    """The test side looks back into all earlier rows of its cards, not only into its own."""
+    train, test = sides(s, d)
+    out = G.feature_chain(test, fitted=G.fit_features(train), training=False, history=train)
+    return out.select(ID, "prev_amount", "rolling_median_amt", "Transaction_time_gap", "Transaction_cnt_1hr")
 
 
 @check("m17_probabilities")
@@ -245,3 +261,58 @@ def stored_model(s, d):
 )
 def summary(s, d):
     return split.split_summary(txn(s, d).withColumn("split", F.expr(f"IF({ID} % 5 = 0, 'test', 'train')")), "split", "isFraud")
+
+
+# ---- properties of fitted models that SQL can state ---------------------------------------------
+
+TEST_SIDE = f"WITH {STRATIFIED} SELECT {ID}, CAST(1 AS BIGINT) AS same FROM b JOIN cut USING (isFraud) WHERE b <= cut"
+
+
+def equal_scores(a, b):
+    """One row a key: 1 if both give it the same label and probability."""
+    b = b.select(ID, F.col("prediction_isFraud").alias("__l"), F.col("fraud_probability").alias("__p"))
+    same = (F.col("prediction_isFraud") == F.col("__l")) & (F.abs(F.col("fraud_probability") - F.col("__p")) < 1e-9)
+    return a.join(b, ID, "full").select(ID, F.coalesce(same, F.lit(False)).cast("bigint").alias("same"))
+
+
+@check("m9_loaded_preparation_equals_memory", TEST_SIDE)
+def loaded_preparation(s, d):
+    fitted, preparation, _, test = prepared_sets(s, d)
+    path = scratch_path(s, "preparation")
+    preparation.save(path)
+    train, side = sides(s, d)
+    rows = G.feature_chain(side, fitted=fitted, training=False, history=train)
+    again = vectors(P.Preparation.load(s, path).transform(rows)).withColumnsRenamed({"width": "w", "total": "t"})
+    same = (F.col("width") == F.col("w")) & (F.abs(F.col("total") - F.col("t")) < 1e-6)
+    return vectors(test).join(again, ID, "full").select(ID, F.coalesce(same, F.lit(False)).cast("bigint").alias("same"))
+
+
+@check("m17_probability_range", f"SELECT {ID}, CAST(1 AS BIGINT) AS valid FROM txn")
+def probability_range(s, d):
+    valid = F.col("fraud_probability").between(0, 1) & ((F.col("fraud_probability") > 0.5).cast("int") == F.col("prediction_isFraud"))
+    return fraud_model(s, d).predict_proba(raw(s, d).drop("score")).select(ID, valid.cast("bigint").alias("valid"))
+
+
+@check("m18_stored_model_equals_memory", TEST_SIDE)
+def stored_equals_memory(s, d):
+    root = scratch_path(s, "models")
+    model = fraud_model(s, d)
+    model.save(root)
+    train, test = sides(s, d)
+    return equal_scores(M.FraudModel.load(s, root).predict_proba(test, history=train), model.predict_proba(test, history=train))
+
+
+@check("t12_streaming_model_equals_batch", f"SELECT {ID}, CAST(1 AS BIGINT) AS same FROM txn")
+def streaming_model(s, d):
+    """A stored model scores arriving files with the cards' history; every row equals the batch result, and the reports count every row."""
+    root, inbox, out, ck = (scratch_path(s, f"model-stream-{n}") for n in ("model", "in", "out", "ck"))
+    fraud_model(s, d).save(root)
+    model, rows = M.FraudModel.load(s, root), raw(s, d).drop("score", "isFraud")
+    rows.repartition(2).write.parquet(inbox)
+    stream = scoring.arriving_rows(s, inbox, rows.schema, files_per_batch=1)
+    reports = {"summary": lambda p: batch_summary(p, "prediction_isFraud"), "confidence": lambda p: mean_confidence(p, "prediction_isFraud", "fraud_probability")}
+    scoring.score_stream(stream, rows.schema, lambda good: model.predict_proba(good, history=rows), out, ck, available_now=True, reports=reports).awaitTermination()
+    scored = s.read.parquet(f"{out}/predictions").drop("batch")
+    counted = s.read.parquet(f"{out}/summary").agg(F.sum("total").alias("__total"))
+    every = scored.agg(F.count(F.lit(1)).alias("__rows")).join(counted, F.col("__rows") == F.col("__total"), "left_semi")
+    return equal_scores(scored, model.predict_proba(rows, history=rows)).join(every, F.lit(True), "left_semi")

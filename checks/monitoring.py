@@ -167,6 +167,11 @@ def islands(condition, hold):
     )
 
 
+RULE_SERIES = (
+    f"WITH {GAUGES[:-1].replace('s AS (', 's0 AS (', 1)}), s AS (SELECT * FROM s0 UNION ALL SELECT DISTINCT sec, m.name, m.base + (sec // 3600) % 7 * m.step FROM g CROSS JOIN "
+    "(VALUES ('cpu_used_percent', 60, 5), ('memory_used_percent', 70, 4), ('disk_free_percent', 4, 2), ('latency_p99', 1, 0.3), ('error_rate', 0.02, 0.01), "
+    "('up', 0, 1), ('training_status', 0, 1), ('model_auc_roc', 0.8, 0.02)) AS m(name, base, step))"
+)
 @check("t10_sustained_condition", f"WITH {GAUGES}, {islands('value > 0.72', 7200)}", LOG)
 def sustained(s, d):
     series = alerts.quality_series(predictions(s, d))
@@ -225,3 +230,32 @@ def training_run(s, d):
     rows = sinks.training_run_rows(s, 1.5, 1, txn(s, d).count(), {"accuracy": 0.9})
     sinks.append_metrics(rows, path)
     return s.read.parquet(path).where("name IN ('training_data_rows', 'training_status')").select("name", "value")
+
+
+_RULES = [(r.metric, r.condition, r.hold_seconds) for r in alerts.RULES]
+
+
+@check(
+    "t9_all_rules",
+    f"{RULE_SERIES}, f AS (SELECT *, CASE " + " ".join(f"WHEN series = '{m}' AND {c} THEN 1" for m, c, _ in _RULES) + " ELSE 0 END AS breach, CASE "
+    + " ".join(f"WHEN series = '{m}' THEN {h}" for m, _, h in _RULES) + " END AS hold FROM s), "
+    "i AS (SELECT *, sum(1 - breach) OVER (PARTITION BY series ORDER BY sec ROWS UNBOUNDED PRECEDING) AS run FROM f) "
+    "SELECT series, sec, CAST(breach AS BIGINT) AS breach, CAST(CASE WHEN breach = 1 AND sec - min(CASE WHEN breach = 1 THEN sec END) "
+    "OVER (PARTITION BY series, run) >= hold THEN 1 ELSE 0 END AS BIGINT) AS firing FROM i",
+    LOG,
+)
+def all_rules(s, d):
+    """Every rule on its own series; gauges that the log has no data for follow the hour."""
+    gauges = alerts.quality_series(predictions(s, d))
+    made = {
+        "cpu_used_percent": (60, 5), "memory_used_percent": (70, 4), "disk_free_percent": (4, 2), "latency_p99": (1, 0.3), "error_rate": (0.02, 0.01),
+        "up": (0, 1), "training_status": (0, 1), "model_auc_roc": (0.8, 0.02),
+    }
+    hours = gauges.select("sec").distinct()
+    parts = ", ".join(f"struct('{n}' AS series, CAST({b} + (sec DIV 3600) % 7 * {step} AS DOUBLE) AS value)" for n, (b, step) in made.items())
+    series = gauges.select("sec", "series", F.col("value").cast("double")).unionByName(hours.selectExpr("sec", f"inline(array({parts}))"))
+    out = None
+    for rule in alerts.RULES:
+        part = alerts.apply_rule(series.where(F.col("series") == rule.metric), rule).select("series", "sec", "breach", "firing")
+        out = part if out is None else out.unionByName(part)
+    return out

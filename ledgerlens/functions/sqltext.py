@@ -6,6 +6,8 @@ hundred columns are quick to build.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 
 
@@ -16,7 +18,9 @@ def lit(value) -> str:
     if isinstance(value, bool):
         return "TRUE" if value else "FALSE"
     if isinstance(value, float):
-        return f"{value!r}D"
+        if math.isfinite(value):
+            return f"{value!r}D"
+        return f"CAST('{'NaN' if math.isnan(value) else 'Infinity' if value > 0 else '-Infinity'}' AS DOUBLE)"
     if isinstance(value, int):
         return str(value)
     escaped = str(value).replace("\\", "\\\\").replace("'", "\\'")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialise
 from .ordered import running_totals
 from .skew import DEFAULT_POLICY, SkewPolicy
 
@@ -28,14 +29,18 @@ def describe_by(
     task collects a group.
     """
     policy = policy.settled(df)
-    known = df.where(F.col(col).isNotNull())
-    basic = known.groupBy(by).agg(
-        F.count(col).alias("count"), F.avg(col).alias("mean"), F.stddev_samp(col).alias("std"),
-        F.min(col).alias("min"), F.max(col).alias("max"),
+    known = df.where(F.col(col).isNotNull() & F.col(by).isNotNull())
+    # one read: everything else follows from the distinct values, their counts and squared distances
+    values = materialise(known.groupBy(by, F.col(col).alias("__v")).agg(F.count(F.lit(1)).alias("__n")))
+    basic = values.groupBy(by).agg(
+        F.sum("__n").alias("count"), F.expr("sum(__v * __n) / sum(__n)").alias("mean"),
+        F.min("__v").alias("min"), F.max("__v").alias("max"),
+    )
+    spread = values.join(basic.select(by, "mean", "count"), by).groupBy(by).agg(
+        F.expr("CASE WHEN max(count) > 1 THEN sqrt(sum(__n * power(__v - mean, 2)) / (max(count) - 1)) END").alias("std")
     )
-    values = known.groupBy(by, F.col(col).alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
     ranked = running_totals(values, ["__v"], {"__upto": "__n"}, [by], policy)
-    sized = ranked.join(known.groupBy(by).agg(F.count(F.lit(1)).alias("__all")), by)
+    sized = ranked.join(basic.select(by, F.col("count").alias("__all")), by)
     picks = []
     for name, q in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75)):
         at = f"((__all - 1) * {q}D)"
@@ -43,7 +48,9 @@ def describe_by(
         high = f"min(CASE WHEN __upto > ceil({at}) THEN __v END)"
         part = f"(max({at}) - floor(max({at})))"
         picks.append(F.expr(f"{low} + ({high} - {low}) * {part}").alias(name))
-    return basic.join(sized.groupBy(by).agg(*picks), by)
+    return basic.join(spread, by).join(sized.groupBy(by).agg(*picks), by).select(
+        by, "count", "mean", "std", "min", "max", "q25", "q50", "q75"
+    )
 
 
 def risk_table(df: DataFrame, keys: list[str], target: str = "isFraud") -> DataFrame:

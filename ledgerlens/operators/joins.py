@@ -15,9 +15,9 @@ class DuplicateKeyError(ValueError):
 
 def merge_identity(
     tx: DataFrame, ident: DataFrame, key: str = "TransactionID",
-    policy: SkewPolicy = DEFAULT_POLICY, check_unique: bool = False,
+    policy: SkewPolicy = DEFAULT_POLICY, check_unique: bool = True,
 ) -> DataFrame:
-    """Every transaction with its identity row, if any."""
+    """Every transaction with its identity row, if any, and no row twice."""
     if check_unique:
         repeated = ident.groupBy(key).count().where("count > 1").limit(1)
         if not repeated.isEmpty():
@@ -39,10 +39,21 @@ def map_lookup(col: str, mapping: dict, default=None) -> str:
     return f"coalesce(try_element_at({map_of(mapping)}, {col}), {lit(default)})"
 
 
+def unique_ids(df: DataFrame, id_col: str, policy: SkewPolicy = DEFAULT_POLICY) -> bool:
+    """Whether every row has an id of its own; counted on the id alone unless the policy knows."""
+    if policy.unique_ids is not None:
+        return policy.unique_ids
+    if id_col not in df.schema.names:
+        return False
+    counted = df.groupBy(id_col).agg(F.count(F.lit(1)).alias("__n"))
+    return counted.where(F.col(id_col).isNull() | (F.col("__n") > 1)).limit(1).isEmpty()
+
+
 def on_projection(df: DataFrame, needed: list[str], build, id_col: str, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
     """Run `build` on the columns it needs and join its results back by id when the frame is
-    wide, so that shuffles inside `build` move narrow rows. Ids must be unique."""
-    if len(df.schema.names) <= policy.narrow_over:
+    wide, so that shuffles inside `build` move narrow rows. Only ids that are present and unique
+    can be joined back; other frames are built whole, with the same rows."""
+    if len(df.schema.names) <= policy.narrow_over or not unique_ids(df, id_col, policy):
         return build(df)
     here = set(df.schema.names)
     needed = [c for c in dict.fromkeys([id_col, *needed]) if c in here]

@@ -86,7 +86,8 @@ def running_totals(
 ) -> DataFrame:
     """Inclusive running sums of columns: `sums` maps output name to input column.
 
-    Callers reduce to one row per distinct order value first, so ties cannot occur.
+    Callers reduce to one row per distinct order value first, so ties cannot occur. Rows without a
+    group are one group, whatever the size of the input.
     """
     group = group or []
     if is_small(df, policy):
@@ -100,7 +101,7 @@ def running_totals(
     )
     carried = materialise(
         part.select(
-            *group, "__slice",
+            *[F.col(g).alias(f"__k_{g}") for g in group], F.col("__slice").alias("__k_slice"),
             *[F.coalesce(F.sum(f"__t_{n}").over(before), F.lit(0)).alias(f"__c_{n}") for n in sums],
         )
     )
@@ -108,8 +109,11 @@ def running_totals(
         Window.partitionBy(*group, "__slice").orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, 0)
     )
+    match = sliced["__slice"] == F.col("__k_slice")
+    for g in group:
+        match = match & sliced[g].eqNullSafe(F.col(f"__k_{g}"))
     return (
-        sliced.join(broadcast_if_small(carried, policy, carried.count()), [*group, "__slice"])
+        sliced.join(broadcast_if_small(carried, policy, carried.count()), match)
         .select(*df.columns, *[(F.sum(c).over(inner) + F.col(f"__c_{n}")).alias(n) for n, c in sums.items()])
     )
 
@@ -206,7 +210,7 @@ def recent_count(
     policy: SkewPolicy = DEFAULT_POLICY,
     source: DataFrame | None = None,
 ) -> DataFrame:
-    """Rows of the key in `(t - seconds, t]`.
+    """Rows of the key in `(t - seconds, t]`; null where the key or the time is missing.
 
     The count depends on key and second only, so rows are first reduced to one per key and
     second, from `source` if `df` was derived from it at some cost. Large inputs cut that table into days that each carry the tail of the day before,
@@ -214,10 +218,11 @@ def recent_count(
     """
     frame = f"RANGE BETWEEN {seconds - 1} PRECEDING AND CURRENT ROW"
     if is_small(df, policy):
-        return add(df, {name: f"count(1) OVER (PARTITION BY {key} ORDER BY {time} {frame})"})
+        counted = f"count(1) OVER (PARTITION BY {key} ORDER BY {time} {frame})"
+        return add(df, {name: f"CASE WHEN {key} IS NOT NULL AND {time} IS NOT NULL THEN {counted} END"})
     day = max(86400, seconds)
     counts = (
-        (df if source is None else source).groupBy(key, time).agg(F.count(F.lit(1)).alias("__n"))
+        (df if source is None else source).dropna(subset=[key, time]).groupBy(key, time).agg(F.count(F.lit(1)).alias("__n"))
         .selectExpr("*", f"explode(CASE WHEN pmod({time}, {day}) > {day - seconds} THEN array(0, 1) ELSE array(0) END) AS __halo")
         .selectExpr("*", f"floor({time} / {day}) + __halo AS __day")
         .selectExpr(key, time, "__halo", f"sum(__n) OVER (PARTITION BY {key}, __day ORDER BY {time} {frame}) AS {name}")

@@ -25,6 +25,7 @@ class SkewPolicy:
     slice_rows: int = 2_000_000        # rows per range slice
     narrow_over: int = 40              # wider frames compute features on a projection
     small: bool | None = None          # size decision already taken for the input
+    unique_ids: bool | None = None     # whether the ids are known to be present and unique
 
     def settled(self, df: DataFrame) -> "SkewPolicy":
         """Decide once from the input; frames derived row by row keep the decision."""
@@ -59,7 +60,7 @@ def spread_small(df: DataFrame, key: str, policy: SkewPolicy) -> DataFrame:
     """A small input often sits in one file and would be worked on by one core; share it out.
     Large inputs have more splits than cores and are left alone."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if not is_small(df, policy) or key not in df.schema.names or df.rdd.getNumPartitions() >= cores:
+    if not is_small(df, policy) or key not in df.schema.names or len(df.inputFiles()) >= cores:
         return df
     return df.repartition(cores, key)
 

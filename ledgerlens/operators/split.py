@@ -12,8 +12,9 @@ _BUCKETS = 100_000
 
 
 def hash_bucket(key: str, seed: int, buckets: int = _BUCKETS) -> Column:
-    """Bucket of a key from the leading 60 bits of a digest, so that any engine can repeat it."""
-    digest = f"substr(md5(concat('{int(seed)}:', `{key}`)), 1, 15)"
+    """Bucket of a key from the leading 60 bits of a digest, so that any engine can repeat it. All
+    missing keys fall into one bucket."""
+    digest = f"substr(md5(concat('{int(seed)}:', coalesce(CAST(`{key}` AS STRING), 'null'))), 1, 15)"
     return F.expr(f"pmod(CAST(conv({digest}, 16, 10) AS BIGINT), {int(buckets)})")
 
 
@@ -29,22 +30,24 @@ def stratified_split(
     """`(train, test)` with the same class shares in both.
 
     Each class is cut where its running count over hash buckets reaches the wanted share. The
-    counts have at most 100,000 rows per class however large the data is.
+    counts have at most 100,000 rows per class however large the data is. Rows without a label
+    are a class of their own; rows without a key stay together on one side.
     """
-    counts = df.groupBy(F.col(label).alias(label), hash_bucket(key, seed).alias("__b")).agg(
+    df = df.withColumn("__class", F.coalesce(F.col(label).cast("string"), F.lit("\0")))
+    counts = df.groupBy("__class", hash_bucket(key, seed).alias("__b")).agg(
         F.count(F.lit(1)).alias("__n")
     )
     cut = materialise(counts.selectExpr(
-        f"`{label}`", "__b",
-        f"sum(__n) OVER (PARTITION BY `{label}` ORDER BY __b) AS __upto",
-        f"sum(__n) OVER (PARTITION BY `{label}`) AS __all",
-    ).groupBy(label).agg(
+        "__class", "__b",
+        "sum(__n) OVER (PARTITION BY __class ORDER BY __b) AS __upto",
+        "sum(__n) OVER (PARTITION BY __class) AS __all",
+    ).groupBy("__class").agg(
         F.expr(f"coalesce(max(CASE WHEN __upto <= round(__all * {test_size}D) THEN __b END), -1)").alias("__cut")
     ))
     classes = cut.count()
-    marked = lookup(df.withColumn("__b", hash_bucket(key, seed)), cut, label, policy, classes)
+    marked = lookup(df.withColumn("__b", hash_bucket(key, seed)), cut, "__class", policy, classes)
     train, test = split_by(marked, F.col("__b") <= F.col("__cut"))
-    return train.drop("__b", "__cut"), test.drop("__b", "__cut")
+    return train.drop("__b", "__cut", "__class"), test.drop("__b", "__cut", "__class")
 
 
 def shares_split(df: DataFrame, key: str, shares, seed: int = 6) -> list[DataFrame]:

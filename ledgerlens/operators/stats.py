@@ -190,8 +190,6 @@ def group_lookup(
     df = df.drop(*aggs)
     grouped = df.dropna(subset=keys).groupBy(*keys)
     columns = [c.alias(n) for n, c in aggs.items()]
-    if is_small(df, policy):
-        return df.join(F.broadcast(grouped.agg(*columns)), keys, "left")
     table = materialise(grouped.agg(*columns, F.count(F.lit(1)).alias("__n")))
     size = table.agg(F.count(F.lit(1)).alias("keys"), F.sum("__n").alias("rows")).first()
     if size["keys"] * policy.row_bytes <= policy.broadcast_bytes or spread not in df.schema.names:
@@ -216,6 +214,7 @@ class TargetRates:
     full_table: DataFrame
     overall: float
     rows: int
+    total: int
 
 
 def hash_fold(id_col: str, folds: int) -> Column:
@@ -225,22 +224,23 @@ def hash_fold(id_col: str, folds: int) -> Column:
 def fit_target_rates(df: DataFrame, col: str, target: str, fold: Column) -> TargetRates:
     """Per key: the target mean over all other folds, `(S - s) / (C - c)`, and over all rows."""
     cells = materialise(
-        df.groupBy(F.col(col), fold.alias("__fold")).agg(F.sum(target).alias("__s"), F.count(target).alias("__c"))
+        df.groupBy(F.col(col), fold.alias("__fold")).agg(F.sum(target).alias("__s"), F.count(target).alias("__c"), F.count(F.lit(1)).alias("__n"))
     )
     overall = cells.agg(F.try_divide(F.sum("__s"), F.sum("__c"))).first()[0]
     known = cells.where(F.col(col).isNotNull())
     per_key = Window.partitionBy(col)  # at most one row per fold
     all_s, all_c = F.sum("__s").over(per_key), F.sum("__c").over(per_key)
     fold_table = known.select(
-        col, "__fold", F.try_divide(all_s - F.col("__s"), all_c - F.col("__c")).alias("__rate")
+        col, "__fold", "__n", F.try_divide(all_s - F.col("__s"), all_c - F.col("__c")).alias("__rate")
     )
-    full = known.groupBy(col).agg(F.try_divide(F.sum("__s"), F.sum("__c")).alias("__rate"))
-    return TargetRates(col, fold_table, full, overall, cells.count())
+    full = known.groupBy(col).agg(F.try_divide(F.sum("__s"), F.sum("__c")).alias("__rate"), F.sum("__n").alias("__n"))
+    size = cells.agg(F.count(F.lit(1)), F.coalesce(F.sum("__n"), F.lit(0))).first()
+    return TargetRates(col, fold_table, full, overall, size[0], size[1])
 
 
 def target_rate_feature(
     df: DataFrame, rates: TargetRates, name: str, fold: Column | None = None,
-    policy: SkewPolicy = DEFAULT_POLICY,
+    policy: SkewPolicy = DEFAULT_POLICY, spread: str = "TransactionID",
 ) -> DataFrame:
     """Training rows (`fold` given) get the rate of the other folds, new rows the full rate;
     keys without one get the overall rate."""
@@ -248,7 +248,10 @@ def target_rate_feature(
         keyed, table, on = df.withColumn("__fold", fold), rates.fold_table, [rates.col, "__fold"]
     else:
         keyed, table, on = df, rates.full_table, [rates.col]
-    joined = lookup(keyed, table, on, policy, rates.rows)
+    if rates.rows * policy.row_bytes <= policy.broadcast_bytes or spread not in keyed.schema.names:
+        joined = lookup(keyed, table.drop("__n"), on, policy, rates.rows)
+    else:  # one domain may hold a large share of all rows
+        joined = skewed_lookup(keyed, table, on, "__n", rates.total, spread, policy).drop("__n")
     return joined.withColumn(name, F.coalesce("__rate", F.lit(rates.overall))).drop("__rate", "__fold")
 
 

@@ -77,7 +77,8 @@ def align_columns(df: DataFrame, expected: T.StructType, target: str | None = No
 
 def typed_rows(df: DataFrame, expected: T.StructType) -> DataFrame:
     """Cast every expected column and list what could not be cast in `row_errors`
-    (`array<struct<field, value, reason>>`). Whole-number fields reject fractions."""
+    (`array<struct<field, value, reason>>`). Whole-number fields take whole fractions (12.0) and
+    reject others (12.5), whether they come as numbers or as text."""
     here = set(df.schema.names)
     fields = [f for f in expected.fields if f.name in here and not isinstance(f.dataType, T.StringType)]
     if not fields:
@@ -85,7 +86,11 @@ def typed_rows(df: DataFrame, expected: T.StructType) -> DataFrame:
     checks, casts = [], {}
     for f in fields:
         kind = f.dataType.simpleString()
-        cast = f"try_cast(CAST(`{f.name}` AS STRING) AS {kind})"
+        text = f"CAST(`{f.name}` AS STRING)"
+        cast = f"try_cast({text} AS {kind})"
+        if isinstance(f.dataType, T.IntegralType) and not isinstance(df.schema[f.name].dataType, T.IntegralType):
+            number = f"try_cast({text} AS DOUBLE)"
+            cast = f"coalesce({cast}, CASE WHEN {number} = floor({number}) THEN try_cast(try_cast({text} AS DECIMAL(38, 9)) AS {kind}) END)"
         checks.append(
             f"CASE WHEN `{f.name}` IS NOT NULL AND {cast} IS NULL THEN struct({lit(f.name)} AS field,"
             f" CAST(`{f.name}` AS STRING) AS value, {lit('not a ' + kind)} AS reason) END"

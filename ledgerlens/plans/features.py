@@ -17,9 +17,10 @@ from ..functions import scalars as S
 from ..functions import text as X
 from ..functions.sqltext import add
 from ..operators import stats as A
-from ..operators.joins import on_projection
+from ..operators.joins import on_projection, unique_ids
 from ..operators.ordered import ordered_features, recent_count
-from ..operators.skew import DEFAULT_POLICY, SkewPolicy, spread_small
+from ..operators.skew import DEFAULT_POLICY, SkewPolicy, lookup, spread_small
+from ..session import materialise
 
 
 def _order(cfg: FeatureConfig) -> list[str]:
@@ -75,6 +76,22 @@ def time_history(df: DataFrame, cfg: FeatureConfig = DEFAULT, policy: SkewPolicy
     return recent_count(out, "card_id", cfg.time_col, cfg.velocity_seconds, "Transaction_cnt_1hr", policy, df)
 
 
+def with_history(df: DataFrame, history: DataFrame | None, build, cfg: FeatureConfig = DEFAULT) -> DataFrame:
+    """Run `build`, which looks backwards only, on the rows and on what their cards did before.
+
+    `history` holds earlier rows (id, time, amount, product, card columns; others are ignored). Of the result only
+    the given rows are kept; an id that stands in both counts once, as a given row.
+    """
+    if history is None:
+        return build(df)
+    here = set(df.schema.names)
+    wanted = [cfg.id_col, cfg.time_col, cfg.amount_col, "ProductCD", "card_id", *cfg.card_cols]
+    past = history.select(*[c for c in dict.fromkeys(wanted) if c in here and c in history.schema.names])
+    past = past.join(df.select(cfg.id_col), cfg.id_col, "left_anti").withColumn("__past", F.lit(True))
+    both = df.withColumn("__past", F.lit(False)).unionByName(past, allowMissingColumns=True)
+    return build(both).where("NOT __past").drop("__past")
+
+
 def product_filled(df: DataFrame, cfg: FeatureConfig = DEFAULT, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
     """`ProductCD_filled`: the card's last known product so far."""
     policy = policy.settled(df)
@@ -94,15 +111,20 @@ def card_sequence(df: DataFrame, cfg: FeatureConfig = DEFAULT, policy: SkewPolic
 def uid_velocity(
     df: DataFrame, uids=("uid1", "uid2"), cfg: FeatureConfig = DEFAULT, policy: SkewPolicy = DEFAULT_POLICY
 ) -> DataFrame:
-    """Seconds since the user's previous transaction, a rapid-fire flag and a running index."""
+    """Seconds since the user's previous transaction, a rapid-fire flag and a running index. Of a
+    wide frame only the id, the time and the users are shuffled."""
     policy = policy.settled(df)
-    for u in uids:
-        since = f"{u}_time_since_last"
-        df = ordered_features(
-            df, u, _order(cfg), {since: _gap(cfg)}, index=f"{u}_trans_in_session", policy=policy
-        )
-        df = add(df, {f"{u}_is_rapid": S.flag(f"{since} < {cfg.velocity_seconds}")})
-    return df
+
+    def build(part: DataFrame) -> DataFrame:
+        for u in uids:
+            since = f"{u}_time_since_last"
+            part = ordered_features(
+                part, u, _order(cfg), {since: _gap(cfg)}, index=f"{u}_trans_in_session", policy=policy
+            )
+            part = add(part, {f"{u}_is_rapid": S.flag(f"{since} < {cfg.velocity_seconds}")})
+        return part
+
+    return on_projection(df, [*_order(cfg), *uids], build, cfg.id_col, policy)
 
 
 # ---- feature sets --------------------------------------------------------------------------
@@ -406,6 +428,8 @@ class FittedFeatures:
 
     profiles: A.Profiles
     rates: A.TargetRates | None
+    repeats: DataFrame | None = None  # (card_id, amount, amt_repeat_count)
+    scores: DataFrame | None = None   # (user_id, __m, __s)
 
 
 def _profile_keys(cfg: FeatureConfig) -> list[str]:
@@ -422,15 +446,20 @@ def keyed_columns(df: DataFrame, cfg: FeatureConfig = DEFAULT) -> DataFrame:
     return df.select(*[c for c in wanted if c in here])
 
 
-def fit_features(df: DataFrame, cfg: FeatureConfig = DEFAULT, fold: Column | None = None) -> FittedFeatures:
+def fit_features(df: DataFrame, cfg: FeatureConfig = DEFAULT, fold: Column | None = None, policy: SkewPolicy = DEFAULT_POLICY) -> FittedFeatures:
     """Fit every statistic on training rows: one pass for the keys, one for the target rates."""
-    narrow = spread_small(keyed_columns(df, cfg), cfg.id_col, DEFAULT_POLICY)
+    narrow = spread_small(keyed_columns(df, cfg), cfg.id_col, policy)
     profiles = A.fit_profiles(narrow, _profile_keys(cfg), cfg.amount_col, "D1")
     rates = None
     if cfg.target_col in df.schema.names:
         fold = A.hash_fold(cfg.id_col, cfg.folds) if fold is None else fold
         rates = A.fit_target_rates(narrow, cfg.email_cols[0], cfg.target_col, fold)
-    return FittedFeatures(profiles, rates)
+    amt = cfg.amount_col
+    repeats = narrow.dropna(subset=["card_id", amt]).groupBy("card_id", amt).agg(F.count(F.lit(1)).alias("amt_repeat_count"))
+    scores = None
+    if "user_id" in df.schema.names:
+        scores = materialise(df.dropna(subset=["user_id"]).groupBy("user_id").agg(F.avg(amt).alias("__m"), F.stddev_samp(amt).alias("__s")))
+    return FittedFeatures(profiles, rates, materialise(repeats), scores)
 
 
 def _row_features(df: DataFrame, cfg: FeatureConfig) -> DataFrame:
@@ -441,14 +470,21 @@ def _row_features(df: DataFrame, cfg: FeatureConfig) -> DataFrame:
 
 
 def _key_features(
-    df: DataFrame, cfg: FeatureConfig, policy: SkewPolicy, fitted: FittedFeatures, fold: Column | None
+    df: DataFrame, cfg: FeatureConfig, policy: SkewPolicy, fitted: FittedFeatures, fold: Column | None, history: DataFrame | None
 ) -> DataFrame:
     """Features that need other rows of the same card, domain or user."""
     amt = cfg.amount_col
-    df = card_sequence(with_card_id(df, cfg), cfg, policy)
-    df = A.group_lookup(df, ["card_id", amt], {"amt_repeat_count": F.count(F.lit(1))}, policy)
+    df = with_history(df, history, lambda rows: card_sequence(with_card_id(rows, cfg), cfg, policy), cfg)
+    if fitted.repeats is None:
+        df = A.group_lookup(df, ["card_id", amt], {"amt_repeat_count": F.count(F.lit(1))}, policy)
+    else:
+        df = lookup(df.drop("amt_repeat_count"), fitted.repeats, ["card_id", amt], policy)
     if "user_id" in df.schema.names:
-        df = A.zscore_by(df, "user_id", amt, "amount_zscore", policy)
+        if fitted.scores is None:
+            df = A.zscore_by(df, "user_id", amt, "amount_zscore", policy)
+        else:
+            df = lookup(df.drop("__m", "__s"), fitted.scores, "user_id", policy)
+            df = add(df, {"amount_zscore": S.ratio(f"({amt} - __m)", "__s", 1.0)}, drop=("__m", "__s"))
     df = uid_features(email_scalars(_card_columns(df, cfg), cfg), cfg)
     if fitted.rates is None:
         df = add(df, {"P_domain_fraud_rate": "0D"})
@@ -467,27 +503,31 @@ def _key_features(
 
 def feature_chain(
     df: DataFrame, cfg: FeatureConfig = DEFAULT, policy: SkewPolicy = DEFAULT_POLICY,
-    fitted: FittedFeatures | None = None, training: bool = True, fold: Column | None = None,
+    fitted: FittedFeatures | None = None, training: bool = True, fold: Column | None = None, history: DataFrame | None = None,
 ) -> DataFrame:
     """All feature sets at once.
 
+    `history` holds rows of the same cards outside `df` (other splits, what was scored before): previous amounts, gaps, medians,
+    fills and velocities look back into it. Fitted counts and means never come from the scored rows.
+
     With `fitted` the statistics come from the training rows; without, from `df` itself.
     Training rows get out-of-fold target rates, scoring rows the fitted rates. A wide frame is
     read twice, once for its own columns and once for the few columns that are shuffled, and
-    joined by id once; chaining the single sets would repeat that for each of them.
+    joined by id once; chaining the single sets would repeat that for each of them. Frames whose
+    ids are missing or repeat cannot be joined back and are worked on whole.
     """
     policy = policy.settled(df)
-    fitted = fitted or fit_features(df, cfg, fold)
+    fitted = fitted or fit_features(df, cfg, fold, policy)
     training = training and fitted.rates is not None
     fold = (A.hash_fold(cfg.id_col, cfg.folds) if fold is None else fold) if training else None
-    if len(df.schema.names) <= policy.narrow_over:
-        return _row_features(_key_features(df, cfg, policy, fitted, fold), cfg)
+    if len(df.schema.names) <= policy.narrow_over or not unique_ids(df, cfg.id_col, policy):
+        return _row_features(_key_features(df, cfg, policy, fitted, fold, history), cfg)
     here = set(df.schema.names)
     shuffled = [
         *_order(cfg), cfg.amount_col, *cfg.card_cols, *cfg.frequency_cols, "D1", "user_id", cfg.target_col,
     ]
     keyed = _key_features(
-        df.select(*[c for c in dict.fromkeys(shuffled) if c in here]), cfg, policy, fitted, fold
+        df.select(*[c for c in dict.fromkeys(shuffled) if c in here]), cfg, policy, fitted, fold, history
     )
     replaced = {*cfg.card_cols, *cfg.email_cols}
     fresh = [c for c in keyed.schema.names if c not in here or c in replaced]

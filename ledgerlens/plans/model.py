@@ -17,7 +17,7 @@ from ..operators.metrics import evaluate
 from ..operators.skew import DEFAULT_POLICY, SkewPolicy
 from ..operators.split import hash_bucket
 from ..operators.validate import require_model, require_rows
-from ..session import materialise
+from ..session import materialise, shared_folder
 from ..sources.files import read_text, write_text
 from ..sources.registry import ModelNotFoundError, next_version, resolve, version_path
 from . import features as G
@@ -86,15 +86,18 @@ class FraudModel:
     cfg: FeatureConfig = DEFAULT
     metrics: dict = field(default_factory=dict)
 
-    def predict_proba(self, df: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
-        """One row per key with its label and probability."""
+    def predict_proba(
+        self, df: DataFrame, policy: SkewPolicy = DEFAULT_POLICY, history: DataFrame | None = None
+    ) -> DataFrame:
+        """One row per key with its label and probability. `history` holds the recent rows of the
+        cards (id, time, amount, product, card columns), so that a small batch is no first payment."""
         policy = policy.settled(df)
         df = df.drop(self.cfg.target_col)
-        rows = G.feature_chain(df, self.cfg, policy, self.features, training=False)
+        rows = G.feature_chain(df, self.cfg, policy, self.features, training=False, history=history)
         return scored_rows(self.classifier, self.preparation.transform(rows, policy), self.cfg.id_col)
 
-    def predict(self, df: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
-        return self.predict_proba(df, policy).select(self.cfg.id_col, "prediction_isFraud")
+    def predict(self, df: DataFrame, policy: SkewPolicy = DEFAULT_POLICY, history: DataFrame | None = None) -> DataFrame:
+        return self.predict_proba(df, policy, history).select(self.cfg.id_col, "prediction_isFraud")
 
     def save(self, root: str, name: str = "FraudModel") -> int:
         """Save as the next version below `root`."""
@@ -107,11 +110,15 @@ class FraudModel:
         rates = self.features.rates
         if rates is not None:
             rates.full_table.write.mode("overwrite").parquet(f"{path}/rates")
+        for part in ("repeats", "scores"):
+            if getattr(self.features, part) is not None:
+                getattr(self.features, part).write.mode("overwrite").parquet(f"{path}/{part}")
         info = {
             "kind": type(self.classifier).__name__,
             "rate_column": rates.col if rates else None,
             "rate_overall": rates.overall if rates else None,
             "metrics": self.metrics,
+            "tables": [part for part in ("repeats", "scores") if getattr(self.features, part) is not None],
         }
         write_text(spark, f"{path}/model.json", json.dumps(info))
         return version
@@ -127,9 +134,11 @@ class FraudModel:
         rates = None
         if info["rate_column"]:
             table = spark.read.parquet(f"{path}/rates")
+            size = table.agg(F.count(F.lit(1)), F.coalesce(F.sum("__n"), F.lit(0))).first()
             # Scoring never needs the per-fold rates.
-            rates = A.TargetRates(info["rate_column"], table, table, info["rate_overall"], table.count())
-        fitted = G.FittedFeatures(A.Profiles.load(spark, f"{path}/profiles"), rates)
+            rates = A.TargetRates(info["rate_column"], table, table, info["rate_overall"], size[0], size[1])
+        tables = {part: spark.read.parquet(f"{path}/{part}") for part in info.get("tables", [])}
+        fitted = G.FittedFeatures(A.Profiles.load(spark, f"{path}/profiles"), rates, **tables)
         return FraudModel(
             fitted, Preparation.load(spark, f"{path}/preparation", cfg),
             kinds[info["kind"]].load(f"{path}/classifier"), cfg, info["metrics"],
@@ -145,12 +154,13 @@ def predict_fraud(df: DataFrame, root: str, name: str = "FraudModel", version="l
 def prepare_sets(
     train: DataFrame, test: DataFrame, cfg: FeatureConfig = DEFAULT, policy: SkewPolicy = DEFAULT_POLICY
 ) -> tuple[G.FittedFeatures, Preparation, DataFrame, DataFrame]:
-    """Fit features and preparation on the training rows and apply them to both sets."""
+    """Fit features and preparation on the training rows and apply them to both sets. What looks
+    backwards in time sees the rows of both."""
     policy = policy.settled(train)
-    fitted = G.fit_features(train, cfg)
-    train_rows = materialise(G.feature_chain(train, cfg, policy, fitted, training=True))
+    fitted = G.fit_features(train, cfg, policy=policy)
+    train_rows = materialise(G.feature_chain(train, cfg, policy, fitted, training=True, history=test))
     preparation = fit_preparation(train_rows, cfg, policy=policy)
-    test_rows = G.feature_chain(test, cfg, policy, fitted, training=False)
+    test_rows = G.feature_chain(test, cfg, policy, fitted, training=False, history=train)
     return (
         fitted, preparation, materialise(preparation.transform(train_rows, policy)),
         materialise(preparation.transform(test_rows, policy)),
@@ -166,7 +176,44 @@ def fit_classifier(train: DataFrame, estimator, cfg: FeatureConfig = DEFAULT, po
         rows = rows.withColumn("validation", held)
         estimator = estimator.copy()
         estimator.setValidationIndicatorCol("validation")
-    return estimator.fit(rows)
+    return estimator.fit(_checkpointed(rows))
+
+
+def _checkpointed(rows: DataFrame) -> DataFrame:
+    """Boosting cuts its lineage by checkpoints; without a folder Spark would silently not."""
+    context = rows.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(rows.sparkSession))
+    return rows
+
+
+def best_round(losses: list[float], patience: int) -> tuple[int, bool]:
+    """Best number of rounds, and whether `patience` rounds without a better one have followed it."""
+    best = min(range(len(losses)), key=losses.__getitem__)
+    return best + 1, len(losses) - 1 - best >= patience
+
+
+def fit_with_patience(
+    train: DataFrame, estimator: GBTClassifier, patience: int = BOOSTED["patience"], cfg: FeatureConfig = DEFAULT,
+    positive_weight: float | None = None, validation_share: float = 0.1, first: int | None = None,
+):
+    """Boosted trees cut at the round after which the validation loss has not fallen for `patience` rounds.
+
+    Rounds are grown in stages (`first`, then twice as many) up to the estimator's own number, so a fit that stops early never
+    pays for all of them; the same seed gives the same first trees, so the last fit holds the best rounds exactly.
+    """
+    weight = cfg.positive_weight if positive_weight is None else positive_weight
+    held = hash_bucket(cfg.id_col, cfg.seed + 1) < F.lit(round(100_000 * validation_share))
+    rows = materialise(with_weights(train, cfg.target_col, weight))
+    used, unseen = _checkpointed(rows.where(~held)), rows.where(held)
+    most = estimator.getMaxIter()
+    rounds = min(most, first or 2 * patience)
+    while True:
+        model = estimator.copy({estimator.maxIter: rounds}).fit(used)
+        best, settled = best_round(model.evaluateEachIteration(unseen, "logistic"), patience)
+        if settled or rounds >= most:
+            return model if best == rounds else estimator.copy({estimator.maxIter: best}).fit(used)
+        rounds = min(most, 2 * rounds)
 
 
 def evaluate_sets(
@@ -177,6 +224,8 @@ def evaluate_sets(
     for name, prepared in sets.items():
         part = scored_rows(model, prepared, cfg.id_col).withColumn("split", F.lit(name))
         scored = part if scored is None else scored.unionByName(part)
+    # the metrics read the scores twice; the model runs once
+    scored = materialise(scored.select("split", cfg.target_col, "prediction_isFraud", "fraud_probability"))
     return evaluate(scored, cfg.target_col, "prediction_isFraud", "fraud_probability", ["split"], policy)
 
 

@@ -149,9 +149,10 @@ def document_options(
 ) -> dict[str, str]:
     """Options of the document-store connector; the filter runs in the store."""
     import json
+    from urllib.parse import quote
 
     if connection is None:
-        login = f"{username}:{password}@" if username and password else ""
+        login = f"{quote(username, safe='')}:{quote(password, safe='')}@" if username and password else ""
         connection = f"mongodb://{login}{host}:{port}/" + (f"?authSource={auth_source}" if login else "")
     options = {"connection.uri": connection, "database": database, "collection": collection}
     if query:

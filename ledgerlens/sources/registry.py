@@ -8,7 +8,7 @@ from datetime import datetime, timezone
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
-from .files import list_names
+from .files import claim, list_names, remove_folder
 
 
 class ModelNotFoundError(LookupError):
@@ -45,10 +45,13 @@ def resolve(spark: SparkSession, root: str, name: str, version: str | int = "lat
 
 
 def save_model(spark: SparkSession, model: PipelineModel, root: str, name: str) -> int:
-    """Save under the next version."""
-    version = next_version(spark, root, name)
-    model.write().save(version_path(root, name, version))
-    return version
+    """Save under the next version. Of two writers that meet in a version, the later one moves on."""
+    for _ in range(100):
+        version = next_version(spark, root, name)
+        if claim(spark, version_path(root, name, version)):
+            model.write().overwrite().save(version_path(root, name, version))
+            return version
+    raise OSError(f"no free version of {name}")
 
 
 def load_model(spark: SparkSession, root: str, name: str, version: str | int = "latest") -> PipelineModel:
@@ -62,6 +65,15 @@ def outdated(spark: SparkSession, root: str, name: str, current: int | None = No
     return [version_path(root, name, v) for v in present if v < current]
 
 
+def prune(spark: SparkSession, root: str, name: str, current: int | None = None, dry_run: bool = True) -> list[str]:
+    """Folders of versions before the current one, removed unless `dry_run` (the default)."""
+    folders = outdated(spark, root, name, current)
+    if not dry_run:
+        for folder in folders:
+            remove_folder(spark, folder)
+    return folders
+
+
 def metadata_row(
     spark: SparkSession, name: str, version: int, metrics: dict, params: dict, at: datetime | None = None
 ) -> DataFrame:

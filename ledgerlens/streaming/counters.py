@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..sources.files import trim_batches
+
 LABELS = {
     "inference_requests_total": ("method", "endpoint", "status"),
     "inference_errors_total": ("error_type",),
@@ -26,10 +28,12 @@ def prediction_results(log: DataFrame, pred: str = "pred") -> DataFrame:
 def keep_counter(
     stream: DataFrame, labels, path: str, checkpoint: str, available_now: bool = False
 ) -> StreamingQuery:
-    """Maintain a counter table from a stream: after every batch the folder holds all counts."""
+    """Maintain a counter table from a stream: after every batch its folder holds all counts, and
+    the folders of the last two batches stay."""
 
     def store(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        trim_batches(batch.sparkSession, path, batch_id)
 
     writer = (
         counter(stream, labels).writeStream.outputMode("complete")

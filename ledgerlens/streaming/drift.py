@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.metrics import ks_distance
 from ..operators.ordered import ordered_features
 from ..operators.skew import DEFAULT_POLICY, SkewPolicy
-from ..sources.files import list_names
+from ..sources.files import list_names, trim_batches
 
 WINDOW_ROWS = 1000
 MINIMUM_ROWS = 100
@@ -103,12 +103,13 @@ def window_batch(
     """Fold one micro-batch into the last-`n` window per model.
 
     The state of each batch is its own folder: a repeated batch rewrites the same folder from
-    the same input, so a restart neither loses nor doubles rows.
+    the same input, so a restart neither loses nor doubles rows. The last two folders stay.
     """
     spark = batch.sparkSession
     previous = _latest_state(spark, state_root, batch_id)
     pool = batch if previous is None else batch.unionByName(previous)
     recent_rows(pool, n, key, order).write.mode("overwrite").parquet(f"{state_root}/batch={batch_id}")
+    trim_batches(spark, state_root, batch_id)
     return spark.read.parquet(f"{state_root}/batch={batch_id}")
 
 
