@@ -26,6 +26,7 @@ from .common import mix, prefix_sums, span_hash, text_chunks
 
 ANCHOR = 32
 PIECE = 1 << 20
+MOST_RUNS = 4096
 _POSITION = np.uint64(PIECE - 1)
 
 
@@ -84,7 +85,7 @@ def _runs(texts: DataFrame, depth: int) -> DataFrame:
             if parts:
                 yield _packed(parts)
 
-    return texts.mapInArrow(run, "row long, tail long, first long, last long, anchor long, offset int, shape long")
+    return texts.mapInArrow(run, "row long, tail int, first long, last long, anchor long, offset int, shape long")
 
 
 def _packed(parts: list[tuple]) -> pa.RecordBatch:
@@ -93,59 +94,128 @@ def _packed(parts: list[tuple]) -> pa.RecordBatch:
     )
 
 
-def _suffixes(open_runs: DataFrame, texts: DataFrame, depth: int) -> DataFrame:
-    """Every suffix of the open runs with the digest of its bytes, made where the text is."""
+def _bodies(open_runs: DataFrame, texts: DataFrame, depth: int) -> DataFrame:
+    """The open runs with the bytes that their suffixes cover together."""
     asked = open_runs.groupBy("row", "tail").agg(F.collect_list(F.struct("first", "last", "anchor", "offset")).alias("asked"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                text = np.frombuffer(batch.column(2)[i].as_py().encode(), np.uint8)
-                lists = batch.column(3)[i].values
-                first, last, anchor, offset = (lists.field(k).to_numpy(zero_copy_only=False) for k in range(4))
-                order = np.argsort(first, kind="stable")
-                at = 0
-                while at < len(order):
-                    # runs that start within one piece are hashed together
-                    base = int(first[order[at]])
-                    upto = at + 1
-                    while upto < len(order) and last[order[upto]] + depth - base <= PIECE:
-                        upto += 1
-                    own = order[at:upto]
-                    at = upto
-                    sums = prefix_sums(text[base : int(last[own].max()) + depth])
-                    length = last[own] - first[own] + 1
-                    inside = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
-                    start = np.repeat(first[own], length) + inside
-                    digest = span_hash(sums, start - base, start - base + depth).view(np.int64)
-                    columns = [
-                        np.full(len(start), batch.column(0)[i].as_py()), np.full(len(start), batch.column(1)[i].as_py()), start,
-                        np.repeat(anchor[own], length), (np.repeat(offset[own], length) - inside).astype(np.int32), digest,
-                    ]
-                    for k in range(0, len(start), 50_000):
-                        yield pa.RecordBatch.from_arrays([pa.array(c[k : k + 50_000]) for c in columns], names=["row", "tail", "start", "anchor", "offset", "digest"])
-
-    return texts.join(asked, ["row", "tail"]).select("row", "tail", "text", "asked").mapInArrow(
-        run, "row long, tail long, start long, anchor long, offset int, digest long"
+                text = batch.column(3)[i].as_py().encode()
+                lists = batch.column(4)[i].values
+                first, last = (lists.field(k).to_numpy(zero_copy_only=False) for k in range(2))
+                n = len(first)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(n, batch.column(0)[i].as_py())), pa.array(np.full(n, batch.column(1)[i].as_py(), np.int32)), lists.field(0), lists.field(2), lists.field(3),
+                     pa.array([text[a : b + depth] for a, b in zip(first.tolist(), last.tolist())], pa.binary())],
+                    names=["row", "tail", "first", "anchor", "offset", "body"],
+                )
+
+    return texts.join(asked, ["row", "tail"]).select("row", "tail", "id", "text", "asked").mapInArrow(
+        run, "row long, tail int, first long, anchor long, offset int, body binary"
     )
 
 
+def _suffix_digests(batch: pa.RecordBatch, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For every suffix of the runs in a batch: its run, its place in the run, and the digest of its bytes."""
+    bodies = batch.column(5).cast(pa.large_binary())
+    offsets = np.frombuffer(bodies.buffers()[1], np.int64, count=len(bodies) + 1 + bodies.offset)[bodies.offset :]
+    data = np.frombuffer(bodies.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+    starts = offsets - offsets[0]
+    length = np.diff(starts) - depth + 1
+    owner = np.repeat(np.arange(len(length)), length)
+    inside = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
+    at = starts[owner] + inside
+    return owner, inside, span_hash(prefix_sums(data), at, at + depth)
+
+
+def _whole_groups(bodies: DataFrame, depth: int) -> DataFrame:
+    """Repeated suffixes among the runs of each anchor, for anchors whose runs fit a task: partitioned and sorted by anchor."""
+
+    def found(table: pa.Table) -> pa.RecordBatch:
+        batch = table.combine_chunks().to_batches()[0]
+        parts = []
+        step = 2000
+        anchor = batch.column(3).to_numpy()
+        cut = np.concatenate([[0], np.flatnonzero(np.diff(anchor)) + 1, [len(anchor)]])
+        at = 0
+        while at < len(cut) - 1:
+            # whole anchors, about `step` runs at once
+            upto = max(at + 1, int(np.searchsorted(cut, cut[at] + step, side="right")) - 1)
+            own = batch.slice(cut[at], cut[upto] - cut[at])
+            at = upto
+            owner, inside, digest = _suffix_digests(own, depth)
+            offset = own.column(4).to_numpy()[owner] - inside
+            key = mix(digest ^ mix(own.column(3).to_numpy()[owner].view(np.uint64) + offset.astype(np.uint64)))
+            order = np.argsort(key, kind="stable")
+            same = key[order][1:] == key[order][:-1]
+            twice = np.zeros(len(key), bool)
+            twice[order[1:][same]] = True
+            twice[order[:-1][same]] = True
+            # neighbouring suffixes of a run as one row
+            hit = np.flatnonzero(twice)
+            if len(hit) == 0:
+                continue
+            fresh = np.concatenate([[True], (np.diff(hit) > 1) | (np.diff(owner[hit]) > 0)])
+            begin, end = hit[fresh], np.concatenate([hit[np.flatnonzero(fresh)[1:] - 1], hit[-1:]])
+            first = own.column(2).to_numpy()[owner[begin]]
+            parts.append((own.column(0).to_numpy()[owner[begin]], own.column(1).to_numpy()[owner[begin]], first + inside[begin], first + inside[end]))
+        columns = [np.concatenate(c) for c in zip(*parts)] if parts else [np.zeros(0, t) for t in (np.int64, np.int32, np.int64, np.int64)]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["row", "tail", "first", "last"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            anchor = batch.column(3).to_numpy()
+            last = int(np.searchsorted(anchor, anchor[-1]))  # the last anchor may go on in the next batch
+            if last:
+                yield found(pa.Table.from_batches([*held, batch.slice(0, last)]))
+                held = []
+            held.append(batch.slice(last))
+        if held:
+            yield found(pa.Table.from_batches(held))
+
+    return bodies.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, "row long, tail int, first long, last long")
+
+
+def _split_groups(bodies: DataFrame, depth: int) -> DataFrame:
+    """The same for anchors with more runs: every suffix is a row, counted by its digest."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                owner, inside, digest = _suffix_digests(part, depth)
+                take = lambda k: part.column(k).to_numpy()[owner]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c) for c in (take(0), take(1), take(2) + inside, take(3), (take(4) - inside).astype(np.int32), digest.view(np.int64))],
+                    names=["row", "tail", "first", "anchor", "offset", "digest"],
+                )
+
+    suffixes = bodies.mapInArrow(run, "row long, tail int, first long, anchor long, offset int, digest long")
+    groups = suffixes.groupBy("anchor", "offset", "digest").agg(F.count("*").alias("m")).filter("m > 1").drop("m")
+    return suffixes.join(groups, ["anchor", "offset", "digest"], "left_semi").select("row", "tail", "first", F.col("first").alias("last"))
+
+
 def repeated_spans(texts: DataFrame, depth: int = 200) -> DataFrame:
-    """(row, tail, text) to (row, tail, first, last): starts of the strings of `depth` bytes that also start elsewhere."""
-    runs = _runs(texts, depth)
+    """(row, tail, id, text) to (row, tail, first, last): starts of the strings of `depth` bytes that also start elsewhere."""
+    runs = _runs(texts.select("row", "tail", "text"), depth)
     # digit 1: an anchor that stands once ends its run
     anchored = runs.groupBy("anchor").agg(F.count("*").alias("n"), F.min("shape").alias("low"), F.max("shape").alias("high")).filter("n > 1")
-    several = materialise(anchored.select("anchor", (F.col("low") < F.col("high")).alias("forked")))
-    left = materialise(runs.join(several, "anchor"))
+    left = materialise(runs.join(anchored.select("anchor", (F.col("low") < F.col("high")).alias("forked")), "anchor"))
     # digit 2: runs that agree as a whole are repeated, suffix by suffix
     shaped = materialise(left.groupBy("anchor", "shape", "forked").agg(F.count("*").alias("n"), F.min(F.struct("row", "tail", "first", "last", "offset")).alias("one")))
     whole = left.join(shaped.filter("n > 1").select("anchor", "shape"), ["anchor", "shape"], "left_semi").select("row", "tail", "first", "last")
     # last digit: the suffixes of one run for each shape of an anchor that has several
     open_runs = shaped.filter("forked").select("one.*", "anchor")
-    suffixes = materialise(_suffixes(open_runs, texts, depth))
-    groups = suffixes.groupBy("anchor", "offset", "digest").agg(F.count("*").alias("m")).filter("m > 1").drop("m")
-    single = suffixes.join(groups, ["anchor", "offset", "digest"], "left_semi").select("row", "tail", F.col("start").alias("first"), F.col("start").alias("last"))
-    return whole.union(single)
+    large = materialise(open_runs.groupBy("anchor").agg(F.count("*").alias("n")).filter(F.col("n") > MOST_RUNS).select("anchor"))
+    bodies = _bodies(open_runs, texts, depth)
+    if large.isEmpty():
+        return whole.union(_whole_groups(bodies, depth))
+    small = _whole_groups(bodies.join(large, "anchor", "left_anti").select(bodies.columns), depth)
+    return whole.union(small).union(_split_groups(bodies.join(large, "anchor", "left_semi").select(bodies.columns), depth))
 
 
 def remove_repeats(docs: DataFrame, depth: int = 200, id: str = "doc_id", text: str = "text", remaining: bool = False) -> DataFrame:
@@ -155,10 +225,10 @@ def remove_repeats(docs: DataFrame, depth: int = 200, id: str = "doc_id", text:
     are judged on the input. Null texts are empty; rows without id and rows that repeat an id are documents of their own.
     """
     texts = docs.select(
-        F.coalesce(F.col(id).cast("long"), F.lit(0)).alias("row"), F.xxhash64(F.coalesce(text, F.lit("")), F.col(id).isNull()).alias("tail"),
+        F.coalesce(F.col(id).cast("long"), F.lit(0)).alias("row"), F.hash(F.coalesce(text, F.lit("")), F.col(id).isNull()).alias("tail"),
         F.col(id).cast("long").alias("id"), F.coalesce(text, F.lit("")).alias("text"),
     )
-    spans = repeated_spans(texts.select("row", "tail", "text"), depth)
+    spans = repeated_spans(texts, depth)
     listed = spans.groupBy("row", "tail").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
     schema = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * remaining
 
