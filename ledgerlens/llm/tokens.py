@@ -14,7 +14,22 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-_WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+#: Letters and numbers that are younger than the tokenizers library's word pattern, which takes them for symbols, and
+#: capitals (with the distance to their small letters) that it knows and the standard module does not.
+_YOUNG = (
+    "\u0558\u058b-\u058c\u088f\u0c5c\u0cdc\u208f\u209d-\u209f\ua7ce-\ua7cf\ua7d2\ua7d4\ua7dd\ua7e2\ua7f1\uab6c-\uab6d\U000107bb-\U000107bf\U00010940-\U00010959"
+    "\U00010ec5-\U00010ec7\U00010ed9-\U00010eee\U00011b0a\U00011db0-\U00011ddb\U00011de0-\U00011de9\U00011df1\U0001246f\U00012475-\U0001247f\U00012550-\U00012686"
+    "\U00016ea0-\U00016eb8\U00016ebb-\U00016ed3\U00016ff2-\U00016ff6\U000187f8-\U000187ff\U00018cd6-\U00018cda\U00018d09-\U00018d20\U00018d80-\U00018df2"
+    "\U00018e00-\U00019191\U000191a0-\U000191d2\U0001b123-\U0001b128\U0001b168\U0001d6a6\U0001df1f-\U0001df24\U0001df2b-\U0001df81\U0001df90-\U0001df96"
+    "\U0001dfcd-\U0001dfff\U0001e6c0-\U0001e6de\U0001e6e0-\U0001e6e2\U0001e6e4-\U0001e6e5\U0001e6e7-\U0001e6ed\U0001e6f0-\U0001e6f4\U0001e6fe-\U0001e6ff"
+    "\U0002b73a-\U0002b73f\U0002b81e\U0002cea2-\U0002cead\U000323b0-\U00033479\U0003d000-\U0003fc3f"
+)
+_CAPITALS = {0x1C89: 1, 0xA7CB: -42343, 0xA7CC: 1, 0xA7CE: 1, 0xA7D2: 1, 0xA7D4: 1, 0xA7DA: 1, 0xA7DC: -42561}
+_CAPITALS |= dict.fromkeys(range(0x10D50, 0x10D66), 32) | dict.fromkeys(range(0x16EA0, 0x16EB9), 27)
+_SMALL = {c: c + d for c, d in _CAPITALS.items()}
+_WORDS = regex.compile(
+    rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}--[{_YOUNG}]]+|[\p{{N}}--[{_YOUNG}]]|(?:[^\s\p{{L}}\p{{N}}]|[{_YOUNG}])+", regex.V1
+)
 # the same classes spelled out for Latin-1, where the standard module is twice as fast
 _LATIN = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼-¾]|[^\t-\r \x85\xa0a-zªµºß-öø-ÿ0-9²³¹¼-¾]+")
 _BEYOND_LATIN = re.compile("[^\0-ÿ]")
@@ -148,9 +163,10 @@ class WordCoder:
         text = unicodedata.normalize("NFC", text)
         # lower-cased letter by letter: a final sigma is an ordinary sigma; white space only separates words
         text = text.replace("Σ", "σ").lower()
+        wide = _BEYOND_LATIN.search(text)
         if len(self.cache) > _CACHE_WORDS:
             self.cache = _Ids(self)
-        return b"".join(map(self.cache.__getitem__, (_WORDS if _BEYOND_LATIN.search(text) else _LATIN).findall(text)))
+        return b"".join(map(self.cache.__getitem__, _WORDS.findall(text.translate(_SMALL)) if wide else _LATIN.findall(text)))
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
