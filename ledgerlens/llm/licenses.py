@@ -35,7 +35,7 @@ def notices(spark: SparkSession) -> DataFrame:
 
 def _shingles(text: str) -> str:
     """Hashes of neighbouring word pairs (lower case, without leading and trailing punctuation); a lone word pairs with nothing."""
-    ws = f"filter(split(lower({text}), '[^\\\\p{{L}}\\\\p{{N}}.-]+'), w -> w <> '')"
+    ws = f"filter(split(lower(coalesce({text}, '')), '[^\\\\p{{L}}\\\\p{{N}}.-]+'), w -> w <> '')"
     return (
         f"transform(array(transform({ws}, w -> trim(BOTH '.-' FROM w))), ws -> IF(size(ws) = 0, array(), "
         "transform(sequence(0, greatest(size(ws) - 2, 0)), i -> xxhash64(ws[i], get(ws, i + 1)))))[0]"

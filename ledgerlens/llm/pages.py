@@ -153,6 +153,8 @@ LABELLED = (
     ((5, 5, 1, 0, 0, 0), (14, 0, 1, 0, 0, 0), (11, 0, 0, 1, 1, 1), (2, 0, 0, 1, 0, 1), (500, 0, 0, 1, 0, 1), (1, 0, 0, 1, 0, 1), (900, 12, 0, 1, 0, 1), (3, 0, 0, 1, 0, 1), (300, 0, 0, 1, 0, 1), (15, 0, 0, 1, 0, 1), (10, 0, 1, 0, 0, 0)),
     ((400, 0, 0, 1, 0, 1), (4, 0, 0, 1, 0, 1), (280, 3, 0, 1, 0, 1), (90, 80, 1, 1, 0, 0), (150, 0, 1, 1, 0, 0), (6, 0, 0, 1, 0, 1), (60, 0, 1, 0, 0, 0), (320, 20, 1, 0, 0, 0), (45, 0, 1, 0, 0, 0)),
     ((8, 8, 1, 0, 0, 0), (6, 0, 0, 1, 1, 1), (9, 0, 0, 1, 0, 1), (1, 0, 0, 1, 0, 1), (2, 2, 0, 1, 0, 1), (5, 0, 1, 0, 0, 0), (250, 0, 1, 0, 0, 0), (33, 1, 1, 0, 0, 0)),
+    ((3, 3, 0, 0, 0, 0), (4, 4, 0, 0, 0, 0), (5, 0, 0, 0, 1, 1), (60, 0, 0, 0, 0, 1), (50, 2, 0, 0, 0, 1), (70, 0, 0, 0, 0, 1), (2, 2, 0, 0, 0, 0), (1, 1, 0, 0, 0, 0)),
+    ((2, 2, 0, 0, 0, 0), (35, 1, 0, 0, 0, 1), (80, 0, 0, 0, 0, 1), (6, 6, 0, 0, 0, 0), (45, 0, 0, 0, 0, 1), (3, 3, 0, 0, 0, 0), (4, 4, 0, 0, 0, 0)),
     ((12, 0, 0, 0, 1, 1), (310, 4, 0, 0, 0, 1), (40, 0, 0, 0, 0, 1), (620, 0, 0, 0, 0, 1), (18, 0, 0, 0, 0, 1), (270, 0, 0, 0, 0, 1), (7, 7, 0, 0, 0, 0), (3, 3, 0, 0, 0, 0)),
     ((6, 6, 1, 0, 0, 0), (12, 0, 1, 0, 0, 0), (9, 0, 0, 1, 1, 1), (120, 2, 0, 1, 0, 1), (1, 0, 0, 1, 0, 1), (45, 0, 0, 1, 0, 1), (8, 1, 1, 0, 0, 0)),
     ((1, 1, 1, 0, 0, 0), (1, 1, 1, 0, 0, 0), (2, 0, 0, 1, 1, 1), (2, 0, 0, 1, 0, 1), (3, 3, 0, 1, 0, 1), (9, 0, 1, 1, 0, 0), (400, 9, 0, 1, 0, 1), (15, 0, 1, 0, 0, 0)),
