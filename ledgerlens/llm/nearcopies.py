@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.session import materialise
@@ -19,6 +19,8 @@ RATE = 20.0
 TOP = (1 << 16) - 2
 LOSS = 1e-7
 MOST_REGISTERS = 256
+MOST_TURNS = 2
+CROWD = 64
 
 
 def band_plan(share: float, loss: float = LOSS) -> tuple[int, int]:
@@ -149,6 +151,41 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return wide.mapInArrow(run, "a long, b long")
 
 
+def _rarest(sets: DataFrame, percent: int) -> DataFrame:
+    """(rep, key): the rarest shingles of each set, as many as it can lack of a set at the wanted similarity, and one more.
+
+    Two sets that are so similar share one of these, if all are ordered alike (by how many of the given sets hold a shingle). So a crowded band of
+    sets that are alike, but not enough, falls into small parts.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rep, held in zip(batch.column(0), batch.column(1)):
+                own = np.frombuffer(held.as_buffer(), np.int64)
+                for k in range(0, len(own), 100_000):
+                    part = own[k : k + 100_000]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), rep.as_py())), pa.array(part), pa.array(np.full(len(part), len(own)))], names=["rep", "key", "size"])
+
+    rows = materialise(sets.select("rep", "hashes").mapInArrow(run, "rep long, key long, size long"))
+    common = rows.groupBy("key").agg(F.count("*").alias("held"))
+    place = F.row_number().over(Window.partitionBy("rep").orderBy("held", "key"))
+    return (
+        rows.join(common, "key").withColumn("place", place)
+        .filter(F.col("place") <= F.col("size") - F.ceil(F.col("size") * percent / 100) + 1).select("rep", "key")
+    )
+
+
+def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels (rep, c) after new links: components of the components."""
+    if links.isEmpty():
+        return labels
+    ends = links.join(labels.withColumnsRenamed({"rep": "a", "c": "u"}), "a").join(labels.withColumnsRenamed({"rep": "b", "c": "v"}), "b")
+    moved = components(ends.select(F.col("u").alias("a"), F.col("v").alias("b")).filter("a <> b").distinct())
+    return materialise(
+        labels.join(moved.withColumnRenamed("id", "c"), "c", "left").select("rep", F.coalesce("component", "c").alias("c"))
+    )
+
+
 def near_copies(docs: DataFrame, size: int = 5, percent: int = 80, id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row a document: id, n_shingles, component_id (least id reachable over links), kept (it is that id).
 
@@ -157,8 +194,9 @@ def near_copies(docs: DataFrame, size: int = 5, percent: int = 80, id: str = "do
     share an id take the least component of their texts. A row without id is linked with nothing, has no component and is kept.
 
     Documents with the same set are one class; only its least id is compared. Classes that share a band are compared with
-    the least class of the band first, and then with those of the band that are still in another component, so a group of
-    copies costs no pairs within itself. Candidates are thinned by the likelihood estimate and decided on the full sets.
+    the least class of the band first, then in turns with a drawn one, and at last with all those of the band that are still in
+    another component, so a group of copies costs few pairs within itself and no link between components is left out. Bands with more than CROWD classes
+    are first split by the rarest shingles of their sets, of which sets that are similar enough must share one. Candidates are thinned by the likelihood estimate and decided on the full sets.
     """
     rows, bands = band_plan(percent / 100)
     least = percent / 100
@@ -173,29 +211,47 @@ def near_copies(docs: DataFrame, size: int = 5, percent: int = 80, id: str = "do
     banded = reps.select("rep", F.explode("bands").alias("key"))
     met = banded.groupBy("key").agg(F.min("rep").alias("a"), F.count("*").alias("n")).filter("n > 1")
     shared = materialise(banded.join(met, "key").select("key", "a", F.col("rep").alias("b"), "n"))
-    meant = shared.select(F.col("b").alias("rep")).distinct()
+    meant = materialise(shared.select(F.col("b").alias("rep")).distinct())
     sets = materialise(_full_sets(base.join(meant.withColumnRenamed("rep", "id"), "id", "left_semi"), size, reps))
+    crowded = materialise(shared.filter(F.col("n") > CROWD).select(F.col("b").alias("rep")).distinct())
+    if not crowded.isEmpty():
+        finer = _rarest(sets.join(crowded, "rep", "left_semi"), percent)
+        many = finer.groupBy("key").agg(F.min("rep").alias("a"), F.count("*").alias("n")).filter("n > 1")
+        shared = materialise(
+            shared.filter(F.col("n") <= CROWD).unionByName(finer.join(many, "key").select("key", "a", F.col("rep").alias("b"), "n"))
+        )
     tried = shared.filter("a <> b").select("a", "b").distinct()
-    links = materialise(_verified(_likely(tried, reps, least), sets, percent))
-    groups = materialise(components(links))
-    # members of a band that the least one did not reach: only pairs of different components, large bands in blocks
-    labelled = shared.filter("n > 2").join(groups.withColumnRenamed("id", "b"), "b", "left").select(
-        "key", "b", "n", F.coalesce("component", "b").alias("c"), "a"
-    )
-    split = labelled.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low < high").select("key")
-    open_rows = materialise(labelled.join(split, "key").withColumn("blocks", F.ceil(F.col("n") / 512).cast("long")))
-    left = open_rows.select("key", F.col("b").alias("x"), F.col("c").alias("cx"), F.pmod(F.xxhash64("b"), F.col("blocks")).alias("block"), "a")
-    right = open_rows.select("key", F.col("b").alias("y"), F.col("c").alias("cy"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
-    rest = (
-        left.join(right, ["key", "block"]).filter("x < y AND cx <> cy AND x <> a AND y <> a")
-        .select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
-    )
-    more = materialise(_verified(_likely(rest, reps, least), sets, percent))
-    if not more.isEmpty():
-        groups = materialise(components(links.union(more)))
+    checked = lambda pairs: _verified(_likely(pairs, reps, least), sets, percent)
+    groups = components(checked(tried))
+    labels = materialise(meant.join(groups.withColumnRenamed("id", "rep"), "rep", "left").select("rep", F.coalesce("component", "rep").alias("c")))
+    # a member that the least one did not reach is compared with other members drawn from its bands, which mostly are of the largest component
+    members = shared.filter("n > 2").select("key", F.col("b").alias("rep"))
+    known, before, closed = members.count(), math.inf, False
+    for turn in range(MOST_TURNS):
+        placed = materialise(members.join(labels, "rep"))
+        parts = placed.groupBy("key", "c").agg(F.count("*").cast("double").alias("m"))
+        cross = parts.groupBy("key").agg(((F.sum("m") * F.sum("m") - F.sum(F.col("m") * F.col("m"))) / 2).alias("pairs")).filter("pairs > 0")
+        cross = materialise(cross)
+        pending = cross.agg(F.sum("pairs")).first()[0] or 0
+        closed = pending == 0
+        if closed or pending <= known / 2 or pending > 0.9 * before:
+            break
+        before = pending
+        drawn_by = placed.join(cross.select("key"), "key").groupBy("key").agg(F.min_by(F.struct("rep", "c"), F.xxhash64("rep", F.lit(turn))).alias("lead"))
+        met_now = placed.join(drawn_by, "key").filter("c <> lead.c").select(F.least("rep", "lead.rep").alias("a"), F.greatest("rep", "lead.rep").alias("b")).distinct()
+        labels = _joined(labels, materialise(checked(met_now)))
+    if not closed:
+        # what is left: all pairs of a band whose members are in different components, large bands in blocks
+        placed = materialise(members.join(shared.select("key", "n").distinct(), "key").join(labels, "rep").withColumn("blocks", F.ceil(F.col("n") / 512).cast("long")))
+        split = placed.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low < high").select("key")
+        open_rows = materialise(placed.join(split, "key"))
+        left = open_rows.select("key", F.col("rep").alias("x"), F.col("c").alias("cx"), F.pmod(F.xxhash64("rep"), F.col("blocks")).alias("block"))
+        right = open_rows.select("key", F.col("rep").alias("y"), F.col("c").alias("cy"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
+        rest = left.join(right, ["key", "block"]).filter("x < y AND cx <> cy").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
+        labels = _joined(labels, materialise(checked(rest)))
     named = (
-        some.join(classes, ["d1", "d2", "n_shingles"]).join(groups.withColumnRenamed("id", "rep"), "rep", "left")
-        .groupBy("id").agg(F.min(F.coalesce("component", "rep")).alias("component"))
+        some.join(classes, ["d1", "d2", "n_shingles"]).join(labels, "rep", "left")
+        .groupBy("id").agg(F.min(F.coalesce("c", "rep")).alias("component"))
     )
     return (
         drawn.select("id", "n_shingles").join(named, "id", "left")
