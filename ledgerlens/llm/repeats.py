@@ -204,7 +204,9 @@ def repeated_spans(texts: DataFrame, depth: int = 200) -> DataFrame:
     runs = _runs(texts.select("row", "tail", "text"), depth)
     # digit 1: an anchor that stands once ends its run
     anchored = runs.groupBy("anchor").agg(F.count("*").alias("n"), F.min("shape").alias("low"), F.max("shape").alias("high")).filter("n > 1")
-    left = materialise(runs.join(anchored.select("anchor", (F.col("low") < F.col("high")).alias("forked")), "anchor"))
+    # written first: a join of two plain shuffles is one whose hot anchors Spark splits
+    several = materialise(anchored.select("anchor", (F.col("low") < F.col("high")).alias("forked")))
+    left = materialise(runs.join(several, "anchor"))
     # digit 2: runs that agree as a whole are repeated, suffix by suffix
     shaped = materialise(left.groupBy("anchor", "shape", "forked").agg(F.count("*").alias("n"), F.min(F.struct("row", "tail", "first", "last", "offset")).alias("one")))
     whole = left.join(shaped.filter("n > 1").select("anchor", "shape"), ["anchor", "shape"], "left_semi").select("row", "tail", "first", "last")
