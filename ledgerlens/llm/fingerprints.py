@@ -77,8 +77,7 @@ def next_ids(ids: DataFrame, id: str) -> DataFrame:
     heads = placed.groupBy("part").agg(F.min(id).alias("head"))
     # one row for each part of the range shuffle
     order = Window.partitionBy(F.lit(0)).orderBy("part")
-    first = heads.agg(F.min("head").alias("first"))
-    after = heads.withColumn("after", F.lead("head").over(order)).crossJoin(F.broadcast(first)).select("part", F.coalesce("after", "first").alias("after"))
+    after = heads.select("part", F.coalesce(F.lead("head").over(order), F.min("head").over(Window.partitionBy(F.lit(0)))).alias("after"))
     inside = placed.withColumn("next", F.lead(id).over(Window.partitionBy("part").orderBy(id)))
     return inside.join(F.broadcast(after), "part").select(id, F.coalesce("next", "after").alias("next_id"))
 
@@ -90,19 +89,21 @@ def with_edited(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
     its last quarter goes.
     """
     plain = docs.select(F.col(id).alias("id"), F.coalesce(text, F.lit("")).alias("text"))
-    sized = plain.select("id", (F.length("text") / 4).cast("long").alias("quarter"))
-    order = next_ids(plain, "id")
+    known = plain.filter("id IS NOT NULL")
+    sized = known.select("id", (F.length("text") / 4).cast("long").alias("quarter"))
+    order = next_ids(known, "id")
     wanted = (
         order.join(sized.groupBy("id").agg(F.max("quarter").alias("quarter")), "id")
         .groupBy(F.col("next_id").alias("id")).agg(F.min("id").alias("prev_id"), F.max("quarter").alias("need"))
     )
-    linked = plain.join(order.join(wanted, "id"), "id", "left")
-    heads = (
-        linked.filter("prev_id IS NOT NULL").select(F.col("prev_id").alias("id"), F.expr("left(text, CAST(need AS INT))").alias("head"), "text")
-        .groupBy("id").agg(F.min("head").alias("head"))
+    # texts are shuffled by id once: for their heads, which go to the row before, and for themselves
+    linked = known.join(materialise(order.join(wanted, "id")), "id")
+    heads = linked.select(F.col("prev_id").alias("id"), F.expr("left(text, CAST(need AS INT))").alias("head")).groupBy("id").agg(F.min("head").alias("head"))
+    whole = linked.join(heads, "id", "left").select("id", "next_id", "text", "head").unionByName(
+        plain.filter("id IS NULL").select("id", "text"), allowMissingColumns=True
     )
     quarter = "CAST(floor(length(text) / 4) AS INT)"
-    return linked.join(heads, "id", "left").select(
+    return whole.select(
         "id", "next_id", "text",
         F.expr(f"concat(left(text, length(text) - {quarter}), left(coalesce(head, ''), {quarter}))").alias("edited"),
     )
