@@ -166,7 +166,9 @@ def _rarest(sets: DataFrame, percent: int) -> DataFrame:
                     part = own[k : k + 100_000]
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), rep.as_py())), pa.array(part), pa.array(np.full(len(part), len(own)))], names=["rep", "key", "size"])
 
-    rows = materialise(sets.select("rep", "hashes").mapInArrow(run, "rep long, key long, size long"))
+    # crowded sets are few and often stand in few files: shared out evenly
+    tasks = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = materialise(sets.select("rep", "hashes").repartition(tasks).mapInArrow(run, "rep long, key long, size long"))
     common = rows.groupBy("key").agg(F.count("*").alias("held"))
     place = F.row_number().over(Window.partitionBy("rep").orderBy("held", "key"))
     return (
