@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -80,7 +81,7 @@ def train_language_model(
     docs: DataFrame, usable: Column | None = None, text: str = "text", lang: str = "lang",
     max_docs: int = 4000, max_chars: int = 20_000, epochs: int = 6, kept_share: float = 0.999, seed: int = 7,
 ) -> LanguageModel:
-    """Fits on a bounded sample: at most `max_docs` labelled documents of at most `max_chars` characters, chosen by a hash of the text.
+    """Fits on a bounded sample, in one task: at most `max_docs` labelled documents of at most `max_chars` characters, chosen by a hash of the text.
 
     A fifth of the sample is held back: on it the softmax temperature is fitted, and the rejection threshold is set so that
     `kept_share` of its rightly named documents pass (one half at most). Without labelled rows the model knows no language.
@@ -88,12 +89,24 @@ def train_language_model(
     rows = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull() & (F.length(text) <= max_chars))
     if usable is not None:
         rows = rows.filter(usable)
-    sample = rows.select(F.col(text).alias("t"), F.col(lang).alias("l"), F.xxhash64(text).alias("h")).orderBy("h", "t", "l").limit(max_docs).toPandas()
-    languages = tuple(sorted(sample["l"].unique()))
-    if not languages:
-        return LanguageModel((), np.zeros((BUCKETS, 0), np.float32), np.zeros(0), 1.0, 0.0)
-    texts = pc.utf8_lower(pa.array(sample["t"].tolist(), pa.large_string()))
-    target = np.searchsorted(np.array(languages), sample["l"].to_numpy(dtype=str))
+    sample = rows.select(F.col(text).alias("t"), F.col(lang).alias("l"), F.xxhash64(text).alias("h")).orderBy("h", "t", "l").limit(max_docs).select("t", "l")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if held:
+            drawn = pa.Table.from_batches(held)
+            model = _fit(drawn.column(0).combine_chunks(), drawn.column(1).to_pylist(), epochs, kept_share, seed)
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+
+    fitted = sample.coalesce(1).mapInArrow(run, "model binary").collect()  # one row, or none without labels
+    return pickle.loads(fitted[0][0]) if fitted else LanguageModel((), np.zeros((BUCKETS, 0), np.float32), np.zeros(0), 1.0, 0.0)
+
+
+def _fit(texts: pa.Array, langs: list[str], epochs: int, kept_share: float, seed: int) -> LanguageModel:
+    """Training on the drawn sample, in one task."""
+    languages = tuple(sorted(set(langs)))
+    texts = pc.utf8_lower(texts.cast(pa.large_string()))
+    target = np.searchsorted(np.array(languages), np.array(langs, dtype=str))
     features: list[tuple[np.ndarray, np.ndarray]] = []
     for _, data, offsets in text_chunks(texts):
         grams, owner = _grams(data, offsets)
