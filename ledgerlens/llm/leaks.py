@@ -1,4 +1,4 @@
-"""Benchmark passages in documents: CGK walks, bit-sampling LSH at every word, exact edit verification."""
+"""Benchmark passages in documents: unedited pieces of items looked up at every word, exact edit verification."""
 
 from __future__ import annotations
 
@@ -12,35 +12,24 @@ from pyspark.sql import functions as F
 
 from .common import mix, powers, prefix_sums, span_hash, text_chunks, words
 
-STEPS = 12
-REPEATS = 3
-SAMPLED = 7
+PAIRS = 1_000_000
+CELLS = 2_000_000
 BLOCK_WORDS = 2_000_000
 _PUNCTUATION = np.zeros(256, bool)
 _PUNCTUATION[[b for b in range(33, 127) if not chr(b).isalnum()]] = True
 
 
-def _plan(seed: int = 5) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each repeat, the hash bit that moves the walk at each step and the steps whose symbols are sampled."""
-    rng = np.random.default_rng(seed)
-    return [(rng.permutation(64)[:STEPS], np.sort(rng.permutation(STEPS)[:SAMPLED])) for _ in range(REPEATS)]
+def edits(words: int, share: float) -> int:
+    """Word edits that an item of so many words may be away."""
+    return int(words * (1 - share) + 1e-9)
 
 
-def walk_keys(symbols: np.ndarray, starts: np.ndarray, repeat: int) -> np.ndarray:
-    """Sampled positions of the walk from each start, as one key.
-
-    The walk writes the symbol under its head at each step and moves on if the step's random bit of the symbol is set, so two sequences
-    a few edits apart fall into step again and agree in most positions. `symbols` ends with STEPS pads.
-    """
-    bits, sampled = _plan()[repeat]
-    at, key = starts.copy(), np.full(len(starts), repeat + 1, np.uint64)
-    chosen = set(sampled.tolist())
-    for t in range(STEPS):
-        seen = symbols[at]
-        if t in chosen:
-            key *= np.uint64(0xC2B2AE3D27D4EB4F)
-            key += seen
-        at += ((seen >> np.uint64(bits[t])) & np.uint64(1)).astype(at.dtype)
+def _stretches(symbols: np.ndarray, length: int) -> np.ndarray:
+    """One key for each stretch of `length` words."""
+    n = max(0, len(symbols) - length + 1)
+    key = np.full(n, length, np.uint64)
+    for k in range(length):
+        key = key * np.uint64(0xC2B2AE3D27D4EB4F) + symbols[k : k + n]
     return mix(key)
 
 
@@ -68,51 +57,85 @@ def edit_distance(item: np.ndarray, region: np.ndarray) -> int:
 
 
 class _Items:
-    def __init__(self, rows: list[tuple[int, np.ndarray]]):
+    """Items cut into one piece more than they may have edits: at least one piece of an item stands unedited in every passage within the limit."""
+
+    def __init__(self, rows: list[tuple[int, np.ndarray]], share: float):
         self.words = [w for _, w in rows]
         self.ids = [i for i, _ in rows]
-        self.sets = [set(w.tolist()) for w in self.words]
-        keys, items, places = [], [], []
-        for r in range(REPEATS):
-            for i, w in enumerate(self.words):
-                n = max(1, len(w) - STEPS + 1)
-                keys.append(walk_keys(np.concatenate([w, np.zeros(STEPS, np.uint64)]), np.arange(n), r))
-                items.append(np.full(n, i))
-                places.append(np.arange(n))
-        keys, items, places = map(np.concatenate, (keys, items, places))
-        order = np.argsort(keys, kind="stable")
-        self.keys, self.items, self.places = keys[order], items[order], places[order]
-        self.maybe = np.zeros(1 << 21, bool)
-        self.maybe[(self.keys >> np.uint64(43)).astype(np.int64)] = True
-
-
-def _search(items: _Items, symbols: np.ndarray, rows: np.ndarray, share: float) -> list[tuple[int, int, int]]:
-    """(row, item, distance) of every verified passage of a chunk."""
-    padded = np.concatenate([symbols, np.zeros(STEPS, np.uint64)])
-    starts = np.arange(len(symbols))
-    found: set[tuple[int, int, int]] = set()
-    for r in range(REPEATS):
-        keys = walk_keys(padded, starts, r)
-        hit = np.flatnonzero(items.maybe[(keys >> np.uint64(43)).astype(np.int64)])
-        low, high = np.searchsorted(items.keys, keys[hit]), np.searchsorted(items.keys, keys[hit], side="right")
-        for k in np.flatnonzero(high > low):
-            place = int(hit[k])
-            row = int(np.searchsorted(rows, place, side="right")) - 1
-            for e in range(low[k], high[k]):
-                found.add((row, int(items.items[e]), (place - int(items.places[e])) // 8))
+        self.allowed = [edits(len(w), share) for w in self.words]
+        made: dict[int, tuple[list, list, list]] = {}
+        for i, (w, k) in enumerate(zip(self.words, self.allowed)):
+            cut = [len(w) * j // (k + 1) for j in range(k + 2)]
+            for a, b in zip(cut, cut[1:]):
+                for column, value in zip(made.setdefault(b - a, ([], [], [])), (_stretches(w[a:b], b - a)[0], i, a)):
+                    column.append(value)
+        self.pieces = {}
+        for length, (keys, items, places) in made.items():
+            keys = np.array(keys, np.uint64)
+            order = np.argsort(keys, kind="stable")
+            maybe = np.zeros(1 << 21, bool)
+            maybe[(keys >> np.uint64(43)).astype(np.int64)] = True
+            self.pieces[length] = keys[order], np.array(items)[order], np.array(places)[order], maybe
+
+
+def _distances(word: np.ndarray, allowed: int, starts: np.ndarray, begins: np.ndarray, ends: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+    """Least edits that turn the item into a stretch of each window that opens at a start, or more than allowed. Windows end with their row."""
+    window = starts[:, None] + np.arange(len(word) + 3 * allowed)
+    inside = (window >= begins[:, None]) & (window < ends[:, None])
+    seen = symbols[np.clip(window, 0, len(symbols) - 1)]
+    known, item = np.unique(word, return_inverse=True)
+    code = np.minimum(np.searchsorted(known, seen), len(known) - 1)
+    code = np.where(inside & (known[code] == seen), code, -1)
+    out = np.full(len(starts), len(word) + 1)
+    # every edit takes at most one word of the item away
+    near = np.flatnonzero((code >= 0).sum(axis=1) >= len(word) - allowed)
+    code = code[near]
+    steps = np.arange(code.shape[1] + 1)
+    row = np.zeros((len(near), len(steps)), np.int64)
+    for k, c in enumerate(item):
+        nxt = np.empty_like(row)
+        nxt[:, 0] = k + 1
+        nxt[:, 1:] = np.minimum(row[:, :-1] + (code != c), row[:, 1:] + 1)
+        row = np.minimum.accumulate(nxt - steps, axis=1) + steps
+    out[near] = row.min(axis=1)
+    return out
+
+
+def _search(items: _Items, symbols: np.ndarray, rows: np.ndarray) -> list[tuple[int, int, int]]:
+    """(row, item, distance) of every passage of a chunk within the limit."""
     best: dict[tuple[int, int], int] = {}
-    for row, i, at in sorted(found):
-        word = items.words[i]
-        allowed = int(len(word) * (1 - share) + 1e-9)
-        if best.get((row, i), len(word)) == 0:
-            continue
-        a, b = max(rows[row], at * 8 - allowed), min(rows[row + 1], at * 8 + 8 + len(word) + allowed)
-        # every distinct word that is not there costs an edit
-        if len(items.sets[i].difference(symbols[a:b].tolist())) > allowed:
-            continue
-        distance = edit_distance(word, symbols[a:b])
-        if distance <= allowed:
-            best[row, i] = min(distance, best.get((row, i), distance))
+    for length, (keys, owners, offsets, maybe) in items.pieces.items():
+        stretches = _stretches(symbols, length)
+        hit = np.flatnonzero(maybe[(stretches >> np.uint64(43)).astype(np.int64)])
+        low, high = np.searchsorted(keys, stretches[hit]), np.searchsorted(keys, stretches[hit], side="right")
+        hit, low, count = hit[high > low], low[high > low], (high - low)[high > low]
+        total = np.concatenate([np.zeros(1, np.int64), np.cumsum(count)])
+        at = 0
+        while at < len(hit):
+            upto = max(at + 1, int(np.searchsorted(total, total[at] + PAIRS, side="right")) - 1)
+            place, some = np.repeat(hit[at:upto], count[at:upto]), count[at:upto]
+            entry = np.repeat(low[at:upto], some) + np.arange(some.sum()) - np.repeat(total[at:upto] - total[at], some)
+            at = upto
+            owner, row = owners[entry], np.searchsorted(rows, place, side="right") - 1
+            step = np.array(items.allowed)[owner] + 1
+            # neighbouring starts of an item share a window
+            bucket = (place - offsets[entry]) // step
+            order = np.lexsort((bucket, row, owner))
+            owner, row, bucket = owner[order], row[order], bucket[order]
+            fresh = np.ones(len(owner), bool)
+            fresh[1:] = (np.diff(owner) != 0) | (np.diff(row) != 0) | (np.diff(bucket) != 0)
+            owner, row, bucket = owner[fresh], row[fresh], bucket[fresh]
+            cut = [0, *(np.flatnonzero(np.diff(owner)) + 1).tolist(), len(owner)]
+            for a, b in zip(cut, cut[1:]):
+                i = int(owner[a])
+                word, allowed = items.words[i], items.allowed[i]
+                many = max(1, CELLS // (len(word) + 3 * allowed))
+                for c in range(a, b, many):
+                    own = row[c : min(b, c + many)]
+                    found = _distances(word, allowed, bucket[c : c + len(own)] * (allowed + 1) - allowed, rows[own], rows[own + 1], symbols)
+                    for k in np.flatnonzero(found <= allowed):
+                        pair = int(own[k]), i
+                        best[pair] = min(int(found[k]), best.get(pair, allowed))
     return [(row, i, d) for (row, i), d in sorted(best.items())]
 
 
@@ -120,10 +143,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, share: float = 0.8, min_words:
     """One row for each document and benchmark item that it holds: id, item_id, distance, item_words.
 
     A document holds an item if some stretch of it is at most (1 - share) of the item's words edits away (word edits, lower case, without
-    ASCII punctuation). Items below `min_words` words say nothing about a source and are not searched; null texts hold
+    ASCII punctuation). The search is exact: an item that may have k edits is cut into k + 1 pieces, one of which must stand in the passage
+    unedited. Items below `min_words` words say nothing about a source and are not searched; null texts hold
     nothing and are no items; rows without id are searched and come with a null id. The benchmark is the stated query set: it is read in
     blocks of at most BLOCK_WORDS words, each sent to the executors and searched against all documents.
     """
+    if not 0 < share <= 1:
+        raise ValueError("share must be above 0 and at most 1")
     spark = docs.sparkSession
     out = None
     block: list[tuple[int, np.ndarray]] = []
@@ -133,10 +159,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, share: float = 0.8, min_words:
         shared = spark.sparkContext.broadcast(part)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            items = _Items(shared.value)
+            items = _Items(shared.value, share)
             for batch in batches:
                 for first, symbols, rows in _symbols(batch.column(1)):
-                    hits = _search(items, symbols, rows, share)
+                    hits = _search(items, symbols, rows)
                     yield pa.RecordBatch.from_arrays([
                         batch.column(0).take(pa.array([first + h[0] for h in hits], pa.int64())), pa.array([items.ids[h[1]] for h in hits], pa.int64()),
                         pa.array([h[2] for h in hits], pa.int64()), pa.array([len(items.words[h[1]]) for h in hits], pa.int64()),

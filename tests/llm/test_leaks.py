@@ -3,6 +3,7 @@
 import random
 
 import pyarrow as pa
+import pytest
 
 from ledgerlens.llm import leaks
 from ledgerlens.llm.queries import op5_benchmark_decontamination
@@ -59,3 +60,34 @@ def test_odd_rows(spark, odd, nothing):
     assert [(r["doc_id"], r["item_id"]) for r in leaks.leaks(odd, items).collect()] == [(None, 3)]
     assert leaks.without_leaks(odd, items).count() == odd.count() - 1
     assert leaks.leaks(nothing, items).count() == 0 and leaks.leaks(odd, items.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("length", [5, 6, 7, 8, 9, 10, 12, 15, 20, 40, 150])
+def test_every_length_at_the_limit(length):
+    rnd = random.Random(length)
+    pool = [f"u{i}" for i in range(5000)]
+    limit = leaks.edits(length, 0.8)
+    items, texts, owner = [], [], []
+    for n in range(60):
+        item = rnd.sample(pool, length)
+        items.append((n, symbols(" ".join(item))))
+        for how in ("verbatim", "substituted", "mixed", "even"):
+            edited = [[w] for w in item]
+            at = [] if how == "verbatim" else [length * k // limit for k in range(limit)] if how == "even" else rnd.sample(range(length), limit)
+            for k in at:
+                edited[k] = [rnd.choice(pool)] if how != "mixed" else rnd.choice([[], [rnd.choice(pool)], [rnd.choice(pool), *edited[k]]])
+            passage = [w for part in edited for w in part]
+            ends = ([], []) if n % 4 == 0 else (rnd.choices(pool, k=20), rnd.choices(pool, k=20))
+            texts.append(" ".join([*ends[0], *passage, *ends[1]]))
+            owner.append(n)
+    _, words, rows = next(leaks._symbols(pa.array(texts)))
+    found = {(row, i): d for row, i, d in leaks._search(leaks._Items(items, 0.8), words, rows)}
+    want = {(r, n): leaks.edit_distance(items[n][1], symbols(t)) for r, (t, n) in enumerate(zip(texts, owner))}
+    assert all(d <= limit for d in want.values()) and {k: found.get(k) for k in want} == want
+
+
+def test_a_short_item_at_the_end_of_a_document(spark):
+    item = "one two three four five"
+    docs = [(1, item), (2, "before it " + item), (3, item + " behind it"), (4, "one two six four five"), (5, "one two six seven five")]
+    frames = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(7, item)], "item_id long, text string")
+    assert {(r["doc_id"], r["distance"]) for r in leaks.leaks(*frames).collect()} == {(1, 0), (2, 0), (3, 0), (4, 1)}
