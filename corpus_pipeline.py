@@ -22,9 +22,9 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def fresh_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the multi-line chunks that stand earlier in the corpus; a document of which nothing is left goes."""
-    out = lines.drop_repeated_lines(docs).filter("n_removed_chunks = 0 OR trim(text) <> ''")
-    counted = {"n_chars": F.when(F.col("n_removed_chunks") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {}
+    """Texts without the passages of two or more lines that stand earlier in the corpus; a document of which nothing is left goes."""
+    out = lines.drop_repeated_passages(docs).filter("n_removed_lines = 0 OR trim(text) <> ''")
+    counted = {"n_chars": F.when(F.col("n_removed_lines") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {}
     return out.withColumns(counted).select(*docs.columns)
 
 

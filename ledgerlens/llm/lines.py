@@ -64,6 +64,42 @@ def drop_repeated_lines(docs: DataFrame, id: str = "doc_id", text: str = "text")
     )
 
 
+def drop_repeated_passages(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Every row, without the lines of each passage of two or more lines that stands at an earlier place too (in the order of ids, then places).
+
+    A passage is found wherever it begins and whatever surrounds it: two neighbouring lines go if the same two lines stand together
+    before, in this or another document. A lone repeated line stays, as do two neighbouring lines of white space. Of
+    every line that goes an equal one is kept. Columns are kept, `text` is what remains, and `n_lines` and `n_removed_lines` are added
+    (replacing columns of these names). A null text stays null and has no line; a text whose lines all go becomes empty. Rows with
+    the same id and text stand for one document; other rows that share an id, or have none, are documents of their own.
+    Pairs of lines are known by their SHA-256.
+    """
+    added = ("n_lines", "n_removed_lines")
+    document = ["__key", "__x", "__y"]
+    named = docs.drop(*added).withColumns({
+        "__key": F.coalesce(F.col(id).cast("string"), F.lit("")), "__x": F.xxhash64(F.col(id).isNull(), text), "__y": F.hash(text),
+    })
+    split = f"split(`{text}`, '\n', -1)"
+    blank = "trim(BOTH ' \\t\\r' FROM ls[{}]) = ''"
+    pair = f"CASE WHEN NOT ({blank.format('i')} AND {blank.format('i + 1')}) THEN unhex(sha2(concat(ls[i], '\n', ls[i + 1]), 256)) END"
+    pairs = f"transform(array({split}), ls -> IF(size(ls) < 2, array(), transform(sequence(0, size(ls) - 2), i -> {pair})))[0]"
+    hashed = named.filter(F.col(text).isNotNull()).selectExpr(*document, f"posexplode({pairs}) AS (place, pair)").filter("pair IS NOT NULL")
+    order = F.struct(F.expr("try_cast(__key AS BIGINT)").alias("n"), *document, "place")
+    # written first: a join of two plain shuffles is one whose hot pairs Spark splits
+    met = materialise(hashed.groupBy("pair").agg(F.count("*").alias("n"), F.min(order).alias("first")).filter("n > 1").select("pair", "first"))
+    gone = (
+        hashed.join(met, "pair").filter(" OR ".join(f"{c} <> first.{c}" for c in [*document, "place"]))
+        .groupBy(*document).agg(F.collect_set("place").alias("__places"))
+        .select(*document, F.expr("array_union(__places, transform(__places, p -> p + 1))").alias("__gone"))
+    )
+    left = f"transform(array({split}), ls -> array_join(transform(array_except(sequence(0, size(ls) - 1), __gone), i -> ls[i]), '\n'))[0]"
+    plain = [f"CASE WHEN __gone IS NULL THEN `{text}` ELSE {left} END AS `{text}`" if c == text else f"`{c}`" for c in docs.columns if c not in added]
+    return named.join(gone, document, "left").selectExpr(
+        *plain, f"CAST(CASE WHEN `{text}` IS NULL THEN 0 ELSE size({split}) END AS BIGINT) AS n_lines",
+        "CAST(CASE WHEN __gone IS NULL THEN 0 ELSE size(__gone) END AS BIGINT) AS n_removed_lines",
+    )
+
+
 ORACLE = f"""
 WITH base AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
 l AS (SELECT doc_id, unnest(ls) AS line, unnest(range(0, len(ls))) AS i, len(ls) AS n FROM base),

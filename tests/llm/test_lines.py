@@ -1,5 +1,7 @@
 """Repeated multi-line chunks: SQL, removal, shift resistance."""
 
+import random
+
 import duckdb
 import pytest
 
@@ -35,3 +37,54 @@ def test_odd_rows(odd, nothing):
     assert len(out) == odd.count()
     assert [r["text"] for r in out if r["doc_id"] == 2] == [None] and [r["n_lines"] for r in out if r["doc_id"] == 3] == [1]
     assert lines.drop_repeated_lines(nothing).count() == 0
+
+
+def brute(docs):
+    """Lines left of (id, text), in this order, by comparing all neighbouring lines with those before."""
+    seen, out = set(), []
+    for _, text in docs:
+        ls = text.split("\n")
+        gone = set()
+        for i in range(len(ls) - 1):
+            if ls[i].strip(" ") or ls[i + 1].strip(" "):
+                gone |= {i, i + 1} if (ls[i], ls[i + 1]) in seen else set()
+                seen.add((ls[i], ls[i + 1]))
+        out.append((len(ls), len(gone), "\n".join(x for i, x in enumerate(ls) if i not in gone)))
+    return out
+
+
+def test_passages_equal_brute_force(spark):
+    rnd = random.Random(6)
+    line = lambda: rnd.choice([f"common {rnd.randrange(12)}", f"own {rnd.random()}", "", " "])
+    docs = [(n, "\n".join(line() for _ in range(rnd.randrange(1, 25)))) for n in range(150)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(7)
+    got = {r["doc_id"]: (r["n_lines"], r["n_removed_lines"], r["text"]) for r in lines.drop_repeated_passages(frame).collect()}
+    assert [got[n] for n, _ in docs] == brute(docs)
+
+
+def test_short_passages_and_whole_copies_go(spark):
+    two = [(n, "first line\nsecond line") for n in range(3)]
+    inside = [(10 + n, f"a {n}\nb {n}\nfirst line\nsecond line\nc {n}") for n in range(20)]
+    frame = spark.createDataFrame(two + inside, "doc_id long, text string")
+    out = {r["doc_id"]: r["text"] for r in lines.drop_repeated_passages(frame).collect()}
+    assert [out[n] for n in range(3)] == [two[0][1], "", ""]
+    assert all(out[10 + n] == f"a {n}\nb {n}\nc {n}" for n in range(20))
+
+
+def test_passages_of_rows_that_share_an_id(spark):
+    docs = [(None, "a\nb\nc"), (None, "x\ny\nz"), (7, "x\ny\nmore"), (8, "own\ntext"), (8, "own\ntext"), (9, "q\na\nb")]
+    out = sorted((r["doc_id"] or 0, r["text"]) for r in lines.drop_repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect())
+    assert out == [(0, "a\nb\nc"), (0, "x\ny\nz"), (7, "more"), (8, "own\ntext"), (8, "own\ntext"), (9, "q")]
+
+
+def test_odd_passages(odd, nothing):
+    out = lines.drop_repeated_passages(odd).collect()
+    assert len(out) == odd.count() and [r["text"] for r in out if r["doc_id"] == 2] == [None] and [r["n_lines"] for r in out if r["doc_id"] == 3] == [1]
+    assert lines.drop_repeated_passages(nothing).count() == 0
+
+
+def test_pipeline_drops_a_two_line_copy(spark):
+    import corpus_pipeline
+
+    frame = spark.createDataFrame([(n, "first line\nsecond line", 22) for n in range(3)], "doc_id long, text string, n_chars long")
+    assert [r["doc_id"] for r in corpus_pipeline.fresh_lines(spark, frame, SF).collect()] == [0]
