@@ -20,6 +20,15 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br img".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+#: Content of these is text whatever it holds, up to their end tag. What may stand in a head. Open elements that a start tag ends, where HTML lets their end tag be left out.
+RAW = frozenset("script style title iframe textarea".split())
+IN_HEAD = frozenset("html head base basefont bgsound link meta title style script noscript noframes template".split())
+_ENDS_P = "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section table ul"
+_ENDED = {
+    "li": "li", "dt": "dt dd", "dd": "dt dd", "option": "option", "optgroup": "option optgroup", "td": "td th", "th": "td th", "tr": "td th tr",
+    **dict.fromkeys(("thead", "tbody", "tfoot"), "td th tr thead tbody tfoot caption colgroup"), **dict.fromkeys(_ENDS_P.split(), "p"),
+}
+ENDED = {name: frozenset(ended.split()) for name, ended in _ENDED.items()}
 OUTSIDE = frozenset("nav header footer aside form menu dialog".split())
 INSIDE = frozenset("article main".split())
 NAMES = re.compile(
@@ -83,9 +92,15 @@ def blocks(page: str) -> list[Block]:
         off -= was_off
         hidden -= was_hidden
 
+    def cut(depth: int) -> None:
+        while len(stack) > depth:
+            close(stack.pop())
+
     while at < len(page):
         tag = _TAG.search(page, at)
         text = page[at : tag.start() if tag else len(page)]
+        if stack and stack[-1][0] == "head" and text.strip():
+            cut(len(stack) - 1)
         if text and not hidden:
             parts.append((text, links > 0))
         if not tag:
@@ -94,7 +109,12 @@ def blocks(page: str) -> list[Block]:
         name = (tag[2] or "").lower()
         if not name:
             continue
-        if name in SILENT and name not in ("head", "template", "noscript", "svg", "math", "select", "object", "button"):
+        if not tag[1]:
+            # what may not stand in a head ends it; a body does so from any depth
+            k = next((k for k in range(len(stack)) if stack[k][0] == "head"), None)
+            if k is not None and name not in IN_HEAD and (name == "body" or k == len(stack) - 1):
+                cut(k)
+        if name in RAW:
             if not tag[1] and not tag[3].rstrip().endswith("/"):
                 # raw content: nothing inside it is a tag
                 end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
@@ -110,17 +130,16 @@ def blocks(page: str) -> list[Block]:
             depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
             # an inline end tag never ends a block element
             if depth is not None and (name not in INLINE or all(e[0] in INLINE for e in stack[depth:])):
-                while len(stack) > depth:
-                    close(stack.pop())
+                cut(depth)
         else:
-            if name in ("p", "li", "dt", "dd", "tr", "td", "th", "option") and stack:
-                # these end their open sibling, with the inline elements left open in it
+            while name in ENDED and stack:
+                # with the inline elements left open in them
                 k = len(stack) - 1
                 while k >= 0 and stack[k][0] in INLINE:
                     k -= 1
-                if k >= 0 and stack[k][0] == name:
-                    while len(stack) > k:
-                        close(stack.pop())
+                if k < 0 or stack[k][0] not in ENDED[name]:
+                    break
+                cut(k)
             if not tag[3].rstrip().endswith("/"):
                 was_off, was_hidden = _names(tag[3]) if tag[3] else (False, False)
                 was_off = was_off and name not in ("html", "body", "article", "main") or name in OUTSIDE

@@ -41,3 +41,27 @@ def test_odd_pages(spark):
     out = {r["page_id"]: r for r in pages.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()}
     assert len(out) == 6 and out[1]["text"] == out[2]["text"] == "" and out[5]["n_chars"] == 399_999
     assert pages.extract_pages(spark.createDataFrame(rows[:1], "page_id long, url string, html string, text string").limit(0)).count() == 0
+
+
+def texts(page):
+    return [b.text for b in pages.blocks(page)]
+
+
+def test_head_without_end_tag():
+    long = "word " * 60
+    for top in ("<html><head><title>t</title><meta charset=utf-8><body>", "<head><title>t</title><script>x</script>", "<head><noscript><style>a</style><body>", "<html><head><link rel=x><title>t</title><div>"):
+        assert pages.main_text(f"{top}<article><h1>Title</h1><p>{long}<p>{long}</article>", TREE) == "\n\n".join(["Title", long.strip(), long.strip()])
+    assert texts("<head><title>t</title>Text in no element<p>more") == ["Text in no element", "more"]
+    assert texts("<head><title>t</title><meta name=a><noscript>n</noscript></head><p>more") == ["more"]
+
+
+def test_options_without_end_tag():
+    long = "word " * 60
+    for part in ("<select><option>A<option>B</select>", "<select><optgroup label=x><option>A<optgroup label=y><option>B</select>", "<datalist id=d><option value=a>A<option>B</datalist>", "<canvas>no canvas</canvas>"):
+        assert pages.main_text(f"<body><form>{part}<input></form><article><h1>Title</h1><p>{long}</article>", TREE) == f"Title\n\n{long.strip()}"
+    assert texts("<form><select><option>A</form><p>after") == ["after"]
+
+
+def test_other_end_tags_left_out():
+    assert [(b.text, b.outside) for b in pages.blocks("<p class=ad>Buy<div>Text</div><table><tr><td class=ad>Buy<tr><td>Cell</table>")] == [("Buy", True), ("Text", False), ("Buy", True), ("Cell", False)]
+    assert texts("<dl><dt hidden>no<dd>yes</dl><table><thead hidden><tr><th>no<tbody><tr><td>yes</table>") == ["yes", "yes"]
