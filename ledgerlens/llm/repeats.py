@@ -85,7 +85,7 @@ def _runs(texts: DataFrame, depth: int) -> DataFrame:
             if parts:
                 yield _packed(parts)
 
-    return texts.mapInArrow(run, "row long, tail int, first long, last long, anchor long, offset int, shape long")
+    return texts.mapInArrow(run, "row long, tail long, first long, last long, anchor long, offset int, shape long")
 
 
 def _packed(parts: list[tuple]) -> pa.RecordBatch:
@@ -106,13 +106,13 @@ def _bodies(open_runs: DataFrame, texts: DataFrame, depth: int) -> DataFrame:
                 first, last = (lists.field(k).to_numpy(zero_copy_only=False) for k in range(2))
                 n = len(first)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, batch.column(0)[i].as_py())), pa.array(np.full(n, batch.column(1)[i].as_py(), np.int32)), lists.field(0), lists.field(2), lists.field(3),
+                    [pa.array(np.full(n, batch.column(0)[i].as_py())), pa.array(np.full(n, batch.column(1)[i].as_py(), np.int64)), lists.field(0), lists.field(2), lists.field(3),
                      pa.array([text[a : b + depth] for a, b in zip(first.tolist(), last.tolist())], pa.binary())],
                     names=["row", "tail", "first", "anchor", "offset", "body"],
                 )
 
     return texts.join(asked, ["row", "tail"]).select("row", "tail", "id", "text", "asked").mapInArrow(
-        run, "row long, tail int, first long, anchor long, offset int, body binary"
+        run, "row long, tail long, first long, anchor long, offset int, body binary"
     )
 
 
@@ -160,7 +160,7 @@ def _whole_groups(bodies: DataFrame, depth: int) -> DataFrame:
             begin, end = hit[fresh], np.concatenate([hit[np.flatnonzero(fresh)[1:] - 1], hit[-1:]])
             first = own.column(2).to_numpy()[owner[begin]]
             parts.append((own.column(0).to_numpy()[owner[begin]], own.column(1).to_numpy()[owner[begin]], first + inside[begin], first + inside[end]))
-        columns = [np.concatenate(c) for c in zip(*parts)] if parts else [np.zeros(0, t) for t in (np.int64, np.int32, np.int64, np.int64)]
+        columns = [np.concatenate(c) for c in zip(*parts)] if parts else [np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.int64)]
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["row", "tail", "first", "last"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,7 +177,7 @@ def _whole_groups(bodies: DataFrame, depth: int) -> DataFrame:
         if held:
             yield found(pa.Table.from_batches(held))
 
-    return bodies.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, "row long, tail int, first long, last long")
+    return bodies.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, "row long, tail long, first long, last long")
 
 
 def _split_groups(bodies: DataFrame, depth: int) -> DataFrame:
@@ -194,7 +194,7 @@ def _split_groups(bodies: DataFrame, depth: int) -> DataFrame:
                     names=["row", "tail", "first", "anchor", "offset", "digest"],
                 )
 
-    suffixes = bodies.mapInArrow(run, "row long, tail int, first long, anchor long, offset int, digest long")
+    suffixes = bodies.mapInArrow(run, "row long, tail long, first long, anchor long, offset int, digest long")
     groups = suffixes.groupBy("anchor", "offset", "digest").agg(F.count("*").alias("m")).filter("m > 1").drop("m")
     return suffixes.join(groups, ["anchor", "offset", "digest"], "left_semi").select("row", "tail", "first", F.col("first").alias("last"))
 
@@ -225,9 +225,13 @@ def remove_repeats(docs: DataFrame, depth: int = 200, id: str = "doc_id", text:
 
     Every byte covered by a string of `depth` bytes that also starts anywhere else, in the same or another document, goes; strings
     are judged on the input. Null texts are empty; rows without id and rows that repeat an id are documents of their own.
+    A row without id is known by 128 bits of its text's SHA-256, another by its id and 64 bits of a hash of its text.
     """
+    digest = F.sha2(F.coalesce(text, F.lit("")), 256)
+    # never null, so that both joins of the texts share one shuffle
+    half = lambda at: F.coalesce(F.conv(F.substring(digest, at, 16), 16, -10).cast("long"), F.lit(0))
     texts = docs.select(
-        F.coalesce(F.col(id).cast("long"), F.lit(0)).alias("row"), F.hash(F.coalesce(text, F.lit("")), F.col(id).isNull()).alias("tail"),
+        F.coalesce(F.col(id).cast("long"), half(1)).alias("row"), F.when(F.col(id).isNull(), half(17)).otherwise(F.xxhash64(F.coalesce(text, F.lit("")))).alias("tail"),
         F.col(id).cast("long").alias("id"), F.coalesce(text, F.lit("")).alias("text"),
     )
     spans = repeated_spans(texts, depth)

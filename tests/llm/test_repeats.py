@@ -63,3 +63,15 @@ def test_odd_rows(odd, nothing):
     by = {r["doc_id"]: r for r in out}
     assert by[2]["n_bytes"] == 0 and by[3]["n_removed"] == 0 and by[5]["n_removed"] == by[5]["n_bytes"] and by[6]["kept"].endswith(b" end")
     assert repeats.remove_repeats(nothing).count() == 0
+
+
+def test_texts_without_id_whose_short_hashes_collide(spark):
+    shared = "".join(random.Random(3).choice("abcdefgh ") for _ in range(270))
+    other = "concat(sha2(string(id), 512), sha2(concat(id, 'b'), 512))"
+    spark.range(400_000).selectExpr("id", f"IF(id % 2 = 0, concat('{shared}', id), {other}) AS text").selectExpr("id", "text", "hash(text, true) AS h").createOrReplaceTempView("collisions")
+    pair = spark.sql("SELECT min_by(text, id % 2) AS a, max_by(text, id % 2) AS b FROM collisions GROUP BY h HAVING count(DISTINCT id % 2) = 2 LIMIT 1").first()
+    assert pair["a"].startswith(shared) and not pair["b"].startswith(shared)
+    docs = spark.createDataFrame([(None, pair["a"]), (None, pair["b"]), (1, shared)], "doc_id long, text string")
+    got = {(r["doc_id"], r["n_bytes"]): (r["n_removed"], r["kept_sha256"]) for r in repeats.remove_repeats(docs, 200).collect()}
+    assert got[None, len(pair["b"])] == (0, hashlib.sha256(pair["b"].encode()).hexdigest())
+    assert got[None, len(pair["a"])][0] == got[1, 270][0] == 270
