@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, language, leaks, licenses, lines, nearcopies, pages, repeats, tokens, toxicity
+from . import fingerprints, language, leaks, licenses, lines, nearcopies, pages, periodic, repeats, tokens, toxicity
 from .common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -72,8 +72,29 @@ def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return nearcopies.near_copies(table(spark, folder, "documents"), size=3, percent=85)
 
 
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Each whole text, one in ten of them made periodic from a word on, with its runs and what is left of it."""
+    words = r"regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0)"
+    again = "transform(ws, (w, i) -> IF(i < a, w, ws[a + (i - a) % p]))"
+    period = "CAST(1 + (size(ws) - a) DIV (3 + g % 8) AS INT)"
+    # one-element arrays bind a value once: a plain column used inside a lambda would be computed for each element
+    bound = (
+        f"transform(array({words}), ws -> IF(size(ws) = 0, '', transform(array(CAST(g % size(ws) AS INT)), a -> "
+        f"transform(array({period}), p -> array_join({again}, ' '))[0])[0]))[0]"
+    )
+    docs = table(spark, folder, "documents").select("doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h")).selectExpr("*", "h DIV 10 AS g")
+    made = docs.selectExpr("doc_id", f"CASE WHEN h % 10 = 0 AND text IS NOT NULL THEN {bound} ELSE text END AS text")
+    best = "reduce(runs, element_at(runs, 1), (b, r) -> IF(r.length * b.period > b.length * r.period, r, b))"
+    found = periodic.collapse_runs(made, least=6, exponent=4).selectExpr(
+        "doc_id", "CAST(size(runs) AS BIGINT) AS n_runs", f"CASE WHEN size(runs) > 0 THEN {best} END AS best",
+        "sha2(array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), ''), 256) AS runs_sha256",
+        "sha2(collapsed, 256) AS collapsed_sha256",
+    )
+    return found.selectExpr("doc_id", "n_runs", "best.start", "best.length", "best.period", "1000 * best.length DIV best.period AS exponent_milli", "runs_sha256", "collapsed_sha256")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_suffix_array_dedup, op2_html_extraction, op3_language_identification, op4_document_fingerprints, op5_benchmark_decontamination,
-    op6_line_dedup, op7_license_scan, op8_bpe_encoding, op9_toxicity, op10_minhash_near_dedup,
+    op6_line_dedup, op7_license_scan, op8_bpe_encoding, op9_toxicity, op10_minhash_near_dedup, op13_periodic_runs,
 )}
-ORACLE = {"op6_line_dedup": lines.ORACLE}
+ORACLE = {"op6_line_dedup": lines.ORACLE, "op13_periodic_runs": periodic.ORACLE}
