@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, language, leaks, licenses, lines, nearcopies, pages, periodic, repeats, tokens, toxicity
+from . import fingerprints, language, leaks, licenses, lines, nearcopies, pages, periodic, repeats, tokens, toxicity, whitening
 from .common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -72,6 +72,17 @@ def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return nearcopies.near_copies(table(spark, folder, "documents"), size=3, percent=85)
 
 
+def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    model = whitening.fit_whitening(vectors, components=8, scale=1024.0, offset=100_000)
+    shares = F.array(*[F.lit(float(v)) for v in model.explained]).cast("array<double>")
+    rows = whitening.whiten(vectors, model).select("vec_id", "n", F.col("deviation").try_cast("bigint").alias("deviation"), F.posexplode("whitened").alias("k", "whitened"))
+    return rows.select(
+        "vec_id", (F.col("k") + 1).alias("component"), "n", "deviation", "whitened", F.get(shares, F.col("k")).alias("explained"),
+        F.lit(whitening.identity_error(vectors, model)).alias("identity_error"),
+    )
+
+
 def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     """Each whole text, one in ten of them made periodic from a word on, with its runs and what is left of it."""
     words = r"regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0)"
@@ -95,6 +106,6 @@ def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_suffix_array_dedup, op2_html_extraction, op3_language_identification, op4_document_fingerprints, op5_benchmark_decontamination,
-    op6_line_dedup, op7_license_scan, op8_bpe_encoding, op9_toxicity, op10_minhash_near_dedup, op13_periodic_runs,
+    op6_line_dedup, op7_license_scan, op8_bpe_encoding, op9_toxicity, op10_minhash_near_dedup, op12_embedding_whitening, op13_periodic_runs,
 )}
 ORACLE = {"op6_line_dedup": lines.ORACLE, "op13_periodic_runs": periodic.ORACLE}
