@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, language, leaks, licenses, lines, nearcopies, pages, periodic, repeats, tokens, toxicity, whitening
+from . import fingerprints, language, leaks, licenses, lines, nearcopies, pages, periodic, repeats, shards, tokens, toxicity, whitening
 from .common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -72,6 +72,11 @@ def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return nearcopies.near_copies(table(spark, folder, "documents"), size=3, percent=85)
 
 
+def op11_balanced_shards(spark: SparkSession, folder: str) -> DataFrame:
+    placed = shards.shard_texts(table(spark, folder, "documents"), keep=("doc_id",), shards=40)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
     vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
     model = whitening.fit_whitening(vectors, components=8, scale=1024.0, offset=100_000)
@@ -106,6 +111,6 @@ def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_suffix_array_dedup, op2_html_extraction, op3_language_identification, op4_document_fingerprints, op5_benchmark_decontamination,
-    op6_line_dedup, op7_license_scan, op8_bpe_encoding, op9_toxicity, op10_minhash_near_dedup, op12_embedding_whitening, op13_periodic_runs,
+    op6_line_dedup, op7_license_scan, op8_bpe_encoding, op9_toxicity, op10_minhash_near_dedup, op11_balanced_shards, op12_embedding_whitening, op13_periodic_runs,
 )}
 ORACLE = {"op6_line_dedup": lines.ORACLE, "op13_periodic_runs": periodic.ORACLE}
