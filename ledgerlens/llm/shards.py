@@ -13,6 +13,7 @@ from ledgerlens.session import materialise
 
 BUCKET_ROWS = 20_000  # rows numbered by one window group
 ORDERS = 256          # groups of hubs let in one after another where a quota binds
+VOTES = 4             # shards that a hub votes for at once
 HEAVY = 8             # hubs above an eighth of a shard, HEAVY * shards at most, are placed before the rest
 
 
@@ -123,19 +124,24 @@ def _propagated(links: DataFrame, hubs: DataFrame, total: int, shards: int, capa
         loads = _loads(labels, shards)
         room = F.array(*[F.lit(float(capacity - load)) for load in loads])
         seen = links.select("item", "hub").join(labels.drop("team"), "item")
-        # a hub votes for the shard with most of its bytes that holds or can take the rest of it; if none can, for one drawn anew each round
+        # a hub votes for the shards with most of its bytes that hold or can take the rest of it; if none can, for one drawn anew each round
         pieces = seen.groupBy("hub", "shard").agg(F.sum("size").alias("here")).join(hubs, "hub")
         fits = (F.col("here") == F.col("bytes")) | (F.get(room, F.col("shard")) >= F.col("bytes") - F.col("here"))
-        best = F.max(F.struct(fits.alias("fits"), "here", _hash("hub", "shard").alias("tie"), "shard")).alias("b")
-        drawn = F.pmod(_hash("hub", F.lit(k)), F.lit(shards)).cast("int")
-        votes = pieces.groupBy("hub").agg(F.first("members").alias("members"), best).select(
-            "hub", "members", F.when(F.col("b.fits"), F.col("b.shard")).otherwise(drawn).alias("vote")
+        ranked = F.sort_array(F.collect_list(F.struct(fits.alias("fits"), "here", _hash("hub", "shard").alias("tie"), F.col("shard").alias("vote"))), asc=False)
+        drawn = F.array(F.struct(F.pmod(_hash("hub", F.lit(k)), F.lit(shards)).cast("int").alias("vote"), F.lit(0).cast("bigint").alias("here")))
+        best = F.transform(F.slice(F.filter("ranked", lambda v: v["fits"]), 1, VOTES), lambda v: F.struct(v["vote"].alias("vote"), v["here"].alias("here")))
+        votes = (
+            pieces.groupBy("hub").agg(F.first("members").alias("members"), F.first("bytes").alias("bytes"), ranked.alias("ranked"))
+            .select("hub", "members", "bytes", F.when(F.size(best) > 0, best).otherwise(drawn).alias("votes"))
         )
-        # an item goes where most of its hubs' votes point, and stays where it is on a tie
-        ballots = _with_hubs(seen, materialise(votes), total).groupBy("item", "size", "shard", "vote").agg(F.count("*").alias("n"), F.min(_hash("hub", F.lit(k))).alias("order"))
+        # an item goes where its hubs have the largest share beside itself, and stays where it is on a tie
+        ballots = _with_hubs(seen, materialise(votes), total).select("item", "size", "shard", "hub", "bytes", F.inline("votes"))
+        others = F.col("here") - F.when(F.col("vote") == F.col("shard"), F.col("size")).otherwise(0)
+        weight = F.round(F.sum(F.greatest(others / F.col("bytes"), F.lit(1e-6))), 9)
+        counted = ballots.groupBy("item", "size", "shard", "vote").agg(weight.alias("n"), F.min(_hash("hub", F.lit(k))).alias("order"))
         choice = F.max(F.struct("n", (F.col("vote") == F.col("shard")).alias("stay"), (-F.col("order")).alias("order"), "vote")).alias("c")
         movers = materialise(
-            ballots.groupBy("item", "size", "shard").agg(choice).where("c.vote <> shard")
+            counted.groupBy("item", "size", "shard").agg(choice).where("c.vote <> shard")
             .select("item", "size", F.col("shard").alias("source"), F.col("c.vote").alias("goal"), F.pmod(-F.col("c.order"), F.lit(ORDERS)).cast("int").alias("turn"))
         )
         flows = movers.groupBy("source", "goal", "turn").agg(F.sum("size").alias("b"))
