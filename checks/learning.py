@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from ledgerlens.config import DEFAULT
 from ledgerlens.operators import split
 from ledgerlens.operators.metrics import evaluate
+from ledgerlens.plans import boosting as B2
 from ledgerlens.plans import features as G
 from ledgerlens.plans import model as M
 from ledgerlens.plans import prepare as P
@@ -164,13 +165,73 @@ def boosted(s, d):
     return M.scored_rows(classifier(s, d), prepared_sets(s, d)[3])
 
 
+STUMP_COLUMNS = ("TransactionAmt", "card2", "card5", "addr1", "dist1", "D1", "V1", "V2", "V13")
+STUMPS = B2.TreeSettings(rounds=3, depth=1, learning_rate=0.3, row_share=1.0, column_share=1.0)
+
+
+def _round(k: int) -> str:
+    """CTEs of one round in SQL: derivatives from the margins, sums per value, the best cut, leaf values and new margins."""
+    half = lambda g: f"(sign({g}) * greatest(abs({g}) - 1, 0))"
+    score = lambda g, h: f"({half(g)} ** 2 / ({h} + 2))"
+    leaf = lambda g, h: f"(-0.3 * {half(g)} / ({h} + 2))"
+    return f"""
+    d{k} AS (SELECT {ID}, w * (1 / (1 + exp(-m)) - y) AS g, w * (1 / (1 + exp(-m))) * (1 - 1 / (1 + exp(-m))) AS h FROM m{k}),
+    v{k} AS (SELECT name, value, sum(g) AS g, sum(h) AS h FROM long JOIN d{k} USING ({ID}) GROUP BY 1, 2),
+    u{k} AS (SELECT name, value, sum(g) OVER (PARTITION BY name ORDER BY value) AS lg, sum(h) OVER (PARTITION BY name ORDER BY value) AS lh,
+      sum(g) OVER (PARTITION BY name) AS g, sum(h) OVER (PARTITION BY name) AS h FROM v{k}),
+    b{k} AS (SELECT {k} AS round, name, value AS threshold, {score('lg', 'lh')} + {score('(g - lg)', '(h - lh)')} - {score('g', 'h')} AS gain,
+      {leaf('lg', 'lh')} AS left_value, {leaf('(g - lg)', '(h - lh)')} AS right_value FROM u{k} WHERE lh >= 5 AND h - lh >= 5 ORDER BY gain DESC LIMIT 1),
+    m{k + 1} AS (SELECT m.{ID}, y, w, m + CASE WHEN long.value <= threshold THEN left_value ELSE right_value END AS m FROM m{k} m JOIN long USING ({ID}) JOIN b{k} ON long.name = b{k}.name)"""
+
+
+_LONG = " UNION ALL ".join(f"SELECT {ID}, '{c}' AS name, coalesce(CAST({c} AS DOUBLE), CAST(-999 AS DOUBLE)) AS value FROM few" for c in STUMP_COLUMNS)
+STUMP_SQL = (
+    f"WITH few AS (SELECT * REPLACE (CAST(floor(TransactionAmt / 40) AS DOUBLE) AS TransactionAmt, dist1 % 200 AS dist1) FROM txn), long AS ({_LONG}), "
+    f"m0 AS (SELECT {ID}, CAST(isFraud AS DOUBLE) AS y, CASE WHEN isFraud = 1 THEN CAST(27 AS DOUBLE) ELSE CAST(1 AS DOUBLE) END AS w, CAST(0 AS DOUBLE) AS m FROM txn), "
+    + ",".join(_round(k) for k in range(3))
+    + f" SELECT round, name, {R('threshold', 'threshold')}, {R('gain', 'gain')}, {R('left_value', 'left_value')}, {R('right_value', 'right_value')} FROM (SELECT * FROM b0 UNION ALL SELECT * FROM b1 UNION ALL SELECT * FROM b2)"
+)
+
+
+@check("m10_penalised_rounds", STUMP_SQL)
+def penalised_rounds(s, d):
+    """Three rounds of one split each over columns with few values: the cut, its gain and both leaf values, penalties included."""
+    few = txn(s, d).withColumn("TransactionAmt", F.floor(F.col("TransactionAmt") / 40).cast("double")).withColumn("dist1", F.col("dist1") % 200)
+    features = array_to_vector(F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(-999.0)) for c in STUMP_COLUMNS]))
+    rows = M.with_weights(few.select(ID, "isFraud", features.alias("features")), "isFraud", DEFAULT.positive_weight)
+    trees = M.PenalisedTrees(STUMPS).fit(rows).trees
+    out = [(k, STUMP_COLUMNS[t.feature[0]], float(t.threshold[0]), float(t.gain[0]), float(t.value[1]), float(t.value[2])) for k, t in enumerate(trees)]
+    return s.createDataFrame(out, "round int, name string, threshold double, gain double, left_value double, right_value double")
+
+
+@check("m10_penalised_trees")
+def penalised(s, d):
+    """Full depth, penalties and shares; fewer rounds than the full settings."""
+    _, _, train, test = prepared_sets(s, d)
+    return M.scored_rows(M.fit_classifier(train, M.penalised_trees(rounds=ROUNDS, learning_rate=0.3)), test)
+
+
 @check("m11_early_stopping")
 def early_stopping(s, d):
     _, _, train, test = prepared_sets(s, d)
-    model = M.fit_with_patience(train, M.boosted_trees(rounds=ROUNDS, depth=DEPTH), patience=1, first=2)
+    model = M.fit_with_patience(train, M.penalised_trees(rounds=8, depth=DEPTH, learning_rate=0.3), patience=2)
     return M.scored_rows(model, test).withColumn("trees", F.lit(model.getNumTrees))
 
 
+@check("m11_best_round", "SELECT CAST(1 AS BIGINT) AS best_round_found, CAST(1 AS BIGINT) AS losses_agree")
+def best_round_found(s, d):
+    """The measures kept while growing equal those of the first k trees on the held rows, and the trees end at the best one."""
+    _, _, train, _ = prepared_sets(s, d)
+    model = M.fit_with_patience(train, M.penalised_trees(rounds=6, depth=3, learning_rate=0.5, watch="loss"), patience=2)
+    held = train.where(M.hash_bucket(ID, DEFAULT.seed + 1) < 10_000)
+    margins = [B2.PenalisedTreesModel(model.trees[:k]).margin(F.col("features")).alias(f"m{k}") for k in range(1, model.getNumTrees + 1)]
+    signed = lambda m: F.when(F.col("isFraud") == 1, -F.col(m)).otherwise(F.col(m))
+    again = held.select("isFraud", *margins).agg(*[F.avg(F.log1p(F.exp(signed(f"m{k}")))).alias(f"m{k}") for k in range(1, model.getNumTrees + 1)])
+    gaps = [F.abs(F.col(f"m{k + 1}") - F.lit(v)) for k, v in enumerate(model.measures[: model.getNumTrees])]
+    found = M.best_round(model.measures, 2)[0] == model.getNumTrees
+    return again.select(F.lit(int(found)).alias("best_round_found"), (F.greatest(*gaps, F.lit(0.0)) < 1e-9).cast("bigint").alias("losses_agree"))
+
+
 @check("m12_class_weights", f"SELECT {ID}, {R('CASE WHEN isFraud = 1 THEN 27 ELSE 1 END', 'weight')} FROM txn")
 def class_weights(s, d):
     return M.with_weights(txn(s, d), "isFraud", DEFAULT.positive_weight).select(ID, "weight")

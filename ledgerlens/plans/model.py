@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import time
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
@@ -21,6 +21,7 @@ from ..session import materialise, shared_folder
 from ..sources.files import read_text, write_text
 from ..sources.registry import ModelNotFoundError, next_version, resolve, version_path
 from . import features as G
+from .boosting import PenalisedTrees, PenalisedTreesModel, TreeSettings
 from .prepare import Preparation, fit_preparation
 
 # The boosted-tree and forest settings.
@@ -44,8 +45,7 @@ def boosted_trees(
     column_share: float = BOOSTED["column_share"], seed: int = 6, validation: str | None = None,
     tolerance: float = 1e-4, min_weight_share: float = 0.0, checkpoint_every: int = 10,
 ) -> GBTClassifier:
-    """Boosted trees. Early stopping uses a validation column and a tolerance; the L1/L2
-    penalties of other libraries have no counterpart here."""
+    """Spark's boosted trees: first-order, without penalties; early stopping by a validation column and a tolerance."""
     gbt = GBTClassifier(
         labelCol=label, featuresCol="features", weightCol="weight", maxIter=rounds, maxDepth=depth,
         stepSize=learning_rate, subsamplingRate=row_share, featureSubsetStrategy=str(column_share),
@@ -57,6 +57,11 @@ def boosted_trees(
     return gbt
 
 
+def penalised_trees(label: str = "isFraud", id: str = DEFAULT.id_col, **settings) -> PenalisedTrees:
+    """Second-order boosted trees with L1/L2 penalties and least child weight; the full settings unless others are named."""
+    return PenalisedTrees(TreeSettings(**settings), label, id)
+
+
 def random_forest(
     label: str = "isFraud", trees: int = FOREST["trees"], depth: int = FOREST["depth"], seed: int = 6
 ) -> RandomForestClassifier:
@@ -106,7 +111,10 @@ class FraudModel:
         path = version_path(root, name, version)
         self.features.profiles.save(f"{path}/profiles")
         self.preparation.save(f"{path}/preparation")
-        self.classifier.write().overwrite().save(f"{path}/classifier")
+        if isinstance(self.classifier, PenalisedTreesModel):
+            self.classifier.save(spark, f"{path}/classifier")
+        else:
+            self.classifier.write().overwrite().save(f"{path}/classifier")
         rates = self.features.rates
         if rates is not None:
             rates.full_table.write.mode("overwrite").parquet(f"{path}/rates")
@@ -130,7 +138,7 @@ class FraudModel:
         if text is None:
             raise ModelNotFoundError(path)
         info = json.loads(text)
-        kinds = {"GBTClassificationModel": GBTClassificationModel, "RandomForestClassificationModel": RandomForestClassificationModel}
+        kinds = {"GBTClassificationModel": GBTClassificationModel, "RandomForestClassificationModel": RandomForestClassificationModel, "PenalisedTreesModel": PenalisedTreesModel}
         rates = None
         if info["rate_column"]:
             table = spark.read.parquet(f"{path}/rates")
@@ -194,23 +202,27 @@ def best_round(losses: list[float], patience: int) -> tuple[int, bool]:
 
 
 def fit_with_patience(
-    train: DataFrame, estimator: GBTClassifier, patience: int = BOOSTED["patience"], cfg: FeatureConfig = DEFAULT,
+    train: DataFrame, estimator: GBTClassifier | PenalisedTrees, patience: int = BOOSTED["patience"], cfg: FeatureConfig = DEFAULT,
     positive_weight: float | None = None, validation_share: float = 0.1, first: int | None = None,
 ):
-    """Boosted trees cut at the round after which the validation loss has not fallen for `patience` rounds.
+    """Boosted trees cut at the round after which the held rows have not become better for `patience` rounds.
 
-    Rounds are grown in stages (`first`, then twice as many) up to the estimator's own number, so a fit that stops early never
-    pays for all of them; the same seed gives the same first trees, so the last fit holds the best rounds exactly.
+    Penalised trees go on from stored margins, one tree after the other. Spark's own boosting cannot go on: its rounds are grown in stages (`first`,
+    then twice as many) up to the estimator's number, and the same seed gives the same first trees, so the last fit holds the best rounds exactly.
     """
     weight = cfg.positive_weight if positive_weight is None else positive_weight
     held = hash_bucket(cfg.id_col, cfg.seed + 1) < F.lit(round(100_000 * validation_share))
-    rows = materialise(with_weights(train, cfg.target_col, weight))
+    rows = with_weights(train, cfg.target_col, weight)
+    if isinstance(estimator, PenalisedTrees):
+        settings = replace(estimator.settings, patience=patience)
+        return replace(estimator, settings=settings, validation="validation").fit(rows.withColumn("validation", held))
+    rows = materialise(rows)
     used, unseen = _checkpointed(rows.where(~held)), rows.where(held)
     most = estimator.getMaxIter()
     rounds = min(most, first or 2 * patience)
     while True:
         model = estimator.copy({estimator.maxIter: rounds}).fit(used)
-        best, settled = best_round(model.evaluateEachIteration(unseen, "logistic"), patience)
+        best, settled = best_round(model.evaluateEachIteration(unseen), patience)
         if settled or rounds >= most:
             return model if best == rounds else estimator.copy({estimator.maxIter: best}).fit(used)
         rounds = min(most, 2 * rounds)
