@@ -13,6 +13,7 @@ from ledgerlens.plans import features as G
 from ledgerlens.plans import model as M
 from ledgerlens.plans import prepare as P
 from ledgerlens.session import scratch_path
+from ledgerlens.streaming import scoring, state
 
 from .base import CARDED, B, R, check, digest_bucket, raw, txn
 from .ordered import GAP, MEDIAN, PREV, VELOCITY
@@ -360,3 +361,25 @@ def stored_equals_memory(s, d):
     model.save(root)
     train, test = sides(s, d)
     return equal_scores(M.FraudModel.load(s, root).predict_proba(test, history=train), model.predict_proba(test, history=train))
+
+
+# ---- continuous scoring with a stored model ------------------------------------------------------
+
+
+@check("t12_stored_model_stream", f"WITH {STRATIFIED} SELECT b.{ID}, CAST(1 AS BIGINT) AS same FROM b JOIN cut USING (isFraud) WHERE b <= cut AND {ID} % 50 <> 0")
+def stored_model_stream(s, d):
+    """Test rows arrive in four files by time, some with an unreadable amount. A loaded model scores them with the state of their cards; every
+    probability equals that of one batch over all good rows, so previous amounts, medians, gaps, fills and hourly counts reach across files."""
+    root, inbox, out, ck = (scratch_path(s, f"cards-{n}") for n in ("models", "in", "out", "ck"))
+    fraud_model(s, d).save(root)
+    model = M.FraudModel.load(s, root)
+    test = sides(s, d)[1].drop("isFraud")
+    expected = test.schema
+    cuts = test.approxQuantile("TransactionDT", [0.25, 0.5, 0.75], 0.0)
+    raw_rows = test.withColumn("TransactionAmt", F.expr(f"IF({ID} % 50 = 0, 'garbage', CAST(TransactionAmt AS STRING))"))
+    for a, b in zip([float("-inf"), *cuts], [*cuts, float("inf")]):
+        slice_ = raw_rows.where((F.col("TransactionDT") > a) & (F.col("TransactionDT") <= b))
+        slice_.coalesce(1).write.mode("append").parquet(inbox)
+    stream = scoring.arriving_rows(s, inbox, raw_rows.schema, files_per_batch=1)
+    state.score_cards(stream, expected, lambda rows, history: model.predict_proba(rows, history=history), out, ck, available_now=True).awaitTermination()
+    return equal_scores(s.read.parquet(f"{out}/predictions").drop("batch"), model.predict_proba(test.where(f"{ID} % 50 <> 0")))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.session import scratch_path
 from ledgerlens.sources import sinks
-from ledgerlens.streaming import alerts, counters, drift, scoring
+from ledgerlens.streaming import alerts, counters, drift, scoring, state
 
 from .base import AMT, B, R, check, flag, predictions, requests, txn
 
@@ -41,6 +41,23 @@ def prediction_window_stream(s, d):
     return drift._latest_state(s, state, 1 << 31).select("model_version", "seq", "prob")
 
 
+@check(
+    "t1_prediction_window_state",
+    f"SELECT model_version, seq, {R('prob', 'prob')} FROM (SELECT *, row_number() OVER (PARTITION BY model_version ORDER BY sec DESC, seq DESC) AS k "
+    "FROM (SELECT * REPLACE (CASE WHEN seq % 5 = 0 THEN NULL ELSE model_version END AS model_version) FROM prediction_log)) WHERE k <= 1000",
+    LOG,
+)
+def prediction_window_state(s, d):
+    """The window in keyed state, rows without a model included; the query is stopped and started again between the two halves of the log."""
+    inbox, ck = (scratch_path(s, f"window-{n}") for n in ("in", "ck"))
+    log = predictions(s, d).selectExpr("sec", "seq", "IF(seq % 5 = 0, NULL, model_version) AS model_version", "prob")
+    for half in ("seq % 2 = 0", "seq % 2 = 1"):
+        log.where(half).repartitionByRange(2, "seq").write.mode("append").parquet(inbox)
+        stream = s.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(inbox)
+        state.keep_recent(stream, ck, available_now=True).awaitTermination()
+    return state.kept_rows(s, ck).select("model_version", "seq", "prob")
+
+
 @check("t2_prediction_drift", f"WITH {LAST}, {REF}, {KS} SELECT {R('max(gap)', 'ks')}, {flag('max(gap) > 0.3', 'alert')} FROM k", LOG)
 def prediction_drift(s, d):
     window = drift.recent_rows(predictions(s, d))
