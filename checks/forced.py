@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import metrics
+from ledgerlens.operators.ordered import ordered_features
 from ledgerlens.operators.skew import SkewPolicy
 from ledgerlens.plans import features as G
 
-from .base import ORACLE, QUERIES, raw, tidy, txn
+from .base import ORACLE, QUERIES, R, check, raw, tidy, txn
 from .feature_sets import CHAIN, names
 from .ordered import carded, with_uids
 
@@ -53,3 +54,17 @@ def velocity_wide(s, d):
     from .feature_sets import G13
 
     return G.uid_velocity(with_uids(s, d), policy=WIDE).select(ID, *names(G13))
+
+
+@check(
+    "w1_previous_amount_missing_key_large",
+    f"WITH k AS (SELECT {ID}, TransactionDT, TransactionAmt, ProductCD, CASE WHEN {ID} % 3 = 0 THEN NULL ELSE card1 END AS k FROM txn) "
+    f"SELECT {ID}, k, {R('coalesce(lag(TransactionAmt) OVER w, TransactionAmt)', 'before')}, last_value(ProductCD IGNORE NULLS) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS filled, "
+    "row_number() OVER w - 1 AS place FROM k WINDOW w AS (PARTITION BY k ORDER BY TransactionDT, TransactionID)",
+)
+def missing_key_large(s, d):
+    """A third of the rows has no key: they are a group of their own and are split over tasks."""
+    df = txn(s, d).selectExpr(ID, "TransactionDT", "TransactionAmt", "ProductCD", f"IF({ID} % 3 = 0, NULL, card1) AS k")
+    lagged = {"before": "coalesce(lag(TransactionAmt) OVER ({w}), TransactionAmt)"}
+    out = ordered_features(df, "k", ["TransactionDT", ID], lagged, {"filled": "ProductCD"}, "place", policy=LARGE)
+    return out.select(ID, "k", "before", "filled", "place")

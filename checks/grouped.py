@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerlens.config import DEFAULT
-from ledgerlens.operators import eda, joins, metrics, setops, stats
+from ledgerlens.operators import eda, joins, metrics, setops, sketches, stats
 from ledgerlens.operators.skew import DEFAULT_POLICY, spread_small
 from ledgerlens.plans import features as G
+from ledgerlens.session import scratch_path
 
 from .base import AMT, CARDED, WITH_UIDS, B, R, check, ident, predictions, raw, requests, txn
 from .ordered import RISK, carded, with_uids
@@ -162,6 +163,24 @@ def distinct_uids_approximate(s, d):
     return stats.distinct_counts(with_uids(s, d), UID_COLS, approximate=True)
 
 
+@check(
+    "a9_daily_sketches",
+    f"WITH {WITH_UIDS} " + " UNION ALL ".join(f"SELECT '{u}' AS name, count({u}) AS rows, count(DISTINCT {u}) AS distinct_values, CAST(1 AS BIGINT) AS within_three_errors, CAST(1 AS BIGINT) AS same_in_one_pass FROM u" for u in UID_COLS),
+)
+def daily_sketches(s, d):
+    """Sketches stored per day and united: within three standard errors of the exact count, and equal to one pass over all days."""
+    df = with_uids(s, d)
+    path = scratch_path(s, "sketches")
+    sketches.distinct_sketches(df.withColumn("day", F.expr("TransactionDT DIV 86400")), UID_COLS, "day").write.partitionBy("slot").parquet(path)
+    united = sketches.united_distinct(s.read.parquet(path))
+    once = sketches.united_distinct(sketches.distinct_sketches(df.withColumn("day", F.lit(0)), UID_COLS, "day")).selectExpr("name", "distinct_values AS once")
+    exact = stats.distinct_counts(df, UID_COLS).selectExpr("stack(4, " + ", ".join(f"'{u}', {u}_unique" for u in UID_COLS) + ") AS (name, exact)")
+    return united.join(once, "name").join(exact, "name").selectExpr(
+        "name", "rows", "exact AS distinct_values", f"CAST(abs(distinct_values - exact) <= 3 * {sketches.distinct_error()}D * exact AS INT) AS within_three_errors",
+        "CAST(distinct_values = once AS INT) AS same_in_one_pass",
+    )
+
+
 def block_sql(name, cols, sum_name="sum", mean="mean", std="std", nulls="nan_count"):
     lst = "[" + ", ".join(cols) + "]"
     n_null = " + ".join(f"CASE WHEN {c} IS NULL THEN 1 ELSE 0 END" for c in cols)

@@ -15,7 +15,7 @@ from ledgerlens.plans import prepare as P
 from ledgerlens.session import scratch_path
 from ledgerlens.streaming import scoring, state
 
-from .base import CARDED, B, R, check, digest_bucket, raw, txn
+from .base import CARDED, ORACLE, B, R, check, digest_bucket, raw, txn
 from .ordered import GAP, MEDIAN, PREV, VELOCITY
 
 ID = "TransactionID"
@@ -280,6 +280,17 @@ def score_metrics_by_split(s, d):
     return evaluate(df, "isFraud", "pred", "score", ["split"])
 
 
+_NULL_PRED = _PRED.replace(_TEXT_SPLIT, f"CASE WHEN {ID} % 5 = 0 THEN 'test' WHEN {ID} % 5 = 1 THEN NULL ELSE 'train' END")
+_BY_SPLIT = ORACLE["m15_score_metrics_by_split"]
+_START = _BY_SPLIT.index(_PRED)
+
+
+@check("m15_metrics_with_a_missing_group", "WITH " + _BY_SPLIT[_START:].replace(_PRED, _NULL_PRED).replace("JOIN q USING (split)", "JOIN q ON m.split IS NOT DISTINCT FROM q.split").replace("SELECT m.*,", "SELECT m.*,"))
+def metrics_with_a_missing_group(s, d):
+    df = txn(s, d).withColumn("split", F.expr(f"CASE {ID} % 5 WHEN 0 THEN 'test' WHEN 1 THEN NULL ELSE 'train' END")).withColumn("pred", F.expr("CAST(score > 0.5D AS INT)"))
+    return evaluate(df, "isFraud", "pred", "score", ["split"])
+
+
 def fraud_model(s, d):
     fitted, preparation, _, _ = prepared_sets(s, d)
     return M.FraudModel(fitted, preparation, classifier(s, d))

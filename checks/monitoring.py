@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ledgerlens.operators import sketches
 from ledgerlens.session import scratch_path
 from ledgerlens.sources import sinks
 from ledgerlens.streaming import alerts, counters, drift, scoring, state
@@ -124,6 +125,26 @@ def latency_p99(s, d):
     return alerts.latency_quantile(requests(s, d))
 
 
+@check(
+    "t6_latency_sketches",
+    "WITH w AS (SELECT floor((sec // 60 * 60) / 300) * 300 - 300 * k AS window_start, sec // 60 * 60 AS slot, latency_s FROM request_log, range(0, 3) t(k)) "
+    "SELECT CAST(window_start AS BIGINT) AS window_start, count(*) AS rows, CAST(1 AS BIGINT) AS within_bound FROM w WHERE window_start + 900 > slot GROUP BY 1",
+    REQ,
+)
+def latency_sketches(s, d):
+    """p99 over 15 minutes every 5, merged from stored sketches of single minutes; its rank among the window's own values is within the bound."""
+    log = requests(s, d).select("sec", "latency_s")
+    path = scratch_path(s, "minutes")
+    sketches.quantile_sketches(log, "latency_s", "sec").write.parquet(path)
+    found = sketches.window_quantiles(s.read.parquet(path), 0.99, 900, 300)
+    spread = log.selectExpr("explode(sequence(sec DIV 300 * 300 - 600, sec DIV 300 * 300, 300)) AS window_start", "latency_s")
+    ranked = spread.join(found, "window_start").groupBy("window_start", "rows").agg(
+        F.count("*").alias("n"), F.count_if(F.col("latency_s") < F.col("quantile")).alias("below"), F.count_if(F.col("latency_s") <= F.col("quantile")).alias("upto")
+    )
+    low, high = 0.99 - sketches.RANK_ERROR, 0.99 + sketches.RANK_ERROR
+    return ranked.selectExpr("window_start", "rows", f"CAST(n = rows AND below <= {high}D * n AND upto >= {low}D * n AS INT) AS within_bound")
+
+
 @check(
     "t7_sliding_request_rate",
     f"WITH e AS (SELECT endpoint, sec // 60 * 60 - 60 * k + 1704067200 AS window_start FROM request_log, range(0, 5) t(k)) "

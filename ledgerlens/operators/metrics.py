@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -64,12 +67,14 @@ def ranking_quality(
 def evaluate(
     df: DataFrame, label: str, pred: str, score: str, by=(), policy: SkewPolicy = DEFAULT_POLICY
 ) -> DataFrame:
-    """The full metric row (per group if asked)."""
+    """The full metric row (per group if asked; rows without a group are one)."""
     by = list(by)
     rates = classification_rates(confusion_counts(df, label, pred, by))
     ranks = ranking_quality(df, label, score, by, policy)
     if by:
-        return rates.join(ranks, by)
+        named = ranks.withColumnsRenamed({c: f"__{c}" for c in by})
+        same = reduce(and_, (rates[c].eqNullSafe(named[f"__{c}"]) for c in by))
+        return rates.join(named, same).drop(*[f"__{c}" for c in by])
     one = F.lit(1)
     return rates.withColumn("__one", one).join(ranks.withColumn("__one", one), "__one").drop("__one")
 

@@ -162,7 +162,9 @@ def _blocked(df, key, order, lagged, filled, index, history, rows, policy) -> Da
                 key, "__block", *[f"last(__end_{n}, true) OVER ({earlier}) AS __carry_{n}" for n in filled]
             )
         )
-        out = out.join(broadcast_if_small(carry, policy, carry.count()), [key, "__block"], "left")
+        carry = carry.withColumnsRenamed({key: "__k", "__block": "__b"})
+        same = out[key].eqNullSafe(F.col("__k")) & (out["__block"] == F.col("__b"))
+        out = out.join(broadcast_if_small(carry, policy, carry.count()), same, "left").drop("__k", "__b")
         out = add(out, {n: f"coalesce(__in_{n}, __carry_{n})" for n in filled})
     if index:
         out = add(out, {index: "__pos - 1"})
@@ -184,7 +186,7 @@ def ordered_features(
 
     `lagged` expressions are SQL text with `{w}` where the window goes and may look back
     `history` rows at most; given as a list, later stages may read earlier ones. `filled` columns take the last known value so far (they may read
-    `lagged` outputs); `index` numbers rows from 0.
+    `lagged` outputs); `index` numbers rows from 0. Rows without a key are a group like any other, and are split like one when they are many.
     """
     lagged = [lagged] if isinstance(lagged, dict) else lagged or []
     filled = filled or {}
@@ -192,12 +194,10 @@ def ordered_features(
     if hot is None:
         return _windowed(df, [key], order, lagged, filled, index)
     table, n, rows = hot
-    table = broadcast_if_small(table.select(key), policy, n)
-    cold = _windowed(df.join(table, key, "left_anti"), [key], order, lagged, filled, index)
-    heavy = _blocked(
-        df.join(table, key, "left_semi").select(*df.schema.names),
-        key, order, lagged, filled, index, history, rows, policy,
-    )
+    table = broadcast_if_small(table.select(F.col(key).alias("__hot")), policy, n)
+    is_hot = df[key].eqNullSafe(F.col("__hot"))
+    cold = _windowed(df.join(table, is_hot, "left_anti"), [key], order, lagged, filled, index)
+    heavy = _blocked(df.join(table, is_hot, "left_semi"), key, order, lagged, filled, index, history, rows, policy)
     return cold.unionByName(heavy)
 
 
