@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_chunks
+from .common import lowest_hashes, text_chunks
 
 UNKNOWN = "und"
 BUCKETS = 1 << 15
@@ -83,13 +83,18 @@ def train_language_model(
 ) -> LanguageModel:
     """Fits on a bounded sample, in one task: at most `max_docs` labelled documents of at most `max_chars` characters, chosen by a hash of the text.
 
+    The bound counts distinct texts: copies stand for one (of several languages the first). Hashes are drawn first, then only their texts are read.
+
     A fifth of the sample is held back: on it the softmax temperature is fitted, and the rejection threshold is set so that
     `kept_share` of its rightly named documents pass (one half at most). Without labelled rows the model knows no language.
     """
     rows = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull() & (F.length(text) <= max_chars))
     if usable is not None:
         rows = rows.filter(usable)
-    sample = rows.select(F.col(text).alias("t"), F.col(lang).alias("l"), F.xxhash64(text).alias("h")).orderBy("h", "t", "l").limit(max_docs).select("t", "l")
+    rows = rows.select(F.col(text).alias("t"), F.col(lang).alias("l"), F.xxhash64(text).alias("h"))
+    drawn = lowest_hashes(rows.select("h", "l"), max_docs, F.min("l").alias("l"))
+    # max_docs small rows; of copies every task hands on one text
+    sample = rows.select("t", "h").join(F.broadcast(drawn), "h").groupBy("h").agg(F.min("t").alias("t"), F.min("l").alias("l")).select("t", "l")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [b for b in batches if b.num_rows]

@@ -34,7 +34,7 @@ def op2_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
 def op3_language_identification(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     model = language.train_language_model(docs, fold(3) != 1)
-    held = docs.select("doc_id", "text", (fold(3) == 1).alias("held_out"))
+    held = docs.select("doc_id", "text", F.coalesce(fold(3) == 1, F.lit(False)).alias("held_out"))
     return language.identify(held, model).select("doc_id", "held_out", "lang_pred", "score", "rejected")
 
 
@@ -64,7 +64,7 @@ def op8_bpe_encoding(spark: SparkSession, folder: str) -> DataFrame:
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     model = toxicity.train_toxicity(docs.filter(fold(4) != 2), table(spark, folder, "labels"))
-    held = docs.select("doc_id", "text", (fold(4) == 2).alias("held_out"))
+    held = docs.select("doc_id", "text", F.coalesce(fold(4) == 2, F.lit(False)).alias("held_out"))
     return toxicity.score_toxicity(held, model)
 
 

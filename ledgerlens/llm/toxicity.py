@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.session import materialise
 
-from .common import mix, shingle_sets, text_chunks, word_hashes
+from .common import lowest_hashes, mix, shingle_sets, text_chunks, word_hashes
 
 #: Words of the grammar in English, German, French and Spanish.
 TARGETS = frozenset("you your yours yourself u he she they them him her his their du dich dir dein sie ihr euch tu te toi vous votre tú ti usted ustedes vosotros su".split())
@@ -140,7 +140,7 @@ def _lexicon_counts(sample: DataFrame) -> DataFrame:
         for batch in batches:
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 words = set(_WORD.findall(text.lower()))
-                lexemes = {w for w in words if len(w) <= 40} | {w[:k] + "*" for w in words for k in range(SHORTEST, min(LONGEST, len(w)) + 1)}
+                lexemes = words | {w[:k] + "*" for w in words for k in range(SHORTEST, min(LONGEST, len(w)) + 1)}
                 yield pa.RecordBatch.from_arrays([pa.array(list(lexemes), pa.string()), pa.array([toxic] * len(lexemes), pa.int32())], names=["lexeme", "toxic"])
 
     return sample.select("text", "toxic").mapInArrow(run, "lexeme string, toxic int").groupBy("lexeme").agg(F.sum("toxic").alias("toxic"), F.count("*").alias("all"))
@@ -150,7 +150,9 @@ def train_toxicity(
     docs: DataFrame, labels: DataFrame, max_docs: int = 12_000, max_chars: int = 20_000, max_lexemes: int = 4000,
     id: str = "doc_id", text: str = "text", label: str = "toxic",
 ) -> ToxicityModel:
-    """Fits on a bounded sample of labelled documents: at most `max_docs` of at most `max_chars` characters, chosen by a hash of the text.
+    """Fits on a bounded sample of labelled documents: at most `max_docs` distinct texts of at most `max_chars` characters, chosen by a hash of the text.
+
+    Labels and hashes meet on ids alone; only the drawn texts are read after that, by a broadcast of at most `max_docs` ids. Copies with different labels count as not toxic.
 
     Of near-copies one is kept, so words that only a group of copies shares are no evidence. A lexeme (a word, or a stem of 3 to 8
     letters) enters the lexicon if toxic documents hold it so much more often than others that its log-likelihood gain beats the log of
@@ -158,9 +160,10 @@ def train_toxicity(
     Without labelled rows every score is one half; without toxic or without other rows it is their share.
     """
     known = labels.filter(F.col(label).isNotNull() & F.col(id).isNotNull()).groupBy(F.col(id).alias("__id")).agg(F.max(label).cast("int").alias("toxic"))
-    texts = docs.select(F.col(id).alias("__id"), F.coalesce(text, F.lit("")).alias("text")).filter(F.length("text") <= max_chars)
-    drawn = texts.join(known, "__id").withColumn("h", F.xxhash64("text")).orderBy("h", "__id").limit(max_docs).select("text", "toxic")
-    marked = _marked(drawn)
+    texts = docs.select(F.col(id).alias("__id"), F.coalesce(text, F.lit("")).alias("text")).filter(F.length("text") <= max_chars).withColumn("h", F.xxhash64("text"))
+    drawn = lowest_hashes(texts.select("__id", "h").join(known, "__id"), max_docs, F.min("__id").alias("__id"), F.min("toxic").alias("toxic"))
+    read = texts.join(F.broadcast(drawn), ["__id", "h"]).groupBy("h").agg(F.min("text").alias("text"), F.min("toxic").alias("toxic"))
+    marked = _marked(materialise(read.select("text", "toxic")))
     for m in ("m1", "m2"):
         marked = marked.groupBy(m).agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text", "toxic", *[c for c in ("m1", "m2") if c != m])).alias("s")).select("s.*", m)
     sample = materialise(marked.select("text", "toxic"))

@@ -32,3 +32,26 @@ def test_odd_rows(odd, nothing, documents):
 def test_no_labels(odd):
     model = language.train_language_model(odd.withColumn("lang", F.lit(None).cast("string")))
     assert {r["lang_pred"] for r in language.identify(odd, model).collect()} == {"und"}
+
+
+def test_copies_do_not_fill_the_sample(spark, documents):
+    """A text copied thousands of times is one of the drawn texts, so the model still knows every language."""
+    copy = documents.orderBy(F.xxhash64("text")).limit(1).crossJoin(spark.range(3000)).select(*documents.columns)
+    model = language.train_language_model(documents.unionByName(copy), max_docs=120)
+    assert set(model.languages) == {r["lang"] for r in documents.select("lang").distinct().collect()}
+
+
+def test_least_hashes(spark):
+    rows = spark.range(5000).select(F.xxhash64("id").alias("h"), "id")
+    both = rows.unionByName(rows.where("id % 3 = 0"))
+    got = language.lowest_hashes(both, 700, F.count("*").alias("n"), F.min("id").alias("id")).collect()
+    want = sorted(rows.collect())[:700]
+    assert sorted((r["h"], r["id"]) for r in got) == [tuple(r) for r in want] and {r["n"] for r in got} == {1, 2}
+    assert len(language.lowest_hashes(rows.limit(9), 700, F.min("id").alias("id")).collect()) == 9
+
+
+def test_rows_without_id_are_not_held_out(spark, documents, tmp_path):
+    some = documents.withColumn("doc_id", F.when(F.col("doc_id") % 7 > 0, F.col("doc_id")))
+    some.write.parquet(str(tmp_path / "documents.parquet"))
+    out = op3_language_identification(spark, str(tmp_path)).where("doc_id IS NULL")
+    assert {r["held_out"] for r in out.collect()} == {False}

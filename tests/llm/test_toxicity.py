@@ -32,3 +32,11 @@ def test_labels_of_held_out_rows_do_not_matter(spark, odd, nothing, documents):
     assert toxicity.score_toxicity(nothing, model).count() == 0
     empty = toxicity.train_toxicity(odd, labels.limit(0))
     assert {r["score"] for r in toxicity.score_toxicity(odd, empty).select(F.round("score", 6).alias("score")).collect()} == {0.5}
+
+
+def test_rows_without_id_are_not_held_out(spark, tmp_path):
+    some = spark.read.parquet(f"{BIG}/documents.parquet").limit(500).withColumn("doc_id", F.when(F.col("doc_id") % 7 > 0, F.col("doc_id")))
+    some.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.read.parquet(f"{BIG}/labels.parquet").write.parquet(str(tmp_path / "labels.parquet"))
+    out = op9_toxicity(spark, str(tmp_path)).where("doc_id IS NULL")
+    assert {r["held_out"] for r in out.collect()} == {False}
