@@ -134,10 +134,11 @@ def _propagated(links: DataFrame, hubs: DataFrame, total: int, shards: int, capa
             pieces.groupBy("hub").agg(F.first("members").alias("members"), F.first("bytes").alias("bytes"), ranked.alias("ranked"))
             .select("hub", "members", "bytes", F.when(F.size(best) > 0, best).otherwise(drawn).alias("votes"))
         )
-        # an item goes where its hubs have the largest share beside itself, and stays where it is on a tie
-        ballots = _with_hubs(seen, materialise(votes), total).select("item", "size", "shard", "hub", "bytes", F.inline("votes"))
+        # an item goes where most of its hubs want to be, then where they have the largest share beside itself, and stays on a tie; without
+        # the first rule the items of a pair would change places for ever
+        ballots = _with_hubs(seen, materialise(votes), total).select("item", "size", "shard", "hub", "bytes", F.posexplode("votes").alias("rank", "v")).select("*", "v.*")
         others = F.col("here") - F.when(F.col("vote") == F.col("shard"), F.col("size")).otherwise(0)
-        weight = F.round(F.sum(F.greatest(others / F.col("bytes"), F.lit(1e-6))), 9)
+        weight = F.round(F.sum((F.col("rank") == 0).cast("int") + F.greatest(others / F.col("bytes"), F.lit(1e-6))), 9)
         counted = ballots.groupBy("item", "size", "shard", "vote").agg(weight.alias("n"), F.min(_hash("hub", F.lit(k))).alias("order"))
         choice = F.max(F.struct("n", (F.col("vote") == F.col("shard")).alias("stay"), (-F.col("order")).alias("order"), "vote")).alias("c")
         movers = materialise(
