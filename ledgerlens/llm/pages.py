@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,15 +30,23 @@ _ENDED = {
     **dict.fromkeys(("thead", "tbody", "tfoot"), "td th tr thead tbody tfoot caption colgroup"), **dict.fromkeys(_ENDS_P.split(), "p"),
 }
 ENDED = {name: frozenset(ended.split()) for name, ended in _ENDED.items()}
-OUTSIDE = frozenset("nav header footer aside form menu dialog".split())
+OUTSIDE = frozenset("nav header footer aside menu dialog".split())
 INSIDE = frozenset("article main".split())
-NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|banner|sponsor(?:ed)?|promo|nav|navbar|navigation|menu|breadcrumbs?|footer|header|masthead|sidebar|side|widget|related|"
-    r"comments?|replies|respond|disqus|cookies?|consent|notice|popup|modal|overlay|newsletter|subscribe|signup|social|share|sharing|tags|pagination|pager|login|search)(?:$|[\s_-])",
-    re.I,
+#: Class names of parts around the text; those of readers' parts; what may stand beside such a name in a hyphenated one (`site-footer`, but not
+#: `has-sidebar` or `no-comments`); class names of elements that hold the text.
+READERS = frozenset("comment comments reply replies respond disqus".split())
+FURNITURE = READERS | frozenset(
+    "ad ads advert adverts advertisement banner sponsor sponsored promo nav navbar navigation menu breadcrumb breadcrumbs footer header masthead sidebar side widget "
+    "related cookie cookies consent notice popup modal overlay newsletter subscribe signup social share sharing tags pagination pager login search".split()
 )
+BESIDE = frozenset(
+    "site main top bottom left right primary secondary global page post posts entry article articles story stories blog list box bar area block wrap wrapper container inner "
+    "outer section item items panel link links form button buttons icon icons text title body content row slot unit group 1 2 3 4".split()
+)
+HOLDS_TEXT = re.compile(r"(?:^|[\s_-])(?:content|article|entry|post|story|page|layout|hentry)(?:$|\s)", re.I)
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu".split())
-FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "outside", "inside", "main_on_page", "heading")
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "place", "heading")
 
 
 @dataclass
@@ -52,9 +61,34 @@ class Block:
     heading: bool
 
 
-def _names(attributes: str) -> tuple[bool, bool]:
-    """Whether the attributes mark a part outside the text, and whether they hide it."""
-    off, hidden = False, False
+@dataclass
+class Mark:
+    """An element that its class, id or form marks as no text: its blocks, and whether it is a readers' part, stands in an article, is named as holding text, has a heading."""
+
+    first: int
+    readers: bool
+    inside: bool
+    named: bool
+    last: int = -1
+    heading: bool = False
+
+
+def _kind(value: str) -> str:
+    """`readers` or `around` if a whole class name, or all parts of a hyphenated one, say so; else empty."""
+    found = ""
+    for name in value.lower().split():
+        parts = [p for p in re.split("[_-]+", name) if p]
+        known = FURNITURE.intersection(parts)
+        if known and all(p in FURNITURE or p in BESIDE for p in parts):
+            if READERS & known:
+                return "readers"
+            found = "around"
+    return found
+
+
+def _names(attributes: str) -> tuple[str, bool, bool, bool]:
+    """The kind of part that class and id name, whether the role marks a part outside the text, whether it is hidden, whether it is named as holding text."""
+    kind, off, hidden, named = "", False, False, False
     for name, value in _ATTRIBUTE.findall(attributes):
         value = value.strip("\"'")
         name = name.lower()
@@ -62,17 +96,54 @@ def _names(attributes: str) -> tuple[bool, bool]:
             hidden = True
         elif name == "role":
             off = off or value.lower() in ROLES
-        elif name in ("class", "id") and NAMES.search(value):
-            off = True
-    return off, hidden
+        elif name in ("class", "id"):
+            found = _kind(value)
+            kind = found if found == "readers" else kind or found
+            named = named or bool(HOLDS_TEXT.search(value))
+    return kind, off, hidden, named
+
+
+def _settle(out: list[Block], marks: list[Mark], articles: list[tuple[int, int]]) -> None:
+    """Set `outside` below the marks that hold. Names mislead on wrappers: a mark falls if the page's longest article stands below it, or most of the page's
+    prose with a heading, with three blocks or under a name for text. Readers' parts fall only if they hold every article, and their words do not count."""
+    change = np.zeros(len(out) + 1, int)
+
+    def hold(found: list[Mark]) -> np.ndarray:
+        for m in found:
+            change[m.first] += 1
+            change[m.last] -= 1
+        return np.cumsum(change) > 0
+
+    plain = np.array([b.words - b.linked for b in out] + [0])
+    full = np.concatenate([[0], np.cumsum(plain)])
+    articles = [(a, b) for a, b in articles if full[b] > full[a]]
+    every = lambda m: bool(articles) and not m.inside and m.first <= articles[0][0] and articles[-1][1] <= m.last
+    said = hold([m for m in marks if m.readers and not every(m)])
+    prose = np.concatenate([[0], np.cumsum(np.where(said, 0, plain))])
+    longest = max(articles, key=lambda r: prose[r[1]] - prose[r[0]], default=None)
+
+    def misleads(m: Mark) -> bool:
+        most = 2 * (prose[m.last] - prose[m.first]) > prose[-1] and (m.heading or m.named or m.last - m.first >= 3)
+        return bool(most) or longest is not None and not m.inside and m.first <= longest[0] and longest[1] <= m.last
+
+    off = hold([m for m in marks if not m.readers and not misleads(m)])
+    for block, below in zip(out, off):
+        block.outside = block.outside or bool(below)
 
 
 def blocks(page: str) -> list[Block]:
-    """Flat blocks in page order. Unclosed elements end with the element around them; stray end tags are ignored."""
+    """Flat blocks in page order. Unclosed elements end with the element around them; stray end tags are ignored. Work is linear in the page at any nesting."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []  # name, outside, hidden
+    marks: list[Mark] = []
+    articles: list[tuple[int, int]] = []
+    stack: list[tuple] = []  # name, outside, hidden, inside, mark
+    blocked: list[int] = []  # where block elements stand in the stack
+    near: list[dict] = [{}]  # open inline elements since each block element, by name
+    opened: dict = {}  # open elements by name
+    heads: list[int] = []
+    seen: list[int] = []  # blocks that first headings begin
     parts: list[tuple[str, bool]] = []
-    at = links = off = hidden = main = heading = 0
+    at = links = off = hidden = main = heading = began = 0
 
     def flush() -> None:
         if parts:
@@ -83,18 +154,50 @@ def blocks(page: str) -> list[Block]:
                 out.append(Block(text, words, min(linked, words), off > 0, main > 0, heading > 0))
             parts.clear()
 
-    def close(entry: tuple[str, bool, bool]) -> None:
+    def push(entry: tuple) -> None:
+        nonlocal links, off, hidden, main, heading, began
+        name, was_off, was_hidden, inside, _ = entry
+        if name == "head":
+            heads.append(len(stack))
+        if name in INLINE:
+            near[-1][name] = near[-1].get(name, 0) + 1
+        else:
+            blocked.append(len(stack))
+            near.append({})
+        opened[name] = opened.get(name, 0) + 1
+        stack.append(entry)
+        if inside and not main:
+            began = len(out)
+        links += name == "a"
+        main += inside
+        heading += name in HEADINGS
+        off += was_off
+        hidden += was_hidden
+
+    def close() -> None:
         nonlocal links, off, hidden, main, heading
-        name, was_off, was_hidden = entry
+        name, was_off, was_hidden, inside, mark = stack.pop()
+        if name == "head":
+            heads.pop()
+        if name in INLINE:
+            near[-1][name] -= 1
+        else:
+            blocked.pop()
+            near.pop()
+        opened[name] -= 1
         links -= name == "a"
-        main -= name in INSIDE
-        heading -= bool(re.fullmatch("h[1-6]", name))
+        main -= inside
+        heading -= name in HEADINGS
         off -= was_off
         hidden -= was_hidden
+        if mark is not None:
+            mark.last = len(out)
+        if inside and not main and not off:
+            articles.append((began, len(out)))
 
     def cut(depth: int) -> None:
         while len(stack) > depth:
-            close(stack.pop())
+            close()
 
     while at < len(page):
         tag = _TAG.search(page, at)
@@ -109,11 +212,9 @@ def blocks(page: str) -> list[Block]:
         name = (tag[2] or "").lower()
         if not name:
             continue
-        if not tag[1]:
+        if not tag[1] and heads and name not in IN_HEAD and (name == "body" or heads[0] == len(stack) - 1):
             # what may not stand in a head ends it; a body does so from any depth
-            k = next((k for k in range(len(stack)) if stack[k][0] == "head"), None)
-            if k is not None and name not in IN_HEAD and (name == "body" or k == len(stack) - 1):
-                cut(k)
+            cut(heads[0])
         if name in RAW:
             if not tag[1] and not tag[3].rstrip().endswith("/"):
                 # raw content: nothing inside it is a tag
@@ -127,32 +228,33 @@ def blocks(page: str) -> list[Block]:
         if name in VOID:
             continue
         if tag[1]:
-            depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
             # an inline end tag never ends a block element
-            if depth is not None and (name not in INLINE or all(e[0] in INLINE for e in stack[depth:])):
-                cut(depth)
+            if near[-1].get(name) if name in INLINE else opened.get(name):
+                while stack[-1][0] != name:
+                    close()
+                close()
         else:
-            while name in ENDED and stack:
-                # with the inline elements left open in them
-                k = len(stack) - 1
-                while k >= 0 and stack[k][0] in INLINE:
-                    k -= 1
-                if k < 0 or stack[k][0] not in ENDED[name]:
-                    break
-                cut(k)
+            while name in ENDED and blocked and stack[blocked[-1]][0] in ENDED[name]:
+                cut(blocked[-1])  # with the inline elements left open in it
             if not tag[3].rstrip().endswith("/"):
-                was_off, was_hidden = _names(tag[3]) if tag[3] else (False, False)
-                was_off = was_off and name not in ("html", "body", "article", "main") or name in OUTSIDE
-                was_hidden = was_hidden or name in SILENT
+                kind, was_off, was_hidden, named = _names(tag[3]) if tag[3] else ("", False, False, False)
+                if name in ("html", "body", "main") or name == "article" and kind != "readers":
+                    kind, was_off = "", False
+                was_off = was_off or name in OUTSIDE
                 if name == "header" and main > 0:
-                    was_off = False  # a heading part of the article itself
-                stack.append((name, was_off, was_hidden))
-                links += name == "a"
-                main += name in INSIDE
-                heading += bool(re.fullmatch("h[1-6]", name))
-                off += was_off
-                hidden += was_hidden
+                    kind, was_off = "", False  # a heading part of the article itself
+                mark = Mark(len(out), kind == "readers", main > 0, named) if kind or name == "form" else None
+                if mark:
+                    marks.append(mark)
+                if name in ("h1", "h2"):
+                    seen.append(len(out))
+                push((name, was_off, was_hidden or name in SILENT, name in INSIDE and not kind, mark))
     flush()
+    cut(0)
+    for m in marks:
+        k = bisect_left(seen, m.first)
+        m.heading = k < len(seen) and seen[k] < m.last
+    _settle(out, marks, articles)
     return out
 
 
@@ -161,13 +263,14 @@ def features(page: list[Block]) -> np.ndarray:
     n = len(page)
     words = np.array([0] + [b.words for b in page] + [0], float)
     dense = np.array([0.0] + [b.linked / b.words for b in page] + [0.0])
-    flags = np.array([[b.outside, b.inside, False, b.heading] for b in page], float).reshape(n, 4)
-    flags[:, 2] = any(b.inside and not b.outside for b in page)
+    # in a part outside the text, beside an article, on a page without one, in an article
+    beside = 0 if any(b.inside and not b.outside for b in page) else 1
+    flags = np.array([[-1 if b.outside else 2 if b.inside else beside, b.heading] for b in page], float).reshape(n, 2)
     return np.column_stack([words[1:-1], dense[1:-1], words[:-2], dense[:-2], words[2:], dense[2:], flags])
 
 
 #: The labelled table: blocks as they stand on pages (words, words in links, outside?, inside article?, heading?) and whether they are main text.
-#: One line a page: articles with short and long paragraphs, pages without article element, a link list, a discussion, a short note.
+#: One line a page: articles with short and long paragraphs, pages without article element, a link list, a discussion, a short note. `prose_pages` adds more.
 LABELLED = (
     ((5, 5, 1, 0, 0, 0), (14, 0, 1, 0, 0, 0), (11, 0, 0, 1, 1, 1), (2, 0, 0, 1, 0, 1), (500, 0, 0, 1, 0, 1), (1, 0, 0, 1, 0, 1), (900, 12, 0, 1, 0, 1), (3, 0, 0, 1, 0, 1), (300, 0, 0, 1, 0, 1), (15, 0, 0, 1, 0, 1), (10, 0, 1, 0, 0, 0)),
     ((400, 0, 0, 1, 0, 1), (4, 0, 0, 1, 0, 1), (280, 3, 0, 1, 0, 1), (90, 80, 1, 1, 0, 0), (150, 0, 1, 1, 0, 0), (6, 0, 0, 1, 0, 1), (60, 0, 1, 0, 0, 0), (320, 20, 1, 0, 0, 0), (45, 0, 1, 0, 0, 0)),
@@ -186,34 +289,54 @@ LABELLED = (
 )
 
 
+def prose_pages() -> Iterator[tuple]:
+    """More labelled pages by a rule: prose of 12 to 300 words of which 0 to 35 % are links, with and without an article element, between short paragraphs,
+    headings, link lists and notes. Prose is main text whatever its length and links; outside an article that stands on the page nothing is."""
+    nav = [(k, k, 0, 0, 0, 0) for k in (1, 2, 4)]
+    for words in (12, 20, 30, 40, 60, 80, 120, 200, 300):
+        for turn, share in enumerate((0.0, 0.05, 0.1, 0.2, 0.35)):
+            size = lambda f: (max(8, int(words * f)), int(max(8, int(words * f)) * share))
+            note = 3 + (words + 5 * turn) % 9
+            foot = [(3, 3, 0, 0, 0, 0), (2, 2, 0, 0, 0, 0), (note, note % 2, 0, 0, 0, 0)] if turn % 2 else [(5, 5, 0, 0, 0, 0), (note, 0, 1, 0, 0, 0)]
+            foot = [] if turn > 2 else foot
+            for inside in (0, 1):
+                text = [(2 + note, 0, 0, inside, 1, 1), (*size(1), 0, inside, 0, 1), (2, 0, 0, inside, 0, 1), (*size(1.5), 0, inside, 0, 1)]
+                text += [(1 + turn, 0, 0, inside, 1, 1), (*size(0.8), 0, inside, 0, 1), (*size(1.2), 0, inside, 0, 1), (note, turn % 2, 0, inside, 0, 1), (*size(0.7), 0, inside, 0, 1)]
+                if inside:
+                    text += [(3, 3, 0, 1, 0, 1), (*size(0.5), 1, 1, 0, 0)]
+                near = [(*size(0.7), 1, 0, 0, 0)] + ([(*size(0.9), 0, 0, 0, 0)] if inside else [])
+                yield (*nav, *near, *text, *foot)
+
+
 def labelled_table() -> tuple[np.ndarray, np.ndarray]:
     rows, labels = [], []
-    for page in LABELLED:
+    for page in (*LABELLED, *prose_pages()):
         rows.append(features([Block("", w, linked, bool(o), bool(i), bool(h)) for w, linked, o, i, h, _ in page]))
         labels += [b[5] for b in page]
     return np.vstack(rows), np.array(labels)
 
 
-def train_tree(x: np.ndarray, y: np.ndarray, depth: int = 6) -> tuple:
-    """Decision tree by Gini impurity: (feature, cut, left, right), or the label's share at a leaf."""
+def train_tree(x: np.ndarray, y: np.ndarray, depth: int = 8, least: int = 5) -> tuple:
+    """Decision tree by Gini impurity: (feature, cut, left, right), or the label's share at a leaf of at least `least` rows."""
     share = float(y.mean())
     if depth == 0 or share in (0.0, 1.0):
         return (share,)
-    best = (2 * share * (1 - share) * len(y) - 1e-9, None)
+    best, chosen = 2 * share * (1 - share) * len(y) - 1e-9, None
     for f in range(x.shape[1]):
-        values = np.unique(x[:, f])
-        for cut in (values[:-1] + values[1:]) / 2:
-            left = y[x[:, f] <= cut]
-            right = y[x[:, f] > cut]
-            p, q = left.mean(), right.mean()
-            cost = 2 * p * (1 - p) * len(left) + 2 * q * (1 - q) * len(right)
-            if cost < best[0] - 1e-12:
-                best = (cost, (f, float(cut)))
-    if best[1] is None:
+        order = np.argsort(x[:, f], kind="stable")
+        v, ones = x[order, f], np.cumsum(y[order])
+        n = np.arange(1, len(y))
+        p, q = ones[:-1] / n, (ones[-1] - ones[:-1]) / (len(y) - n)
+        cost = 2 * p * (1 - p) * n + 2 * q * (1 - q) * (len(y) - n)
+        cost[(v[1:] == v[:-1]) | (n < least) | (len(y) - n < least)] = np.inf
+        k = int(np.argmin(cost))
+        if cost[k] < best - 1e-12:
+            best, chosen = cost[k], (f, float((v[k] + v[k + 1]) / 2))
+    if chosen is None:
         return (share,)
-    f, cut = best[1]
+    f, cut = chosen
     low = x[:, f] <= cut
-    return f, cut, train_tree(x[low], y[low], depth - 1), train_tree(x[~low], y[~low], depth - 1)
+    return f, cut, train_tree(x[low], y[low], depth - 1, least), train_tree(x[~low], y[~low], depth - 1, least)
 
 
 def is_main(tree: tuple, row: np.ndarray) -> bool:

@@ -2,6 +2,10 @@
 
 import html
 import re
+import time
+
+import numpy as np
+import pytest
 
 from ledgerlens.llm import pages
 from ledgerlens.llm.queries import op2_html_extraction
@@ -65,3 +69,60 @@ def test_options_without_end_tag():
 def test_other_end_tags_left_out():
     assert [(b.text, b.outside) for b in pages.blocks("<p class=ad>Buy<div>Text</div><table><tr><td class=ad>Buy<tr><td>Cell</table>")] == [("Buy", True), ("Text", False), ("Buy", True), ("Cell", False)]
     assert texts("<dl><dt hidden>no<dd>yes</dl><table><thead hidden><tr><th>no<tbody><tr><td>yes</table>") == ["yes", "yes"]
+
+
+def paragraph(words, linked):
+    return "<p>" + " ".join(f"<a href=x>w{i}</a>" if i < linked else f"w{i}" for i in range(words)) + "</p>"
+
+
+@pytest.mark.parametrize("around", ["article", "main", "div"])
+def test_linked_prose_stays_at_any_length(around):
+    for words in (20, 35, 49, 52, 60, 80, 120, 200):
+        for share in (0, 3, 5, 8, 12, 20, 30):
+            page = f"<body><nav><a href=1>A</a></nav><ul><li><a href=2>B</a></ul><{around}><h1>Title</h1>{paragraph(words, words * share // 100) * 3}</{around}><footer>f</footer>"
+            assert len(pages.main_text(page, TREE).split("\n\n")) == 4, (words, share)
+
+
+WRAPPERS = ["has-sidebar", "site-content sidebar-right", "content no-comments", "layout with-ads", "col side-by-side", "post-notice", "page search", "entry-content share"]
+
+
+@pytest.mark.parametrize("name", WRAPPERS)
+@pytest.mark.parametrize("around", ["article", "main", "div"])
+def test_a_wrappers_class_does_not_empty_the_page(name, around):
+    page = f"<body><nav><a href=1>A</a></nav><div class='{name}'><{around}><h1>Title</h1>{paragraph(60, 4) * 2}</{around}></div><footer>f</footer>"
+    assert len(pages.main_text(page, TREE).split("\n\n")) == 3
+
+
+@pytest.mark.parametrize("name", ["sidebar", "sidebar-right", "site-footer", "cookie-notice", "post-notice", "comments", "comment-list", "related-posts", "social share", "ad"])
+def test_parts_named_by_class_go(name):
+    long = paragraph(40, 1)
+    for page in (f"<article><h1>T</h1>{long}<div class='{name}'>{paragraph(30, 0)}</div>{long}</article>", f"<div class='{name}'>{paragraph(30, 0) * 2}</div><div><h1>T</h1>{long * 3}</div>"):
+        assert "w29\n" not in pages.main_text(page, TREE) and pages.main_text(page, TREE).startswith("T\n\n")
+
+
+def test_long_discussions_and_comments_as_articles_go():
+    article = f"<article><h1>T</h1>{paragraph(30, 1) * 2}</article>"
+    comments = "<section class=comments>" + f"<article>{paragraph(80, 0)}</article>" * 20 + "</section>"
+    single = f"<article class=comment>{paragraph(300, 0)}</article>" * 3
+    for page in (article + comments, f"<main>{article}{comments}</main>", article + single, f"<form class=layout>{article}</form>{comments}"):
+        assert len(pages.main_text(page, TREE).split("\n\n")) == 3
+
+
+@pytest.mark.parametrize("part", ["<div>", "<b>", "<p><i>", "<b><div>", "<div class=share>", "<div class=comments><article>"])
+def test_deep_nesting_takes_linear_time(part):
+    for page in (part * 100_000 + "text " * 20, part * 50_000 + "text " * 20 + "</b></div></i></p>" * 50_000):
+        began = time.process_time()
+        assert len(pages.blocks(page)) == 1
+        assert time.process_time() - began < 5
+
+
+def test_tree_leaves_hold_five_rows():
+    x, y = pages.labelled_table()
+
+    def least(tree, rows):
+        if len(tree) == 1:
+            return len(rows)
+        low = x[rows, tree[0]] <= tree[1]
+        return min(least(tree[2], rows[low]), least(tree[3], rows[~low]))
+
+    assert least(TREE, np.arange(len(y))) >= 5
