@@ -47,7 +47,7 @@ def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
 
 
 def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return lines.drop_repeated_lines(table(spark, folder, "documents").select("doc_id", "text")).select(
+    return lines.drop_repeated_lines(table(spark, folder, "documents").select("doc_id", "text"), factors=lines.FACTORS).select(
         "doc_id", "n_lines", "n_removed_lines", "n_removed_chunks", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
     )
 

@@ -1,5 +1,6 @@
 """Repeated multi-line chunks: SQL, removal, shift resistance."""
 
+import hashlib
 import random
 
 import duckdb
@@ -88,3 +89,49 @@ def test_pipeline_drops_a_two_line_copy(spark):
 
     frame = spark.createDataFrame([(n, "first line\nsecond line", 22) for n in range(3)], "doc_id long, text string, n_chars long")
     assert [r["doc_id"] for r in corpus_pipeline.fresh_lines(spark, frame, SF).collect()] == [0]
+
+
+def value(line):
+    return int(hashlib.md5(line.encode()).hexdigest()[:8], 16)
+
+
+def chunks_of(text):
+    """Chunks of a text, by the stated rule alone."""
+    out, chunk, before = [], [], 0
+    for line in text.split("\n"):
+        chunk.append(line)
+        if (5 * value(line) + 7 * before) % 3 == 0:
+            out.append(chunk)
+            chunk = []
+        before = value(line)
+    return out + [chunk] * bool(chunk)
+
+
+def test_first_lines_and_two_line_copies_can_go(spark):
+    """Whole copies of two and more lines: each multi-line chunk of a copy goes, the one that line 1 begins too."""
+    rnd = random.Random(3)
+    texts = ["\n".join(f"line {rnd.random()}" for _ in range(rnd.choice([2, 2, 2, 3, 6]))) for _ in range(60)]
+    docs = [(n, texts[n % 60]) for n in range(120)]
+    out = {r["doc_id"]: r for r in lines.drop_repeated_lines(spark.createDataFrame(docs, "doc_id long, text string"), factors=lines.FACTORS).collect()}
+    for n, text in docs:
+        kept = [c for c in chunks_of(text) if n < 60 or len(c) == 1]
+        assert out[n]["text"] == "\n".join("\n".join(c) for c in kept)
+    pairs = [out[n]["text"] for n, t in docs[60:] if t.count("\n") == 1]
+    firsts = [n for n, t in docs[60:] if len(chunks_of(t)[0]) > 1]
+    assert pairs.count("") > len(pairs) / 2 and all(not out[n]["text"].startswith(docs[n][1].split("\n")[0]) for n in firsts) and len(firsts) > 20
+
+
+def test_both_lines_decide_on_a_boundary():
+    f, g = lines.FACTORS
+    ends = {(a, b): (f * a + g * b) % lines.DIVISOR == 0 for a in range(3) for b in range(3)}
+    assert len({ends[a, 0] for a in range(3)}) == 2 and len({ends[1, b] for b in range(3)}) == 2
+
+
+def test_sql_and_query_agree_on_nulls_and_empty_texts(spark):
+    rows = [(1, None), (2, ""), (3, "a\nb\nc\nd"), (4, "a\nb\nc\nd"), (5, "x\na\nb\nc\nd\n"), (6, "\n\n"), (7, "\n\n")]
+    names = ["doc_id", "n_lines", "n_removed_lines", "n_removed_chunks", "kept_sha256"]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    got = lines.drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string"), factors=lines.FACTORS).selectExpr(*names[:-1], "sha2(coalesce(text, ''), 256) AS kept_sha256").collect()
+    assert {tuple(r) for r in got} == set(con.execute(f"SELECT {', '.join(names)} FROM ({lines.ORACLE})").fetchall())
