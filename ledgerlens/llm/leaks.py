@@ -144,8 +144,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, share: float = 0.8, min_words:
 
     A document holds an item if some stretch of it is at most (1 - share) of the item's words edits away (word edits, lower case, without
     ASCII punctuation). The search is exact: an item that may have k edits is cut into k + 1 pieces, one of which must stand in the passage
-    unedited. Items below `min_words` words say nothing about a source and are not searched; null texts hold
-    nothing and are no items; rows without id are searched and come with a null id. The benchmark is the stated query set: it is read in
+    unedited; items below five words stand unedited as a whole. Items below `min_words` words, and those without words, are not searched (the query and the
+    pipeline search from one word up). Null texts hold nothing and are no items; rows without id are searched and come with a null id. The benchmark is the stated query set: it is read in
     blocks of at most BLOCK_WORDS words, each sent to the executors and searched against all documents.
     """
     if not 0 < share <= 1:
@@ -172,7 +172,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, share: float = 0.8, min_words:
 
     for row in benchmark.select(F.col("item_id").cast("long"), "text").filter("text IS NOT NULL").toLocalIterator():
         for _, symbols, _ in _symbols(pa.array([row[1]], pa.large_string())):
-            if len(symbols) >= min_words:
+            if len(symbols) >= max(1, min_words):
                 block.append((row[0], symbols))
                 size += len(symbols)
         if size >= BLOCK_WORDS:

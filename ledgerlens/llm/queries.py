@@ -43,7 +43,7 @@ def op4_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
-    return leaks.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return leaks.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"), min_words=1)
 
 
 def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:

@@ -91,3 +91,14 @@ def test_a_short_item_at_the_end_of_a_document(spark):
     docs = [(1, item), (2, "before it " + item), (3, item + " behind it"), (4, "one two six four five"), (5, "one two six seven five")]
     frames = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(7, item)], "item_id long, text string")
     assert {(r["doc_id"], r["distance"]) for r in leaks.leaks(*frames).collect()} == {(1, 0), (2, 0), (3, 0), (4, 1)}
+
+
+def test_items_of_one_to_four_words(spark):
+    rnd = random.Random(11)
+    pool = [f"w{i}" for i in range(40)]
+    items = [(n, " ".join(rnd.choices(pool, k=1 + n % 4))) for n in range(40)] + [(90, "..."), (91, " ")]
+    docs = [(n, " ".join(rnd.choices(pool, k=rnd.randrange(0, 30)))) for n in range(200)]
+    frames = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    want = {(d, i, 0, len(t.split())) for d, text in docs for i, t in items if i < 90 and f" {t} " in f" {text} "}
+    assert len(want) > 200 and {tuple(r) for r in leaks.leaks(*frames, min_words=1).collect()} == want
+    assert {r["item_id"] % 4 for r in leaks.leaks(*frames, min_words=3).collect()} <= {2, 3}
