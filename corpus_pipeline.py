@@ -36,7 +36,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    return leaks.without_leaks(docs, table(spark, sf_dir, "benchmark")).select(*docs.columns)
+    return leaks.without_leaks(docs, table(spark, sf_dir, "benchmark"), min_words=1).select(*docs.columns)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
