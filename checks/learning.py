@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgerlens.config import DEFAULT
 from ledgerlens.operators import split
 from ledgerlens.operators.metrics import evaluate
+from ledgerlens.operators.skew import SkewPolicy
 from ledgerlens.plans import boosting as B2
 from ledgerlens.plans import features as G
 from ledgerlens.plans import model as M
@@ -86,6 +87,21 @@ def ordinal_codes_many(s, d):
     return P.encode(df, P.fit_dictionaries(df, ["k"]), ["k"], -999.0, -1.0)
 
 
+@check(
+    "m4_ordinal_codes_many_dictionaries",
+    "SELECT " + ", ".join([ID, *(R(f"CAST(CASE WHEN {c} IS NULL THEN -999 ELSE dense_rank() OVER (ORDER BY {c} NULLS LAST) - 1 END AS DOUBLE)", c) for c in "abc")])
+    + f" FROM (SELECT {ID}, concat('u', card1 * 100 + {ID} % 100) AS a, concat('t', {ID} // 3) AS b, CASE WHEN {ID} % 7 > 0 THEN concat(card1, '_', coalesce(ProductCD, '-')) END AS c FROM txn)",
+)
+def ordinal_codes_long(s, d):
+    """Dictionaries treated as beyond the broadcast limit: one long exchange for all of them."""
+    df = txn(s, d).selectExpr(
+        ID, f"concat('u', card1 * 100 + {ID} % 100) AS a", f"concat('t', {ID} DIV 3) AS b",
+        f"CASE WHEN {ID} % 7 > 0 THEN concat(card1, '_', coalesce(ProductCD, '-')) END AS c",
+    )
+    fitted = P.fit_dictionaries(df, ["a", "b", "c"])
+    return P.encode(df, fitted, ["a", "b", "c"], -999.0, -1.0, SkewPolicy(broadcast_bytes=0, hot_rows=1000))
+
+
 V = ["V1", "V2", "V3", "V12", "V13", "V138"]
 
 
@@ -122,6 +138,32 @@ def principal_components(s, d):
     return out.select(ID, *[F.col("a")[i].alias(f"pca{i}") for i in range(kept)])
 
 
+def _spectral():
+    """The covariance of the standardised columns entry by entry, then what must hold for the components."""
+    filled = ", ".join(f"{_mean(c)} AS {c}" for c in V)
+    entries = " UNION ALL ".join(
+        f"SELECT 'covariance' AS part, {B(i, 'a')}, {B(j, 'b')}, {R(f'corr({x}, {y})', 'value')} FROM f" for i, x in enumerate(V) for j, y in enumerate(V)
+    )
+    unit = " UNION ALL ".join(f"SELECT 'product', {B(i, 'a')}, {B(j, 'b')}, CAST({int(i == j)} AS DOUBLE)" for i in range(len(V)) for j in range(len(V)))
+    held = " UNION ALL ".join(f"SELECT '{name}', CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(1 AS DOUBLE)" for name in ("share_reached", "one_less_is_too_few", "residual_small"))
+    return f"WITH f AS (SELECT {filled} FROM txn) {entries} UNION ALL {unit} UNION ALL {held}"
+
+
+@check("m7_components_checked", _spectral())
+def components_checked(s, d):
+    """Put together again from variances and directions, the components give the covariance that SQL computes; their products are those of unit vectors."""
+    df = txn(s, d)
+    fitted, kept = P.fit_components(df, V, DEFAULT.pca_variance)
+    shares, w = fitted.stages[-2].explainedVariance.toArray(), fitted.stages[-2].pc.toArray()
+    again, unit = (w * shares * len(V)) @ w.T, w.T @ w
+    rows = [(part, i, j, float(m[i, j])) for part, m in (("covariance", again), ("product", unit)) for i in range(len(V)) for j in range(len(V))]
+    held = {
+        "share_reached": shares[:kept].sum() >= DEFAULT.pca_variance, "one_less_is_too_few": shares[: kept - 1].sum() < DEFAULT.pca_variance,
+        "residual_small": P.components_residual(df, fitted, V) < 1e-6,
+    }
+    return s.createDataFrame(rows + [(k, 0, 0, float(v)) for k, v in held.items()], "part string, a long, b long, value double")
+
+
 _CACHE: dict = {}
 
 

@@ -6,8 +6,10 @@ import json
 import math
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import PCA, ElementwiseProduct, Imputer, StandardScaler, VectorAssembler, VectorSlicer
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +17,7 @@ from pyspark.sql import types as T
 
 from ..config import DEFAULT, FeatureConfig
 from ..functions.sqltext import add, lit, map_of
+from ..operators.joins import unique_ids
 from ..operators.ordered import dense_position
 from ..operators.skew import DEFAULT_POLICY, SkewPolicy, lookup, skewed_lookup
 from ..operators.stats import profile_table
@@ -75,7 +78,11 @@ def encode(
     df: DataFrame, fitted: Dictionaries, cols: list[str], missing: float, unknown: float,
     policy: SkewPolicy = DEFAULT_POLICY, spread: str = "TransactionID",
 ) -> DataFrame:
-    """Replace text by its code; missing and unseen values get their own codes."""
+    """Replace text by its code; missing and unseen values get their own codes.
+
+    Dictionaries of counted size are broadcast. Several larger ones are looked up in one long exchange of (id, column, value) and folded back
+    once, where ids are known to be unique; else each is a join of its own.
+    """
     here = set(df.schema.names)
     constant, joined = {}, []
     for c in cols:
@@ -88,7 +95,14 @@ def encode(
             joined.append(c)
             constant[c] = text
     df = add(df, constant)
+    large = [c for c in joined if fitted.sizes[c] * policy.row_bytes > policy.broadcast_bytes]
+    if len(large) > 1 and spread in here and unique_ids(df, spread, policy):
+        df = _encode_long(df, fitted, large, spread, policy)
+    else:
+        large = []
     for c in joined:
+        if c in large:
+            continue
         table = fitted.table.where(F.col("name") == c).selectExpr(f"value AS `{c}`", f"code AS `__c_{c}`", "n AS __n")
         if fitted.sizes[c] * policy.row_bytes <= policy.broadcast_bytes or spread not in here:
             df = lookup(df, table.drop("__n"), c, policy, fitted.sizes[c])
@@ -100,6 +114,19 @@ def encode(
     return add(df, final, drop=[f"__c_{c}" for c in joined])
 
 
+def _encode_long(df: DataFrame, fitted: Dictionaries, cols: list[str], id_col: str, policy: SkewPolicy) -> DataFrame:
+    """Adds `__c_<column>` for many dictionaries: the wide rows are exchanged once, whatever the number of columns.
+
+    Only ids and values travel to the dictionaries; frequent values are looked up apart (`skewed_lookup`). Ids must be present and unique.
+    """
+    pairs = ", ".join(f"struct({lit(c)} AS name, `{c}` AS value)" for c in cols)
+    long = df.selectExpr(f"`{id_col}`", f"inline(filter(array({pairs}), p -> p.value IS NOT NULL))")
+    table = fitted.table.where(F.col("name").isin(cols)).selectExpr("name", "value", "code AS __code", "n AS __n")
+    coded = skewed_lookup(long, table, ["name", "value"], "__n", sum(fitted.totals.get(c, 0) for c in cols), id_col, policy)
+    folded = coded.groupBy(id_col).agg(*[F.max(F.when(F.col("name") == c, F.col("__code"))).alias(f"__c_{c}") for c in cols])
+    return df.join(folded, id_col, "left")
+
+
 # ---- principal components --------------------------------------------------------------------
 
 def fit_components(df: DataFrame, cols: list[str], variance: float) -> tuple[PipelineModel, int]:
@@ -127,6 +154,18 @@ def fit_components(df: DataFrame, cols: list[str], variance: float) -> tuple[Pip
     return PipelineModel(stages=[*model.stages, slicer]), kept
 
 
+def components_residual(df: DataFrame, fitted: PipelineModel, cols: list[str]) -> float:
+    """How far the components are from eigenvectors: largest entry of C w - v w over all of them, with C the covariance of the standardised columns
+    and v the variance of the component's scores. C w is the covariance of the columns with the scores, one aggregate over all rows."""
+    prepared = fitted.transform(add(df, {c: f"CAST(`{c}` AS DOUBLE)" for c in cols}))
+    both = prepared.select(vector_to_array("__v_pop").alias("x"), vector_to_array("__v_all").alias("w"))
+    p = len(cols)
+    terms = [F.expr(f"covar_pop(x[{i}], w[{k}])") for i in range(p) for k in range(p)] + [F.expr(f"var_pop(w[{k}])") for k in range(p)]
+    found = np.array([v if v is not None else 0.0 for part in range(0, len(terms), 1000) for v in both.agg(*terms[part : part + 1000]).first()])
+    crossed, variances = found[: p * p].reshape(p, p), found[p * p :]
+    return float(np.abs(crossed - fitted.stages[-2].pc.toArray() * variances).max())
+
+
 # ---- all of it -------------------------------------------------------------------------------
 
 @dataclass(frozen=True)

@@ -1,3 +1,4 @@
+import re
 from dataclasses import replace
 
 import pytest
@@ -47,6 +48,47 @@ def test_codes_beyond_the_broadcast_limit(txn):
     assert small.exceptAll(large).count() == 0 and small.count() == large.count() == txn.count()
 
 
+WIDE = SkewPolicy(small_bytes=0, broadcast_bytes=0, hot_rows=50)
+
+
+def wide_exchanges(df, column):
+    """Exchanges of the plan that carry the column."""
+    plan = df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    return len(re.findall(rf"\(\d+\) Exchange\nInput \[\d+\]: \[[^\]]*\b{column}#", plan))
+
+
+def test_many_dictionaries_exchange_the_wide_rows_once(txn):
+    cols = ["card_id", "P_emaildomain", "DeviceInfo", "payload_key"]
+    df = with_card_id(txn).selectExpr("TransactionID", "card_id", "P_emaildomain", "concat('d', card1) AS DeviceInfo", "IF(TransactionID % 5 = 0, NULL, concat('k', TransactionID)) AS payload_key", "TransactionAmt AS payload")
+    fitted = replace(P.fit_dictionaries(df.where("TransactionID % 3 > 0"), cols), inline={})
+    small = P.encode(df, fitted, cols, -999.0, -1.0)
+    large = P.encode(df, fitted, cols, -999.0, -1.0, replace(WIDE, unique_ids=True))
+    assert small.exceptAll(large).count() == 0 and small.count() == large.count() == txn.count()
+    spark = txn.sparkSession
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if no table could be broadcast
+    try:
+        plans = {unique: P.encode(df, fitted, cols, -999.0, -1.0, replace(WIDE, hot_rows=10**9, unique_ids=unique)) for unique in (True, False)}
+        assert wide_exchanges(plans[True], "payload") == 1 and wide_exchanges(plans[False], "payload") >= len(cols)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_repeated_ids_are_encoded_too(spark):
+    df = spark.createDataFrame([(1, "a", "x"), (1, "b", None), (None, "c", "y"), (None, "a", "z")], "TransactionID long, j string, k string")
+    fitted = replace(P.fit_dictionaries(df, ["j", "k"]), inline={})
+    got = P.encode(df, fitted, ["j", "k"], -999.0, -1.0, WIDE).collect()
+    assert sorted((r["j"], r["k"]) for r in got) == [(0.0, 0.0), (0.0, 2.0), (1.0, -999.0), (2.0, 1.0)]
+
+
+def test_components_are_eigenvectors(txn):
+    cols = ["V1", "V2", "V3", "V12", "V13", "V138"]
+    fitted, _ = P.fit_components(txn, cols, 0.96)
+    assert P.components_residual(txn, fitted, cols) < 1e-6
+    shifted = txn.withColumn("V1", F.col("V1") + F.col("V2"))
+    assert P.components_residual(shifted, fitted, cols) > 1e-3
+
+
 def test_columns_without_values_are_left_out(spark):
     df = spark.createDataFrame([(1.0, None), (None, None)], "a double, b double")
     assert P.known_columns(df, ["a", "b"]) == ["a"]
