@@ -17,17 +17,23 @@ def merge_identity(
     tx: DataFrame, ident: DataFrame, key: str = "TransactionID",
     policy: SkewPolicy = DEFAULT_POLICY, check_unique: bool = True,
 ) -> DataFrame:
-    """Every transaction with its identity row, if any, and no row twice."""
-    if check_unique:
-        repeated = ident.groupBy(key).count().where("count > 1").limit(1)
-        if not repeated.isEmpty():
-            raise DuplicateKeyError(f"{key} repeats on the identity side")
-    return lookup(tx, ident, key, policy)
+    """Every transaction with its identity row, if any, and no row twice.
 
+    The check also counts the identity rows, which decide on a broadcast. Callers that know the keys to be unique leave it out with
+    `check_unique=False`; the join is then planned by Spark from what it measures at run time.
+    """
+    if not check_unique:
+        return tx.join(ident, key, "left")
+    found = ident.groupBy(key).count().agg(F.max("count").alias("most"), F.sum("count").alias("rows")).first()
+    if (found["most"] or 0) > 1:
+        raise DuplicateKeyError(f"{key} repeats on the identity side")
+    # the assumed bytes of a row are those of six columns
+    return lookup(tx, ident, key, policy, (found["rows"] or 0) * (1 + len(ident.columns) // 6))
 
-def match_report(tx: DataFrame, ident: DataFrame, key: str = "TransactionID", policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
+
+def match_report(tx: DataFrame, ident: DataFrame, key: str = "TransactionID") -> DataFrame:
     """Rows, matched rows and match rate of the identity join."""
-    marked = lookup(tx.select(key), ident.select(key).distinct().withColumn("__hit", F.lit(1)), key, policy)
+    marked = tx.select(key).join(ident.select(key).distinct().withColumn("__hit", F.lit(1)), key, "left")
     hit = F.coalesce("__hit", F.lit(0))
     return marked.agg(
         F.count(F.lit(1)).alias("rows_total"), F.sum(hit).alias("rows_matched"), F.avg(hit).alias("match_rate")

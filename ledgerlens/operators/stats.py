@@ -191,10 +191,18 @@ def group_lookup(
     grouped = df.dropna(subset=keys).groupBy(*keys)
     columns = [c.alias(n) for n, c in aggs.items()]
     table = materialise(grouped.agg(*columns, F.count(F.lit(1)).alias("__n")))
-    size = table.agg(F.count(F.lit(1)).alias("keys"), F.sum("__n").alias("rows")).first()
+    return counted_lookup(df, table, keys, "__n", policy, spread).drop("__n")
+
+
+def counted_lookup(
+    df: DataFrame, table: DataFrame, keys: list[str], weight: str, policy: SkewPolicy = DEFAULT_POLICY, spread: str = "TransactionID"
+) -> DataFrame:
+    """Left join with a stored table of groups whose `weight` counts the rows of each. Its keys are counted: up to the broadcast limit it is
+    broadcast, beyond it frequent keys are looked up apart (`skewed_lookup`)."""
+    size = table.agg(F.count(F.lit(1)).alias("keys"), F.sum(weight).alias("rows")).first()
     if size["keys"] * policy.row_bytes <= policy.broadcast_bytes or spread not in df.schema.names:
-        return lookup(df, table.drop("__n"), keys, policy, size["keys"])
-    return skewed_lookup(df, table, keys, "__n", size["rows"], spread, policy).drop("__n")
+        return lookup(df, table, keys, policy, size["keys"])
+    return skewed_lookup(df, table, keys, weight, size["rows"], spread, policy)
 
 
 def zscore_by(df: DataFrame, key: str, amount: str, name: str, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:

@@ -19,7 +19,7 @@ from ..functions.sqltext import add
 from ..operators import stats as A
 from ..operators.joins import on_projection, unique_ids
 from ..operators.ordered import ordered_features, recent_count
-from ..operators.skew import DEFAULT_POLICY, SkewPolicy, lookup, spread_small
+from ..operators.skew import DEFAULT_POLICY, SkewPolicy, spread_small
 from ..session import materialise
 
 
@@ -429,7 +429,7 @@ class FittedFeatures:
     profiles: A.Profiles
     rates: A.TargetRates | None
     repeats: DataFrame | None = None  # (card_id, amount, amt_repeat_count)
-    scores: DataFrame | None = None   # (user_id, __m, __s)
+    scores: DataFrame | None = None   # (user_id, __m, __s, __n)
 
 
 def _profile_keys(cfg: FeatureConfig) -> list[str]:
@@ -458,7 +458,7 @@ def fit_features(df: DataFrame, cfg: FeatureConfig = DEFAULT, fold: Column | Non
     repeats = narrow.dropna(subset=["card_id", amt]).groupBy("card_id", amt).agg(F.count(F.lit(1)).alias("amt_repeat_count"))
     scores = None
     if "user_id" in df.schema.names:
-        scores = materialise(df.dropna(subset=["user_id"]).groupBy("user_id").agg(F.avg(amt).alias("__m"), F.stddev_samp(amt).alias("__s")))
+        scores = materialise(df.dropna(subset=["user_id"]).groupBy("user_id").agg(F.avg(amt).alias("__m"), F.stddev_samp(amt).alias("__s"), F.count(F.lit(1)).alias("__n")))
     return FittedFeatures(profiles, rates, materialise(repeats), scores)
 
 
@@ -478,13 +478,13 @@ def _key_features(
     if fitted.repeats is None:
         df = A.group_lookup(df, ["card_id", amt], {"amt_repeat_count": F.count(F.lit(1))}, policy)
     else:
-        df = lookup(df.drop("amt_repeat_count"), fitted.repeats, ["card_id", amt], policy)
+        df = A.counted_lookup(df.drop("amt_repeat_count"), fitted.repeats, ["card_id", amt], "amt_repeat_count", policy, cfg.id_col)
     if "user_id" in df.schema.names:
         if fitted.scores is None:
             df = A.zscore_by(df, "user_id", amt, "amount_zscore", policy)
         else:
-            df = lookup(df.drop("__m", "__s"), fitted.scores, "user_id", policy)
-            df = add(df, {"amount_zscore": S.ratio(f"({amt} - __m)", "__s", 1.0)}, drop=("__m", "__s"))
+            df = A.counted_lookup(df.drop("__m", "__s", "__n"), fitted.scores, ["user_id"], "__n", policy, cfg.id_col)
+            df = add(df, {"amount_zscore": S.ratio(f"({amt} - __m)", "__s", 1.0)}, drop=("__m", "__s", "__n"))
     df = uid_features(email_scalars(_card_columns(df, cfg), cfg), cfg)
     if fitted.rates is None:
         df = add(df, {"P_domain_fraud_rate": "0D"})

@@ -6,7 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlens.operators import eda, metrics
+from ledgerlens.operators import eda, joins, metrics
 from ledgerlens.operators.ordered import dense_position, running_totals
 from ledgerlens.operators.skew import SkewPolicy, hot_keys, input_bytes
 from ledgerlens.plans import features as G
@@ -110,3 +110,23 @@ def test_nothing_is_broadcast_beyond_the_limit(skewed):
     plan = G.A.group_lookup(df, ["card_id"], {"n": F.count(F.lit(1))}, tiny)._jdf.queryExecution().optimizedPlan().toString()
     assert "strategy=broadcast" not in plan
     assert input_bytes(skewed) > 0
+
+
+def test_fitted_repeats_and_scores_beyond_the_broadcast_limit(txn):
+    df = txn.selectExpr("*", "card1 % 7 AS user_id")
+    fitted = G.fit_features(df)
+    columns = ["TransactionID", "amt_repeat_count", "amount_zscore"]
+    plain = G.feature_chain(df, fitted=fitted).select(*columns)
+    spread = G.feature_chain(df, fitted=fitted, policy=SkewPolicy(broadcast_bytes=0, hot_rows=20)).select(*columns)
+    assert plain.exceptAll(spread).count() == 0 and plain.count() == spread.count() == txn.count()
+    assert "__salt" in spread._jdf.queryExecution().optimizedPlan().toString()
+    assert plain.where("amt_repeat_count IS NULL OR amount_zscore IS NULL").count() == 0
+
+
+def test_identity_join_counts_and_refuses_repeats(txn):
+    ident = txn.where("TransactionID % 4 = 0").selectExpr("TransactionID", "concat('d', card1) AS DeviceInfo")
+    known, counted = (joins.merge_identity(txn, ident, check_unique=c) for c in (False, True))
+    assert known.exceptAll(counted).count() == 0 and counted.count() == txn.count()
+    assert joins.merge_identity(txn, ident.limit(0)).where("DeviceInfo IS NOT NULL").count() == 0
+    with pytest.raises(joins.DuplicateKeyError):
+        joins.merge_identity(txn, ident.union(ident))
