@@ -9,6 +9,7 @@ from ledgerlens.operators import eda, joins, metrics, setops, sketches, stats
 from ledgerlens.operators.skew import DEFAULT_POLICY, spread_small
 from ledgerlens.plans import features as G
 from ledgerlens.session import scratch_path
+from ledgerlens.sources import layout, sinks
 
 from .base import AMT, CARDED, WITH_UIDS, B, R, check, ident, predictions, raw, requests, txn
 from .ordered import RISK, carded, with_uids
@@ -370,6 +371,29 @@ def identity_join(s, d):
     return raw(s, d).select(ID, AMT, "card1", "id_01", "id_12", "id_31", "DeviceType")
 
 
+def _stored_pair(s, d, partition_by=()):
+    """Transactions and identity rows, stored in as many buckets by their id."""
+    left, right = txn(s, d), ident(s, d)
+    buckets = max(4, layout.bucket_count(left, right))
+    left = sinks.with_day(left) if partition_by else left
+    return layout.store_bucketed(left, ID, buckets, partition_by=partition_by), layout.store_bucketed(right, ID, buckets)
+
+
+@check("j1_bucketed_identity_join", f"WITH {RAW} SELECT {ID}, {R(AMT, AMT)}, card1, {R('id_01', 'id_01')}, id_12, id_31, DeviceType FROM r", BOTH)
+def bucketed_identity_join(s, d):
+    return layout.join_bucketed(s, *_stored_pair(s, d)).select(ID, AMT, "card1", "id_01", "id_12", "id_31", "DeviceType")
+
+
+@check(
+    "j1_bucketed_days",
+    f"WITH {RAW} SELECT CAST({DT} // 86400 AS BIGINT) AS day, DeviceType, count(*) AS rows, {R(f'sum({AMT})', 'amount')} FROM r WHERE {DT} // 86400 >= 10 GROUP BY 1, 2",
+    BOTH,
+)
+def bucketed_days(s, d):
+    joined = layout.join_bucketed(s, *_stored_pair(s, d, ["day"]), where="day >= 10")
+    return joined.groupBy("day", "DeviceType").agg(F.count(F.lit(1)).alias("rows"), F.sum(AMT).alias("amount"))
+
+
 @check(
     "j2_match_rate",
     f"SELECT count(*) AS rows_total, {B('count(i.TransactionID)', 'rows_matched')}, {R('count(i.TransactionID) / CAST(count(*) AS DOUBLE)', 'match_rate')} FROM txn t LEFT JOIN ident i USING (TransactionID)",
