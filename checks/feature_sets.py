@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ledgerlens.operators import joins
 from ledgerlens.operators.setops import stack_rows
 from ledgerlens.plans import features as G
+from ledgerlens.sources.event_views import load_view
 
 from .base import AMT, CARDED, CARD_TEXTS, DT, EMAIL, UIDS, WITH_UIDS, B, R, check, flag, host_parts, ident, raw, txn
 from .grouped import (
     AMT_COLS, BOTH, FREQ_COLS, ID_SQL, NORM, NORM_COLS, NORM_OUT, OOF, RAW, REPEAT, UID_COLS, UID_OUT,
     UID_RAW, V_OUT, V_SQL, amount_stats_sql, freq, uid_rows, uid_stats_sql,
+    WIDE_ID_SQL, WIDE_V_SQL,
 )
 from .ordered import GAP, MEDIAN, PREV, VELOCITY, since, uid_window, with_uids
 from .scalars import BIN_SQL, CARD_KEYS_SQL, DEVICE, HOUR, ID_FLAGS_SQL, MISSING, PRESENCE, SCREEN, SCREEN_INNER, STATUS, TOD
@@ -130,6 +133,25 @@ def identity(s, d):
     return G.id_features(ident(s, d)).select(ID, *names(G9))
 
 
+# flags of missing values are 0, a status without a number is -1
+WIDE_G9 = [*WIDE_ID_SQL, *ID_FLAGS_SQL, STATUS]
+
+
+@check("g9_id_features_every_column", f"SELECT {ID}, {', '.join(WIDE_G9)} FROM ident_wide", ("ident_wide",))
+def every_identity_column(s, d):
+    return G.id_features(load_view(s, d, "ident_wide")).select(ID, *names(WIDE_G9))
+
+
+@check(
+    "g7_v_features_of_identified_rows",
+    f"SELECT {ID}, {', '.join(WIDE_V_SQL)}, {', '.join(WIDE_G9)} FROM (SELECT v.*, i.* EXCLUDE ({ID}) FROM txn_wide v LEFT JOIN ident_wide i USING ({ID}))",
+    ("txn_wide", "ident_wide"),
+)
+def wide_sets_together(s, d):
+    both = joins.merge_identity(load_view(s, d, "txn_wide"), load_view(s, d, "ident_wide"))
+    return G.id_features(G.v_features(both)).select(ID, *names(WIDE_V_SQL), *names(WIDE_G9))
+
+
 @check("g10_uid_features", f"SELECT {ID}, " + ", ".join(f"{sql} AS {n}" for n, sql in UIDS.items()) + " FROM txn")
 def uids(s, d):
     return with_uids(s, d).select(ID, *UIDS)

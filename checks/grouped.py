@@ -10,8 +10,9 @@ from ledgerlens.operators.skew import DEFAULT_POLICY, spread_small
 from ledgerlens.plans import features as G
 from ledgerlens.session import scratch_path
 from ledgerlens.sources import layout, sinks
+from ledgerlens.sources.event_views import load_view
 
-from .base import AMT, CARDED, WITH_UIDS, B, R, check, ident, predictions, raw, requests, txn
+from .base import AMT, CARDED, DT, WITH_UIDS, B, R, check, ident, predictions, raw, requests, txn
 from .ordered import RISK, carded, with_uids
 
 ID = "TransactionID"
@@ -215,6 +216,26 @@ def row_statistics_id(s, d):
     return G.id_features(ident(s, d)).select(ID, *ID_OUT)
 
 
+WIDE_V = [f"V{i}" for i in range(1, 340)]
+WIDE_V_SQL = [
+    *[c for block, cols in DEFAULT.v_blocks.items() for c in block_sql(block, cols)], *block_sql("V", WIDE_V, "sum_all", "mean_all", "std_all", "nan_count_all"),
+    R("(" + " + ".join(f"CASE WHEN {c} IS NULL THEN 1 ELSE 0 END" for c in WIDE_V) + ") / CAST(339 AS DOUBLE)", "V_nan_ratio"),
+]
+
+
+@check("a10_row_statistics_every_v", f"SELECT {ID}, {', '.join(WIDE_V_SQL)} FROM txn_wide", ("txn_wide",))
+def row_statistics_every_v(s, d):
+    return G.v_features(load_view(s, d, "txn_wide")).select(ID, *[c.rsplit(" AS ", 1)[1] for c in WIDE_V_SQL])
+
+
+WIDE_ID_SQL = block_sql("id_num", [f"id_{i:02d}" for i in range(1, 12)])[1:]
+
+
+@check("a11_row_statistics_every_id", f"SELECT {ID}, {', '.join(WIDE_ID_SQL)} FROM ident_wide", ("ident_wide",))
+def row_statistics_every_id(s, d):
+    return G.id_features(load_view(s, d, "ident_wide")).select(ID, *ID_OUT)
+
+
 @check("a12_class_balance", f"SELECT isFraud, count(*) AS rows FROM txn GROUP BY isFraud")
 def class_balance(s, d):
     return eda.class_balance(txn(s, d))

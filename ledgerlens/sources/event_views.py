@@ -87,7 +87,31 @@ FROM (SELECT *, CASE WHEN event_type = 'error' AND event_id % 6 = 0
             ELSE CAST(0.7 AS DOUBLE) * CAST(event_id * 7919 % 1009 AS DOUBLE) / CAST(1009 AS DOUBLE) END AS score
       FROM events) e"""
 
-VIEWS = {"txn": _TXN, "ident": _IDENT, "request_log": _REQUEST_LOG, "prediction_log": _PREDICTION_LOG}
+
+def _wide(prefix: str, first: int, last: int, pad: int, whole: bool) -> str:
+    """Numeric columns with different values, signs and shares of nulls; a row in 31 has none of them."""
+    out = []
+    for i in range(first, last + 1):
+        value = f"(event_id * {2 * i + 1} + user_id) % {5 + i % 13} - {i % 4}"
+        value = f"CAST({value} AS DOUBLE)" if whole or i % 5 else f"CAST({value} AS DOUBLE) / CAST(8 AS DOUBLE)"
+        out.append(f"CASE WHEN event_id % 31 = 0 OR (event_id + {i}) % {3 + i % 7} = 0 THEN NULL ELSE {value} END AS {prefix}{i:0{pad}d}")
+    return ",\n       ".join(out)
+
+
+# every numeric column of both tables, which the narrow views hold a few of
+_TXN_WIDE = f"SELECT 3000000 + event_id AS TransactionID,\n       {_wide('V', 1, 339, 1, False)}\nFROM events"
+_IDENT_WIDE = f"""SELECT 3000000 + event_id AS TransactionID,
+       {_wide('id_', 1, 11, 2, False)},
+       CASE event_id % 4 WHEN 0 THEN NULL WHEN 1 THEN 'Found' ELSE 'NotFound' END AS id_12,
+       CASE event_id % 4 WHEN 0 THEN 'New' WHEN 1 THEN 'Found' WHEN 2 THEN 'Unknown' END AS id_15,
+       CASE event_id % 7 WHEN 0 THEN NULL WHEN 1 THEN 'match_status:2' WHEN 2 THEN 'match_status:' WHEN 3 THEN '1' WHEN 4 THEN 'match_status:0' ELSE 'match_status:-1' END AS id_34,
+       CASE event_id % 3 WHEN 0 THEN 'T' WHEN 1 THEN 'F' END AS id_36
+FROM events"""
+
+VIEWS = {
+    "txn": _TXN, "ident": _IDENT, "request_log": _REQUEST_LOG, "prediction_log": _PREDICTION_LOG,
+    "txn_wide": _TXN_WIDE, "ident_wide": _IDENT_WIDE,
+}
 
 
 def view_sql(name: str, dialect: str) -> str:
