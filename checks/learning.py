@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ledgerlens.config import DEFAULT
@@ -295,6 +296,56 @@ def comparison(s, d):
     })
 
 
+_TEST_ROWS = f"SELECT count(*) AS rows, {B('sum(isFraud)', 'positives')} FROM b JOIN cut USING (isFraud) WHERE b <= cut"
+
+
+@check("m13_forest_probabilities", f"WITH {STRATIFIED} SELECT *, CAST(1 AS BIGINT) AS mean_of_trees, CAST(1 AS BIGINT) AS decided_by_half FROM ({_TEST_ROWS})")
+def forest_probabilities(s, d):
+    """The forest's probability is the mean of its trees' leaf shares, each tree applied by itself to the whole test part."""
+    _, _, train, test = prepared_sets(s, d)
+    model = M.fit_classifier(train, M.random_forest(trees=5, depth=5), positive_weight=M.balanced_weight(train, "isFraud"))
+    scored = M.scored_rows(model, test).select(ID, "isFraud", "prediction_isFraud", "fraud_probability")
+    alone = None
+    for tree in model.trees:
+        one = tree.transform(test).select(ID, vector_to_array("probability")[1].alias("p"))
+        alone = one if alone is None else alone.unionByName(one)
+    both = scored.join(alone.groupBy(ID).agg(F.avg("p").alias("p")), ID, "left")
+    return both.agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("isFraud").alias("positives"),
+        (F.max(F.abs(F.coalesce("p", F.lit(9.0)) - F.col("fraud_probability"))) < 1e-9).cast("bigint").alias("mean_of_trees"),
+        F.min((F.col("prediction_isFraud") == (F.col("fraud_probability") > 0.5).cast("int")).cast("bigint")).alias("decided_by_half"),
+    )
+
+
+@check(
+    "m14_comparison_recomputed",
+    f"WITH {STRATIFIED} SELECT model, t.*, CAST(1 AS BIGINT) AS rates_agree, CAST(1 AS BIGINT) AS auc_agrees FROM ({_TEST_ROWS}) t, (VALUES ('boosted'), ('forest')) m(model)",
+)
+def comparison_recomputed(s, d):
+    """The listed metrics of every configuration against counts over its scored test rows; AUC against mid-ranks of the scores."""
+    _, _, train, test = prepared_sets(s, d)
+    estimators = {"boosted": M.boosted_trees(rounds=ROUNDS, depth=DEPTH), "forest": M.random_forest(trees=5, depth=5)}
+    out = None
+    for name, estimator in estimators.items():
+        rows = M.scored_rows(M.fit_classifier(train, estimator), test).select("isFraud", "prediction_isFraud", "fraud_probability")
+        out = rows.withColumn("model", F.lit(name)) if out is None else out.unionByName(rows.withColumn("model", F.lit(name)))
+    # equal scores are one row, so ranks are summed over distinct scores of a model
+    levels = out.groupBy("model", "fraud_probability").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("isFraud").alias("pos"), F.sum(F.col("isFraud") * F.col("prediction_isFraud")).alias("tp"), F.sum("prediction_isFraud").alias("said"),
+    )
+    below = Window.partitionBy("model").orderBy("fraud_probability")
+    ranked = levels.withColumn("rank", F.sum("n").over(below) - (F.col("n") - 1) / 2)
+    counted = ranked.groupBy("model").agg(*[F.sum(c).alias(c) for c in ("n", "pos", "tp", "said")], F.sum(F.col("pos") * F.col("rank")).alias("ranks")).selectExpr(
+        "model", "n AS rows", "pos AS positives", "coalesce(try_divide(tp, said), 0D) AS p", "coalesce(try_divide(tp, pos), 0D) AS r", "coalesce(try_divide(2 * tp, said + pos), 0D) AS f",
+        "try_divide(ranks - pos * (pos + 1) / 2, pos * (n - pos)) AS auc",
+    )
+    same = "CAST({} AS BIGINT)"
+    return counted.join(M.compare_models(train, test, estimators), "model", "left").selectExpr(
+        "model", "rows", "positives", same.format("abs(p - precision) < 1e-9 AND abs(r - recall) < 1e-9 AND abs(f - f1_score) < 1e-9") + " AS rates_agree",
+        same.format("abs(auc - roc_auc) < 1e-9") + " AS auc_agrees",
+    )
+
+
 @check("m15_metrics_by_split")
 def metrics_by_split(s, d):
     _, _, train, test = prepared_sets(s, d)
