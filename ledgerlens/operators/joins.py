@@ -28,7 +28,10 @@ def merge_identity(
     if (found["most"] or 0) > 1:
         raise DuplicateKeyError(f"{key} repeats on the identity side")
     # the assumed bytes of a row are those of six columns
-    return lookup(tx, ident, key, policy, (found["rows"] or 0) * (1 + len(ident.columns) // 6))
+    rows = (found["rows"] or 0) * (1 + len(ident.columns) // 6)
+    if rows * policy.row_bytes > policy.broadcast_bytes:  # keys are unique: hashed in each task, and the transactions need no sort
+        ident = ident.hint("shuffle_hash")
+    return lookup(tx, ident, key, policy, rows)
 
 
 def match_report(tx: DataFrame, ident: DataFrame, key: str = "TransactionID") -> DataFrame:
