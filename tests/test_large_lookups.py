@@ -1,4 +1,4 @@
-"""Lookups beyond the broadcast limit: same rows, few exchanges, and no sort of the wide side."""
+"""Lookups beyond the broadcast limit: same rows and few exchanges."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -51,20 +51,30 @@ def test_profiles_with_repeated_ids_keep_every_row(keyed):
     assert plain == large and len(large) == 950
 
 
-def test_large_lookups_hash_the_table_and_sort_no_rows(keyed, spark):
-    fitted = stats.fit_profiles(keyed, KEYS, "amount", "D1")
-    codes = P.fit_dictionaries(keyed, KEYS)
+def test_large_identity_side_is_hashed(keyed, spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         both = joins.merge_identity(keyed, keyed.select("TransactionID", F.col("amount").alias("id_01")), policy=LARGE)
-        for df in (stats.attach_profiles(keyed, fitted, WANTED, LARGE), P.encode(keyed, codes, KEYS, -999.0, -1.0, LARGE), both):
-            text = df._jdf.queryExecution().executedPlan().toString()
-            assert "ShuffledHashJoin" in text and "SortMergeJoin" not in text
+        text = both._jdf.queryExecution().executedPlan().toString()
+        assert "ShuffledHashJoin" in text and "SortMergeJoin" not in text
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_codes_of_many_large_dictionaries(keyed):
+    fitted = P.fit_dictionaries(keyed, KEYS)
+    plain, large = (P.encode(keyed, fitted, KEYS, -999.0, -1.0, p) for p in (SkewPolicy(), LARGE))
+    assert frame(plain, "TransactionID").equals(frame(large, "TransactionID"))
+
+
 def test_rows_from_several_tables_are_stored_once(keyed):
     both = keyed.join(keyed.select("TransactionID", F.col("amount").alias("other")), "TransactionID")
     assert read_once(keyed) is keyed
     assert read_once(both).inputFiles() and "Join" not in plan(read_once(both))
+
+
+def test_shares_too_large_to_hash_are_sorted(keyed):
+    tight = SkewPolicy(small_bytes=0, broadcast_bytes=2000, hot_rows=250, hash_bytes=100)
+    both = joins.merge_identity(keyed, keyed.select("TransactionID", F.col("amount").alias("id_01")), policy=tight)
+    assert "shuffle_hash" not in plan(both)
+    assert frame(both, "TransactionID")["id_01"].tolist() == frame(keyed, "TransactionID")["amount"].tolist()
