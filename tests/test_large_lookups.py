@@ -3,9 +3,11 @@
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlens.operators import joins, stats
+from ledgerlens.operators import joins, ordered, stats
 from ledgerlens.operators.skew import SkewPolicy
 from ledgerlens.session import materialise, read_once
+from ledgerlens.plans import features as G
+from ledgerlens.plans import model as M
 from ledgerlens.plans import prepare as P
 from conftest import frame
 
@@ -78,3 +80,52 @@ def test_shares_too_large_to_hash_are_sorted(keyed):
     both = joins.merge_identity(keyed, keyed.select("TransactionID", F.col("amount").alias("id_01")), policy=tight)
     assert "shuffle_hash" not in plan(both)
     assert frame(both, "TransactionID")["id_01"].tolist() == frame(keyed, "TransactionID")["amount"].tolist()
+
+
+def exchanges(df):
+    """Columns of every exchange in the plan."""
+    found, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            todo.append(node.initialPlan())
+            continue
+        if node.nodeName() == "Exchange":
+            found.append(node.output().size())
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return found
+
+
+@pytest.fixture(scope="module")
+def payments(spark):
+    return materialise(spark.range(700).selectExpr(
+        "id AS TransactionID", "id * 40 % 9000 AS TransactionDT", "CAST(id % 83 AS DOUBLE) AS TransactionAmt", "CASE WHEN id % 9 > 0 THEN 'W' END AS ProductCD",
+        "1000 + id % 75 AS card1", "CAST(id % 5 AS DOUBLE) AS card2", "CASE WHEN id % 4 > 0 THEN 'visa' END AS card4", "CAST(id % 3 AS DOUBLE) AS addr1",
+        "CAST(id % 4 AS DOUBLE) AS D1", "CASE WHEN id % 6 > 0 THEN 'gmail.com' END AS P_emaildomain", "'yahoo.com' AS R_emaildomain",
+        "CAST(id % 7 AS DOUBLE) AS V1", "CAST(id * id % 11 AS DOUBLE) AS V2", "CAST(id % 10 = 0 AS INT) AS isFraud",
+    ))
+
+
+def test_rows_are_exchanged_before_they_are_wide(payments):
+    train, test = payments.where("TransactionID % 5 > 0"), payments.where("TransactionID % 5 = 0")
+    plain, large = (M.prepare_sets(train, test, policy=p) for p in (SkewPolicy(), LARGE))
+    named = lambda s: [*s[1].numbers, *s[1].texts]  # the two plans order them differently
+    assert sorted(named(plain)) == sorted(named(large))
+    for k in (2, 3):
+        parts = []
+        for s in (plain, large):
+            f = P.vector_to_array("features")
+            parts.append(frame(s[k].select("TransactionID", *[f[i].alias(c + "_code") for i, c in sorted(enumerate(named(s)), key=lambda x: x[1])]), "TransactionID"))
+        assert parts[0].round(6).equals(parts[1].round(6))
+    rows = G.feature_chain(test, policy=LARGE, fitted=large[0], training=False, history=train)
+    assert len(rows.columns) > 100 and max(exchanges(large[1].transform(rows, LARGE))) < 40
+
+
+def test_velocity_without_hot_keys_needs_no_exchange_of_its_own(payments):
+    cards = G.with_card_id(payments)
+    calm = SkewPolicy(small_bytes=0)
+    once = ordered.ordered_features(cards, "card_id", ["TransactionDT", "TransactionID"], {"before": "lag(TransactionAmt) OVER ({w})"}, policy=calm)
+    counted = ordered.recent_count(once, "card_id", "TransactionDT", 3600, "n", calm, cards)
+    assert len(exchanges(counted)) == len(exchanges(once)) == 1
+    again = ordered.recent_count(cards, "card_id", "TransactionDT", 3600, "n", SkewPolicy(small_bytes=0, hot_rows=5))
+    assert frame(counted.select("TransactionID", "n"), "TransactionID").equals(frame(again.select("TransactionID", "n"), "TransactionID"))
