@@ -129,3 +129,46 @@ def test_velocity_without_hot_keys_needs_no_exchange_of_its_own(payments):
     assert len(exchanges(counted)) == len(exchanges(once)) == 1
     again = ordered.recent_count(cards, "card_id", "TransactionDT", 3600, "n", SkewPolicy(small_bytes=0, hot_rows=5))
     assert frame(counted.select("TransactionID", "n"), "TransactionID").equals(frame(again.select("TransactionID", "n"), "TransactionID"))
+
+
+def with_more_columns(payments):
+    """More than twice the columns that a card's sequence needs; one of them is named like a feature."""
+    return payments.selectExpr("*", *[f"CAST(TransactionID % {k} AS DOUBLE) AS V{k}" for k in range(3, 16)], "2.5D AS prev_amount")
+
+
+def test_only_a_cards_columns_go_to_their_card(payments, monkeypatch):
+    wide = materialise(with_more_columns(payments))
+    train, test = wide.where("TransactionID % 5 > 0"), wide.where("TransactionID % 5 = 0")
+    sent = []
+    monkeypatch.setattr(G, "card_sequence", lambda df, *rest, f=G.card_sequence: sent.append(len(df.columns)) or f(df, *rest))
+    fitted = G.fit_features(train)
+    plain = G.feature_chain(test, fitted=fitted, training=False, history=train)
+    whole = sent.pop()
+    large = G.feature_chain(test, policy=LARGE, fitted=fitted, training=False, history=train)
+    assert sent == [9] and whole > 25  # seven of these cards' columns, card_id, __past
+    assert sorted(plain.columns) == sorted(large.columns) and frame(plain, "TransactionID").round(9).equals(frame(large, "TransactionID").round(9))
+
+
+def test_prepared_sets_order_cards_once(payments, monkeypatch):
+    wide = materialise(with_more_columns(payments))
+    train, test = materialise(wide.where("TransactionID % 5 > 0")), materialise(wide.where("TransactionID % 5 = 0"))
+    ordered_once = []
+    monkeypatch.setattr(G, "card_sequence", lambda df, *rest, f=G.card_sequence: ordered_once.append(1) or f(df, *rest))
+    large = M.prepare_sets(train, test, policy=LARGE)
+    assert len(ordered_once) == 1
+    alike = M.prepare_sets(train, test)
+    assert len(ordered_once) == 3
+    for k in (2, 3):
+        totals = [frame(s[k].select("TransactionID", F.aggregate(P.vector_to_array("features"), F.lit(0.0), lambda a, x: a + F.abs(x)).alias("t")), "TransactionID") for s in (large, alike)]
+        assert totals[0].round(6).equals(totals[1].round(6))
+    # an id on both sides is a given row of each: their sequences are made apart
+    M.prepare_sets(train, test.unionByName(train.limit(1)), policy=LARGE)
+    assert len(ordered_once) == 5
+
+
+def test_split_reads_a_join_once(payments):
+    from ledgerlens.operators.split import stratified_split
+
+    joined = payments.join(payments.select("TransactionID", F.col("V1").alias("id_01")), "TransactionID")
+    for side in stratified_split(joined, "TransactionID", "isFraud"):
+        assert plan(side).count("Join") == 1  # of the cuts alone
