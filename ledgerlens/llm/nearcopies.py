@@ -19,8 +19,10 @@ RATE = 20.0
 TOP = (1 << 16) - 2
 LOSS = 1e-7
 MOST_REGISTERS = 256
-MOST_TURNS = 2
-CROWD = 64
+MOST_SPLITS = 3
+FEW = 4
+DRAWN = 31
+SPREAD = 4096
 
 
 def band_plan(share: float, loss: float = LOSS) -> tuple[int, int]:
@@ -151,30 +153,73 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return wide.mapInArrow(run, "a long, b long")
 
 
-def _rarest(sets: DataFrame, percent: int) -> DataFrame:
-    """(rep, key): the rarest shingles of each set, as many as it can lack of a set at the wanted similarity, and one more.
+def _tag(sets: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """A digest of each set: the sum of its mixed elements."""
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(sets * np.uint64(3)))])
+    return (sums[bounds[1:]] - sums[bounds[:-1]]).view(np.int64)
+
+
+def _centres(groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """(key, centre): the shingles that more than half of a group's members hold, by DRAWN drawn members at most."""
+
+    def run(part: pa.Table) -> pa.Table:
+        held = [np.frombuffer(x.as_buffer(), np.uint64) for x in part.column("hashes")]
+        values, counts = np.unique(np.concatenate(held), return_counts=True)
+        return pa.table({"key": part.column("key").slice(0, 1), "centre": pa.array([values[2 * counts > len(held)].tobytes()], pa.binary())})
+
+    place = F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("rep"), "rep"))
+    drawn = groups.select("key", "rep").withColumn("place", place).filter(F.col("place") <= DRAWN)
+    return drawn.join(sets, "rep").select("key", "hashes").groupBy("key").applyInArrow(run, "key long, centre binary")
 
-    Two sets that are so similar share one of these, if all are ordered alike (by how many of the given sets hold a shingle). So a crowded band of
-    sets that are alike, but not enough, falls into small parts.
-    """
+
+def _differences(members: DataFrame, percent: int) -> DataFrame:
+    """(key, rep, hashes, centre) to key, rep, tag of the set, its distance from the centre (`d`), the elements that one of both holds (`diff`), and the excess
+    `s` = (100 + percent) * d - (100 - percent) * size, so that two sets are linked if 2 * (100 + percent) * shared elements of their differences >= the sum of their excesses."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rep, held in zip(batch.column(0), batch.column(1)):
-                own = np.frombuffer(held.as_buffer(), np.int64)
-                for k in range(0, len(own), 100_000):
-                    part = own[k : k + 100_000]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), rep.as_py())), pa.array(part), pa.array(np.full(len(part), len(own)))], names=["rep", "key", "size"])
-
-    # crowded sets are few and often stand in few files: shared out evenly
-    tasks = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = materialise(sets.select("rep", "hashes").repartition(tasks).mapInArrow(run, "rep long, key long, size long"))
-    common = rows.groupBy("key").agg(F.count("*").alias("held"))
-    place = F.row_number().over(Window.partitionBy("rep").orderBy("held", "key"))
-    return (
-        rows.join(common, "key").withColumn("place", place)
-        .filter(F.col("place") <= F.col("size") - F.ceil(F.col("size") * percent / 100) + 1).select("rep", "key")
+            for k in range(batch.num_rows):
+                own, centre = (np.frombuffer(batch.column(c)[k].as_buffer(), np.uint64) for c in (2, 3))
+                diff = np.setxor1d(own, centre, assume_unique=True)
+                excess = (100 + percent) * len(diff) - (100 - percent) * len(own)
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(0).slice(k, 1), batch.column(1).slice(k, 1), pa.array(_tag(own, np.array([0, len(own)]))), pa.array([len(diff)], pa.int64()),
+                    pa.array([excess], pa.int64()), pa.array([diff.view(np.int64)], pa.list_(pa.int64())),
+                ], names=["key", "rep", "tag", "d", "s", "diff"])
+
+    return members.mapInArrow(run, "key long, rep long, tag long, d long, s long, diff array<long>")
+
+
+def _split(groups: DataFrame, sets: DataFrame, reps: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Links within groups (key, rep), and smaller groups (key, rep, lead): any linked pair that those links do not join stands in one of them, with `lead` in one row at least.
+
+    A group has a centre, any set. Members whose excesses sum to 0 or less are linked whatever they share, so those that are so with the least excess are one core. Every pair with a member outside shares
+    differences from the centre, in number at least the sum of the two excesses over 2 * (100 + percent). So it shares one of as many of the rarest differences as each can lack, and one more; the one with
+    the smaller excess (`lead`) can lack fewer, since the other's is no smaller. Copies of one text differ from their centre in few shingles, mostly each in its own: a large group of them costs rows as its members.
+    """
+    sizes = groups.groupBy("key").agg(F.ceil(F.count("*") / SPREAD).cast("long").alias("parts"))
+    centres = materialise(_centres(groups, sets).join(sizes, "key").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))))
+    members = groups.select("key", "rep").join(sizes, "key").withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts"))).join(sets, "rep")
+    away = _differences(members.join(centres.select("key", "part", "centre"), ["key", "part"]).select("key", "rep", "hashes", "centre"), percent)
+    # an id may stand in several rows: only the texts that stand for their class, once
+    away = materialise(away.join(reps.select("rep", F.col("d1").alias("tag")), ["rep", "tag"], "left_semi").dropDuplicates(["key", "rep", "tag"]))
+    best = materialise(away.groupBy("key").agg(F.min(F.struct("s", "rep")).alias("best")))
+    placed = away.join(best, "key").withColumn("core", F.col("s") + F.col("best.s") <= 0)
+    links = placed.filter("core AND rep <> best.rep").select(F.col("best.rep").alias("a"), F.col("rep").alias("b")).distinct()
+    outside = placed.filter("NOT core").groupBy("key").agg(F.min("s").alias("next"))
+    # places that an element shared with a set of this excess or more can take at the latest
+    last = lambda other: F.col("d") - F.greatest(F.lit(1), F.ceil((F.col("s") + other) / (2 * (100 + percent)))).cast("long") + 1
+    rows = materialise(
+        placed.join(outside, "key").withColumn("lead", last(F.when(F.col("core"), F.col("next")).otherwise(F.greatest("s", "best.s"))))
+        .withColumn("last", F.when(F.col("core"), F.col("lead")).otherwise(last(F.col("best.s")))).filter("last > 0")
+        .select("key", "rep", "tag", "core", "d", "lead", "last", F.explode("diff").alias("element"))
     )
+    # elements that can make no pair come first, then the rarest
+    useful = rows.groupBy("key", "element").agg(F.count("*").alias("held"), F.bool_and("core").alias("inside")).filter("held > 1 AND NOT inside").drop("inside")
+    own = Window.partitionBy("key", "rep", "tag")
+    place = F.col("d") - F.count("*").over(own) + F.row_number().over(own.orderBy("held", "element"))
+    led = rows.join(useful, ["key", "element"]).withColumn("place", place).filter("place <= last")
+    return links, led.groupBy(F.xxhash64("key", "element").alias("key"), "rep").agg(F.bool_or(F.col("place") <= F.col("lead")).alias("lead"))
 
 
 def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -188,6 +233,25 @@ def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
     )
 
 
+def _open(groups: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, rep, lead, c, n): the groups whose members are in several components, of those with the same members one."""
+    placed = groups.join(labels, "rep")
+    several = placed.groupBy("key").agg(
+        F.count("*").alias("n"), F.min("c").alias("low"), F.max("c").alias("high"),
+        F.bit_xor(F.xxhash64("rep", "lead")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "rep", "lead")).alias("y"), F.bool_or("lead").alias("some"),
+    ).filter("low < high AND some")
+    one = several.groupBy("n", "low", "high", "x", "y").agg(F.min("key").alias("key")).select("key", "n")
+    return materialise(placed.join(one, "key").select("key", "rep", "lead", "c", "n"))
+
+
+def _pairs(groups: DataFrame) -> DataFrame:
+    """All pairs (a, b) of a group whose members are in different components, one of them with `lead`; large groups in blocks."""
+    rows = groups.withColumn("blocks", F.ceil(F.col("n") / 512).cast("long"))
+    left = rows.select("key", F.col("rep").alias("x"), F.col("c").alias("cx"), F.col("lead").alias("lx"), F.pmod(F.xxhash64("rep"), F.col("blocks")).alias("block"))
+    right = rows.select("key", F.col("rep").alias("y"), F.col("c").alias("cy"), F.col("lead").alias("ly"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
+    return left.join(right, ["key", "block"]).filter("x < y AND cx <> cy AND (lx OR ly)").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
+
+
 def near_copies(docs: DataFrame, size: int = 5, percent: int = 80, id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row a document: id, n_shingles, component_id (least id reachable over links), kept (it is that id).
 
@@ -195,10 +259,9 @@ def near_copies(docs: DataFrame, size: int = 5, percent: int = 80, id: str = "do
     fewer words gives its whole sequence, one without words (or null) an empty set that links with nothing. Rows that
     share an id take the least component of their texts. A row without id is linked with nothing, has no component and is kept.
 
-    Documents with the same set are one class; only its least id is compared. Classes that share a band are compared with
-    the least class of the band first, then in turns with a drawn one, and at last with all those of the band that are still in
-    another component, so a group of copies costs few pairs within itself and no link between components is left out. Bands with more than CROWD classes
-    are first split by the rarest shingles of their sets, of which sets that are similar enough must share one. Candidates are thinned by the likelihood estimate and decided on the full sets.
+    Documents with the same set are one class; only its least id is compared. Classes that are connected over shared bands are one group. In groups of a few, all pairs are compared. In larger ones each
+    set is compared with a centre, which links those near it, and the others fall into smaller groups by their differences from it (`_split`). What is still in several components after MOST_SPLITS turns is
+    compared pair by pair, so no link between components is left out. Pairs are thinned by the likelihood estimate and decided on the full sets.
     """
     rows, bands = band_plan(percent / 100)
     least = percent / 100
@@ -208,49 +271,25 @@ def near_copies(docs: DataFrame, size: int = 5, percent: int = 80, id: str = "do
     classes = materialise(some.groupBy("d1", "d2", "n_shingles").agg(F.min("id").alias("rep")))
     reps = materialise(
         some.join(classes.select(F.col("rep").alias("id"), "d1", "d2", "n_shingles"), ["id", "d1", "d2", "n_shingles"], "left_semi")
-        .dropDuplicates(["id", "d1", "d2"]).select(F.col("id").alias("rep"), "n_shingles", "registers", "bands")
+        .dropDuplicates(["id", "d1", "d2"]).select(F.col("id").alias("rep"), "n_shingles", "registers", "bands", "d1")
     )
     banded = reps.select("rep", F.explode("bands").alias("key"))
     met = banded.groupBy("key").agg(F.min("rep").alias("a"), F.count("*").alias("n")).filter("n > 1")
-    shared = materialise(banded.join(met, "key").select("key", "a", F.col("rep").alias("b"), "n"))
+    shared = materialise(banded.join(met, "key").select("a", F.col("rep").alias("b")).distinct())
     meant = materialise(shared.select(F.col("b").alias("rep")).distinct())
-    sets = materialise(_full_sets(base.join(meant.withColumnRenamed("rep", "id"), "id", "left_semi"), size, reps))
-    crowded = materialise(shared.filter(F.col("n") > CROWD).select(F.col("b").alias("rep")).distinct())
-    if not crowded.isEmpty():
-        finer = _rarest(sets.join(crowded, "rep", "left_semi"), percent)
-        many = finer.groupBy("key").agg(F.min("rep").alias("a"), F.count("*").alias("n")).filter("n > 1")
-        shared = materialise(
-            shared.filter(F.col("n") <= CROWD).unionByName(finer.join(many, "key").select("key", "a", F.col("rep").alias("b"), "n"))
-        )
-    tried = shared.filter("a <> b").select("a", "b").distinct()
+    sets = materialise(_full_sets(base.join(meant.withColumnRenamed("rep", "id"), "id", "left_semi"), size))
     checked = lambda pairs: _verified(_likely(pairs, reps, least), sets, percent)
-    groups = components(checked(tried))
-    labels = materialise(meant.join(groups.withColumnRenamed("id", "rep"), "rep", "left").select("rep", F.coalesce("component", "rep").alias("c")))
-    # a member that the least one did not reach is compared with other members drawn from its bands, which mostly are of the largest component
-    members = shared.filter("n > 2").select("key", F.col("b").alias("rep"))
-    known, before, closed = members.count(), math.inf, False
-    for turn in range(MOST_TURNS):
-        placed = materialise(members.join(labels, "rep"))
-        parts = placed.groupBy("key", "c").agg(F.count("*").cast("double").alias("m"))
-        cross = parts.groupBy("key").agg(((F.sum("m") * F.sum("m") - F.sum(F.col("m") * F.col("m"))) / 2).alias("pairs")).filter("pairs > 0")
-        cross = materialise(cross)
-        pending = cross.agg(F.sum("pairs")).first()[0] or 0
-        closed = pending == 0
-        if closed or pending <= known / 2 or pending > 0.9 * before:
+    labels = meant.withColumn("c", F.col("rep"))
+    groups = materialise(components(shared).select(F.col("component").alias("key"), F.col("id").alias("rep"), F.lit(True).alias("lead")))
+    for turn in range(MOST_SPLITS + 1):
+        groups = _open(groups, labels)
+        few = F.col("n") <= FEW * 4**turn if turn < MOST_SPLITS else F.lit(True)
+        labels = _joined(labels, materialise(checked(_pairs(groups.filter(few)))))
+        large = groups.filter(~few)
+        if large.isEmpty():
             break
-        before = pending
-        drawn_by = placed.join(cross.select("key"), "key").groupBy("key").agg(F.min_by(F.struct("rep", "c"), F.xxhash64("rep", F.lit(turn))).alias("lead"))
-        met_now = placed.join(drawn_by, "key").filter("c <> lead.c").select(F.least("rep", "lead.rep").alias("a"), F.greatest("rep", "lead.rep").alias("b")).distinct()
-        labels = _joined(labels, materialise(checked(met_now)))
-    if not closed:
-        # what is left: all pairs of a band whose members are in different components, large bands in blocks
-        placed = materialise(members.join(shared.select("key", "n").distinct(), "key").join(labels, "rep").withColumn("blocks", F.ceil(F.col("n") / 512).cast("long")))
-        split = placed.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low < high").select("key")
-        open_rows = materialise(placed.join(split, "key"))
-        left = open_rows.select("key", F.col("rep").alias("x"), F.col("c").alias("cx"), F.pmod(F.xxhash64("rep"), F.col("blocks")).alias("block"))
-        right = open_rows.select("key", F.col("rep").alias("y"), F.col("c").alias("cy"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
-        rest = left.join(right, ["key", "block"]).filter("x < y AND cx <> cy").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
-        labels = _joined(labels, materialise(checked(rest)))
+        links, finer = _split(large, sets, reps, percent)
+        labels, groups = _joined(labels, materialise(links)), materialise(finer)
     named = (
         some.join(classes, ["d1", "d2", "n_shingles"]).join(labels, "rep", "left")
         .groupBy("id").agg(F.min(F.coalesce("c", "rep")).alias("component"))
@@ -262,7 +301,7 @@ def near_copies(docs: DataFrame, size: int = 5, percent: int = 80, id: str = "do
     )
 
 
-def _full_sets(docs: DataFrame, size: int, reps: DataFrame) -> DataFrame:
+def _full_sets(docs: DataFrame, size: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, sets, bounds in _sets(batch, 1, size):

@@ -72,3 +72,57 @@ def test_odd_rows(odd, nothing):
     by = {r["doc_id"]: r for r in out}
     assert by[6]["component_id"] == 5 and not by[6]["kept"] and by[2]["n_shingles"] == 0 and by[None]["kept"] and by[None]["component_id"] is None
     assert nearcopies.near_copies(nothing).count() == 0
+
+
+def copies(rnd, count, edits, length=200):
+    """Copies of one text with that many words changed, none near another change."""
+    text = [f"w{i}" for i in range(length)]
+    out = []
+    for _ in range(count):
+        own = list(text)
+        for k in rnd.sample(range(0, length, 8), edits):
+            own[k] = f"x{rnd.randrange(1 << 40)}"
+        out.append(own)
+    return out
+
+
+def compared(spark, monkeypatch, docs, size=3, percent=85):
+    """The result, and how many pairs were looked at."""
+    seen, likely = [], nearcopies._likely
+
+    def counted(pairs, *more):
+        seen.append(pairs.count())
+        return likely(pairs, *more)
+
+    monkeypatch.setattr(nearcopies, "_likely", counted)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in nearcopies.near_copies(spark.createDataFrame(docs, "doc_id long, text string"), size, percent).collect()}
+    return got, sum(seen)
+
+
+def test_large_group_below_the_limit_makes_few_pairs(spark, monkeypatch):
+    docs = [(i, " ".join(t)) for i, t in enumerate(copies(random.Random(1), 150, 6))]
+    got, pairs = compared(spark, monkeypatch, docs)
+    assert got == brute(docs, 3, 85) and len({c for _, c in got.values()}) == 150
+    assert pairs < 5 * len(docs)  # of 11175
+
+
+def test_large_groups_around_the_limit(spark, monkeypatch):
+    rnd, texts = random.Random(2), []
+    for edits, count in ((0, 2), (1, 10), (2, 25), (3, 25), (4, 25), (5, 15)):
+        texts += copies(rnd, count, edits)
+    texts += [[*t[:90], *(f"y{k}" for k in range(14)), *t[104:]] for t in copies(rnd, 40, 2)]  # a second family beside the first
+    texts += [[*t, *rnd.choices(t, k=rnd.randrange(60))] for t in copies(rnd, 30, 1)]  # of other lengths
+    rnd.shuffle(texts)
+    docs = [(i * 7, " ".join(t)) for i, t in enumerate(texts)]
+    docs.append(docs[8])  # a row that comes twice
+    got, _ = compared(spark, monkeypatch, docs)
+    assert got == brute(docs, 3, 85)
+
+
+def test_splits_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(nearcopies, "FEW", 1)
+    monkeypatch.setattr(nearcopies, "DRAWN", 1)  # any centre will do
+    rnd = random.Random(3)
+    docs = [(i, " ".join(t)) for i, t in enumerate(t for e in range(1, 7) for t in copies(rnd, 12, e, 120))]
+    got, _ = compared(spark, monkeypatch, docs, 5, 80)
+    assert got == brute(docs, 5, 80)
