@@ -153,6 +153,12 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return wide.mapInArrow(run, "a long, b long")
 
 
+def _of(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The rows that stand in some stored pair: only they are exchanged."""
+    ends = pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b").alias("rep"))).distinct()
+    return rows.join(materialise(ends), "rep", "left_semi")
+
+
 def _tag(sets: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """A digest of each set: the sum of its mixed elements."""
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(sets * np.uint64(3)))])
@@ -168,7 +174,7 @@ def _centres(groups: DataFrame, sets: DataFrame) -> DataFrame:
         return pa.table({"key": part.column("key").slice(0, 1), "centre": pa.array([values[2 * counts > len(held)].tobytes()], pa.binary())})
 
     place = F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("rep"), "rep"))
-    drawn = groups.select("key", "rep").withColumn("place", place).filter(F.col("place") <= DRAWN)
+    drawn = materialise(groups.select("key", "rep").withColumn("place", place).filter(F.col("place") <= DRAWN).select("key", "rep"))
     return drawn.join(sets, "rep").select("key", "hashes").groupBy("key").applyInArrow(run, "key long, centre binary")
 
 
@@ -199,8 +205,9 @@ def _split(groups: DataFrame, sets: DataFrame, reps: DataFrame, percent: int) ->
     """
     sizes = groups.groupBy("key").agg(F.ceil(F.count("*") / SPREAD).cast("long").alias("parts"))
     centres = materialise(_centres(groups, sets).join(sizes, "key").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))))
-    members = groups.select("key", "rep").join(sizes, "key").withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts"))).join(sets, "rep")
-    away = _differences(members.join(centres.select("key", "part", "centre"), ["key", "part"]).select("key", "rep", "hashes", "centre"), percent)
+    # stored while narrow, so that sets are exchanged only where the members are too many to be sent to them
+    members = materialise(groups.select("key", "rep").join(sizes, "key").select("key", "rep", F.pmod(F.xxhash64("rep"), F.col("parts")).alias("part")))
+    away = _differences(members.join(sets, "rep").join(centres.select("key", "part", "centre"), ["key", "part"]).select("key", "rep", "hashes", "centre"), percent)
     # an id may stand in several rows: only the texts that stand for their class, once
     away = materialise(away.join(reps.select("rep", F.col("d1").alias("tag")), ["rep", "tag"], "left_semi").dropDuplicates(["key", "rep", "tag"]))
     best = materialise(away.groupBy("key").agg(F.min(F.struct("s", "rep")).alias("best")))
@@ -271,20 +278,25 @@ def near_copies(docs: DataFrame, size: int = 5, percent: int = 80, id: str = "do
     classes = materialise(some.groupBy("d1", "d2", "n_shingles").agg(F.min("id").alias("rep")))
     reps = materialise(
         some.join(classes.select(F.col("rep").alias("id"), "d1", "d2", "n_shingles"), ["id", "d1", "d2", "n_shingles"], "left_semi")
-        .dropDuplicates(["id", "d1", "d2"]).select(F.col("id").alias("rep"), "n_shingles", "registers", "bands", "d1")
+        .dropDuplicates(["id", "d1", "d2", "n_shingles"]).select(F.col("id").alias("rep"), "n_shingles", "registers", "bands", "d1")
     )
     banded = reps.select("rep", F.explode("bands").alias("key"))
     met = banded.groupBy("key").agg(F.min("rep").alias("a"), F.count("*").alias("n")).filter("n > 1")
     shared = materialise(banded.join(met, "key").select("a", F.col("rep").alias("b")).distinct())
     meant = materialise(shared.select(F.col("b").alias("rep")).distinct())
     sets = materialise(_full_sets(base.join(meant.withColumnRenamed("rep", "id"), "id", "left_semi"), size))
-    checked = lambda pairs: _verified(_likely(pairs, reps, least), sets, percent)
+
+    def checked(pairs: DataFrame) -> DataFrame:
+        pairs = materialise(pairs)
+        likely = materialise(_likely(pairs, _of(reps, pairs), least))
+        return materialise(_verified(likely, _of(sets, likely), percent))
+
     labels = meant.withColumn("c", F.col("rep"))
     groups = materialise(components(shared).select(F.col("component").alias("key"), F.col("id").alias("rep"), F.lit(True).alias("lead")))
     for turn in range(MOST_SPLITS + 1):
         groups = _open(groups, labels)
         few = F.col("n") <= FEW * 4**turn if turn < MOST_SPLITS else F.lit(True)
-        labels = _joined(labels, materialise(checked(_pairs(groups.filter(few)))))
+        labels = _joined(labels, checked(_pairs(groups.filter(few))))
         large = groups.filter(~few)
         if large.isEmpty():
             break
