@@ -1,8 +1,14 @@
-"""The model queries train with the full settings."""
+"""The model queries train with the full settings, and trees grown by one task equal those grown level by level over all tasks."""
 
+from dataclasses import replace
+
+import numpy as np
 import pytest
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import functions as F
 
 from checks import learning as L
+from ledgerlens.plans import boosting as B
 from ledgerlens.plans import model as M
 
 
@@ -26,3 +32,31 @@ def full_boosted(estimator):
 def test_boosted_trees_have_all_rounds(spark, asked, query):
     getattr(L, query)(spark, "nowhere")
     assert len(asked) == 1 and full_boosted(asked[0])
+
+
+def test_penalised_trees_have_all_rounds(spark, asked):
+    L.penalised(spark, "nowhere")
+    assert [e.settings for e in asked] == [B.TreeSettings()] and (B.TreeSettings().rounds, B.TreeSettings().depth) == (3000, 8)
+
+
+@pytest.fixture(scope="module")
+def vectors(spark):
+    """Rows with missing, constant and many-valued features, in several partitions; ids come twice."""
+    r = np.random.default_rng(4)
+    x = np.column_stack([r.normal(size=900), r.integers(0, 5, 900), np.ones(900), r.normal(size=900).round(2), np.where(r.random(900) < 0.2, np.nan, r.random(900))])
+    y = (x[:, 0] + 0.7 * (x[:, 1] > 2) + r.normal(size=900) > 1.2).astype(int)
+    rows = [(int(k // 2), int(y[k]), [float(v) for v in x[k]]) for k in range(900)]
+    df = spark.createDataFrame(rows, "TransactionID long, isFraud int, x array<double>").repartition(5)
+    return M.with_weights(df.select("TransactionID", "isFraud", array_to_vector("x").alias("features")), "isFraud", 27.0)
+
+
+@pytest.mark.parametrize("watch", ["loss", "auc", None])
+def test_one_task_grows_the_same_trees(vectors, watch):
+    settings = B.TreeSettings(rounds=6, depth=4, learning_rate=0.4, store_every=2, patience=2, watch=watch or "auc")
+    rows = vectors.withColumn("held", F.col("TransactionID") % 4 == 0)
+    alone = B.PenalisedTrees(settings, validation="held" if watch else None)
+    a, b = alone.fit(rows), replace(alone, task_bytes=0).fit(rows)
+    assert a.getNumTrees == b.getNumTrees > 0 and np.allclose(a.measures, b.measures, atol=1e-9) and bool(a.measures) == bool(watch)
+    for s, t in zip(a.trees, b.trees):
+        assert (s.feature == t.feature).all() and (s.bin == t.bin).all() and (s.threshold == t.threshold).all()
+        assert np.allclose(s.value, t.value, atol=1e-9) and np.allclose(s.gain, t.gain, atol=1e-9)
