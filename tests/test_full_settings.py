@@ -60,3 +60,10 @@ def test_one_task_grows_the_same_trees(vectors, watch):
     for s, t in zip(a.trees, b.trees):
         assert (s.feature == t.feature).all() and (s.bin == t.bin).all() and (s.threshold == t.threshold).all()
         assert np.allclose(s.value, t.value, atol=1e-9) and np.allclose(s.gain, t.gain, atol=1e-9)
+
+
+def test_compared_models_have_all_rounds_and_trees(spark, asked, monkeypatch):
+    monkeypatch.setattr(M, "compare_models", lambda train, test, estimators: estimators)
+    found = L.comparison(spark, "nowhere")
+    assert list(found) == ["boosted", "forest"] and full_boosted(found["boosted"])
+    assert (found["forest"].getNumTrees(), found["forest"].getMaxDepth()) == (200, 20)
